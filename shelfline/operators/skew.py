@@ -1,0 +1,52 @@
+"""Groups too large for one task, told apart from the rest.
+
+One product, category or order may hold a third of all rows. A window over such
+a group would run in a single task, so operators treat large groups separately
+and leave the others to a plain window. Both ways give the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+@dataclass(frozen=True)
+class Hot:
+    """A group is hot above ``rows`` rows, if it is among the ``groups`` largest.
+
+    ``groups`` bounds what is broadcast. A group beyond it holds less than
+    1/``groups`` of all rows and goes the plain way.
+    """
+
+    rows: int = 1_000_000
+    groups: int = 100_000
+
+
+DEFAULT_HOT = Hot()
+
+
+def hot_groups(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> DataFrame:
+    """The keys of the hot groups as ``hot_<name>``; at most ``hot.groups`` rows.
+
+    Reads the key columns only, and counts before it shuffles.
+    """
+    keys = [f"hot_{name}" for name in by]
+    return (rows.groupBy(*[F.col(name).alias(key) for name, key in zip(by, keys)])
+            .agg(F.count(F.lit(1)).alias("hot_rows"))
+            .where(F.col("hot_rows") > hot.rows)
+            .orderBy(F.desc("hot_rows"), *keys)
+            .limit(hot.groups)
+            .select(*keys))
+
+
+def split_hot(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups); a NULL key is a key like any other."""
+    keys = F.broadcast(hot_groups(rows, by, hot))
+    same = reduce(lambda left, right: left & right,
+                  [F.col(name).eqNullSafe(F.col(f"hot_{name}")) for name in by])
+    return rows.join(keys, same, "left_anti"), rows.join(keys, same, "left_semi")
