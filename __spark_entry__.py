@@ -372,7 +372,7 @@ RAW_SQL = """raw_obs AS (
 
 LINE_SQL = """raw_obs AS (
   SELECT l_partkey AS product_id, p_name AS title,
-    CAST(ROUND(CAST(l_extendedprice / l_quantity AS DECIMAL(28,10)), 2) AS DOUBLE) AS price,
+    floor(l_extendedprice / l_quantity * 100) / 100 AS price,
     l_discount * 50 AS rating, CAST(l_quantity AS BIGINT) AS reviews_count,
     CASE WHEN l_returnflag = 'R' THEN 'out_of_stock' ELSE 'in_stock' END AS in_stock,
     p_type AS category, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS scraped_at,

@@ -15,15 +15,16 @@ def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
     """Add the rank by a number, lowest first: ties share a rank, and the next one skips."""
     ordinary, large = split_hot(rows, by, hot)
     ranked = ordinary.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(value)))
-    return ranked.unionByName(rank_by_level(large, by, value, name))
+    return ranked.unionByName(rank_by_level(large, by, value, name, hot=hot))
 
 
-def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
+                  hot: Hot = DEFAULT_HOT) -> DataFrame:
     """The rank as one plus the number of rows at lower values of the group.
 
     Rows are counted per value, values per band of one unit, and only the counts
-    are summed up in order; no task sees a whole group. The join back to the rows
-    is an equi-join that adaptive execution splits where many rows share a value.
+    are summed up in order; no task sees a whole group. Ranks of values that many
+    rows share are broadcast, so those rows are not shuffled to one task either.
     """
     level = F.struct(*by, value)
     at = F.col(f"_level.{value}")
@@ -39,9 +40,13 @@ def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str) ->
              .select("_band", F.sum("_rows").over(band_order).alias("_in_lower_bands")))
     in_band = Window.partitionBy("_band").orderBy(f"_level.{value}").rowsBetween(
         Window.unboundedPreceding, -1)
-    lower = (levels.withColumn("_in_band", F.sum("_rows").over(in_band))
-             .join(bands, "_band")
-             .select("_level", (F.coalesce("_in_band", F.lit(0))
-                                + F.coalesce("_in_lower_bands", F.lit(0)) + 1).cast("int").alias(name)))
-    return (rows.withColumn("_level", level).join(lower, "_level")
-            .select(*rows.columns, name))
+    place = F.coalesce("_in_band", F.lit(0)) + F.coalesce("_in_lower_bands", F.lit(0)) + 1
+    ranks = (levels.withColumn("_in_band", F.sum("_rows").over(in_band)).join(bands, "_band")
+             .select("_level", "_rows", place.cast("int").alias(name)))
+
+    wanted = [*rows.columns, name]
+    placed = rows.withColumn("_level", level)
+    shared = F.broadcast(ranks.where(F.col("_rows") > hot.rows)
+                         .orderBy(F.desc("_rows"), "_level").limit(hot.groups))
+    return (placed.join(shared, "_level").select(*wanted)
+            .unionByName(placed.join(shared, "_level", "left_anti").join(ranks, "_level").select(*wanted)))

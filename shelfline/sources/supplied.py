@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per event, with missing and invalid values spread by ``props.k``."""
-    k = "cast(get_json_object(props, '$.k') as int)"
+    # props is {"k": number}; trimming costs less than parsing it for every use of k.
+    k = """cast(trim(both '{"k: }' from props) as int)"""
     return table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "ts", "event_type", "value", f"{k} as k").selectExpr(
         "event_id",
@@ -41,7 +42,7 @@ def line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(
         "l_partkey as product_id",
         "p_name as title",
-        "round(l_extendedprice / l_quantity, 2) as price",
+        "floor(l_extendedprice / l_quantity * 100) / 100 as price",
         "l_discount * 50 as rating",
         "cast(l_quantity as bigint) as reviews_count",
         "case when l_returnflag = 'R' then 'out_of_stock' else 'in_stock' end as in_stock",
