@@ -201,16 +201,15 @@ def payload_flatten(spark, sf):
     return flat.withColumn("scraped_at", F.substring("scraped_at", 1, 26))
 
 
-def _order_view(rows: DataFrame) -> DataFrame:
-    """An order without times, which engines print differently."""
+def _order_view(rows: DataFrame, *further) -> DataFrame:
+    """An order with dates for times, which engines print differently."""
     return rows.select("order_id", "asin", "product_title", "quantity",
                        F.col("sale_price").cast("double").alias("sale_price"), "order_status",
-                       "marketplace", F.to_date("created_at").alias("created_on"))
+                       "marketplace", F.to_date("created_at").alias("created_on"), *further)
 
 
 def cdc_last_change(spark, sf):
-    last = changes.last_change(supplied.order_changes(spark, sf), KEYS)
-    return _order_view(last).join(last.select("order_id", "op", "seq"), "order_id")
+    return _order_view(changes.last_change(supplied.order_changes(spark, sf), KEYS), "op", "seq")
 
 
 def cdc_current_state(spark, sf):
@@ -243,8 +242,7 @@ def cdc_insert_ignore(spark, sf):
 def cdc_update(spark, sf):
     base, new = _order_base(spark, sf)
     updated = keyed.update_by_key(base, new, KEYS, ["order_status"], RUN, ["change_ts"])
-    return _order_view(updated).join(
-        updated.select("order_id", F.to_date("updated_at").alias("updated_on")), "order_id")
+    return _order_view(updated, F.to_date("updated_at").alias("updated_on"))
 
 
 def cdc_upsert(spark, sf):

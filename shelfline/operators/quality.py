@@ -51,13 +51,14 @@ def _counts(c: Columns, price_bounds, rating_bounds) -> dict[str, dict[str, Colu
     }
 
 
-def _distinct_counts(c: Columns) -> dict[str, dict[str, Column]]:
+def _distinct_counts(c: Columns, approximate: bool) -> dict[str, dict[str, Column]]:
     """Distinct counts per pillar. Inside a struct NULL counts as a value; times alone skip it."""
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     return {
-        "uniqueness": {"distinct_records": F.count_distinct(F.struct(c.key, c.time))},
-        "consistency": {"distinct_products": F.count_distinct(F.struct(c.key)),
-                        "distinct_sources": F.count_distinct(F.struct(c.source))},
-        "timeliness": {"distinct_scrape_times": F.count_distinct(c.time)},
+        "uniqueness": {"distinct_records": distinct(F.struct(c.key, c.time))},
+        "consistency": {"distinct_products": distinct(F.struct(c.key)),
+                        "distinct_sources": distinct(F.struct(c.source))},
+        "timeliness": {"distinct_scrape_times": distinct(F.col(c.time))},
     }
 
 
@@ -94,14 +95,16 @@ def quality_report(raw: DataFrame, *, columns: Columns = DEFAULT,
                    expected_products: int = fixed.EXPECTED_PRODUCTS,
                    expected_sources: int = fixed.EXPECTED_SOURCES,
                    price_bounds: tuple[float, float] = fixed.PRICE_BOUNDS,
-                   rating_bounds: tuple[float, float] = fixed.RATING_BOUNDS) -> DataFrame:
+                   rating_bounds: tuple[float, float] = fixed.RATING_BOUNDS,
+                   approximate: bool = False) -> DataFrame:
     """The counts and scores of the pillars asked for, as one row; scores stay unrounded.
 
     Plain counts need no shuffle of rows and distinct counts need nothing but their
     own columns, so each kind gets one pass and the two one-row results are put together.
+    ``approximate`` estimates the distinct counts, which then shuffle no rows either.
     """
     plain = _aggregates(_counts(columns, price_bounds, rating_bounds), pillars)
-    distinct = _aggregates(_distinct_counts(columns), pillars)
+    distinct = _aggregates(_distinct_counts(columns, approximate), pillars)
     counted = _typed(raw, columns).agg(F.count(F.lit(1)).alias(TOTAL), *plain)
     if distinct:
         both = counted.unionByName(raw.agg(*distinct), allowMissingColumns=True)

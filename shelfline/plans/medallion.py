@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.operators import gold
 from shelfline.operators.quality import quality_report, quality_score
@@ -28,7 +29,7 @@ class RunMetrics:
     """What a run reports instead of printing."""
 
     rows_written: dict[str, int] = field(default_factory=dict)
-    columns: dict[str, list[str]] = field(default_factory=dict)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
     quality: dict[str, object] = field(default_factory=dict)
     status: dict[str, int] = field(default_factory=dict)
 
@@ -44,7 +45,7 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     raw = stage(read_bronze(spark, bronze, multi_line=multi_line), "raw", out)
     if raw.isEmpty():
         raise EmptyInputError(f"no raw observations in {bronze}")
-    metrics.columns["raw"] = raw.columns
+    metrics.schemas["raw"] = raw.schema
     metrics.quality = quality_score(quality_report(raw, columns=columns)).first().asDict()
     silver = standardize(raw, run_ts, columns=columns)
     metrics.rows_written["products"] = write_table(silver, f"{out}/products", columns.date)
@@ -86,7 +87,7 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     valid = quality_gate(read_silver(spark, silver, columns=columns), columns=columns)
     if valid.isEmpty():
         raise EmptyInputError(f"no valid rows in {silver}")
-    metrics.columns["silver"] = valid.columns
+    metrics.schemas["silver"] = valid.schema
     wanted, ranked_before = F.lit(True), None
     if from_date is not None:
         wanted = F.col(columns.date) >= F.lit(from_date)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="shelfline-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -35,9 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="shelfline-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

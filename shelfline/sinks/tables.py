@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +16,17 @@ from shelfline.sources.cdc import feed_of
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str,
-                 location: str | None = None) -> None:
+                 location: str | None = None, properties: Mapping[str, str] | None = None) -> None:
     """Create a catalog table if it is missing, with the comments of its schema."""
     def column(field: T.StructField) -> str:
         comment = (field.metadata or {}).get("comment", "").replace("'", "\\'")
         return f"{field.name} {field.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
 
     place = f"LOCATION '{location}'" if location else ""
+    notes = ", ".join(f"'{key}' = '{value}'" for key, value in (properties or {}).items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(map(column, schema.fields))}) "
-              f"USING parquet PARTITIONED BY ({partition}) {place}")
+              f"USING parquet PARTITIONED BY ({partition}) {place} "
+              + (f"TBLPROPERTIES ({notes})" if notes else ""))
 
 
 def _ready(rows: DataFrame, partition: str) -> tuple[DataFrame, Observation]:

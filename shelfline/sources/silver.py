@@ -16,6 +16,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose files were appended with differing columns: all of them."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def read_silver(spark: SparkSession, path: str, *, from_date: dt.date | None = None,
                 columns: Columns = DEFAULT) -> DataFrame:
     """The Silver table, or its partitions from a date on."""

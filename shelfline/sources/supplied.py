@@ -47,7 +47,7 @@ def line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_quantity as bigint) as reviews_count",
         "case when l_returnflag = 'R' then 'out_of_stock' else 'in_stock' end as in_stock",
         "p_type as category",
-        "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+00:00' as scraped_at",
+        "cast(l_shipdate as date) || 'T00:00:00.000000+00:00' as scraped_at",
         "'lines' as source")
 
 

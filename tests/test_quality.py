@@ -50,6 +50,11 @@ def test_plain_counts_do_not_shuffle_rows_and_distinct_ones_hash(spark):
     assert "Sort [" not in plan
 
 
+def test_estimates_of_few_values_are_exact(spark):
+    frame = raw(spark, {}, {"asin": None}, {"asin": "B"}, {"scraped_at": None})
+    assert quality_report(frame, approximate=True).first() == quality_report(frame).first()
+
+
 def test_constraints(spark):
     frame = spark.createDataFrame(
         [("a", 1, None), ("a", 2, "x"), ("b", None, "y"), (None, 3, "z")], "id string, n int, s string")

@@ -3,6 +3,7 @@ import json
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import RUN, at, counted
 from shelfline.operators import gold, reports
@@ -14,7 +15,7 @@ from shelfline.schemas import GOLD, SILVER
 from shelfline.session import fresh_path, shared_dir
 from shelfline.sinks.tables import ensure_table, land_raw, write_catalog_table, write_table
 from shelfline.sources.bronze import CORRUPT, read_bronze
-from shelfline.sources.silver import read_silver, read_table
+from shelfline.sources.silver import read_merged, read_silver, read_table
 
 
 def objects(n=60, days=(1, 2, 3)):
@@ -127,6 +128,24 @@ def test_overwriting_a_date_leaves_the_others(spark, observations, tmp_path):
     assert sorted((r.scrape_date.day, r.price) for r in read_silver(spark, path).collect()) == [(1, 5.0), (2, 10.0)]
 
 
+def test_appended_columns_are_merged_on_read(spark, observations, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(observations({}), path, mode="append")
+    write_table(observations({"asin": "B"}).withColumn("extra", F.lit(1)), path, mode="append")
+    assert {(r.asin, r.extra) for r in read_merged(spark, path).collect()} == {("A", None), ("B", 1)}
+    assert read_silver(spark, path).count() == 2
+
+
+def test_no_rows_are_written_for_dates_to_come(spark, bronze, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, bronze, out, RUN)
+    before = tables(spark, out)
+    metrics = run_gold(spark, f"{out}/products", out, RUN, from_date=dt.date(2030, 1, 1))
+    assert tables(spark, out) == before
+    assert metrics.rows_written == {"price_history": 0, "competitor_ranking": 0, "review_trend": 0,
+                                    "stock_gap": 4, "market_summary": 0}
+
+
 def test_catalog_tables_and_reports(spark, observations):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     valid = observations(*[{"asin": a, "price": p, "scraped_at": at(1, 10, i)}
@@ -137,7 +156,7 @@ def test_catalog_tables_and_reports(spark, observations):
                 "market_summary": (gold.market_summary(daily, RUN), GOLD["market_summary"])}
     for name, (frame, schema) in contents.items():
         for _ in range(2):
-            ensure_table(spark, f"gold.{name}", schema, "scrape_date")
+            ensure_table(spark, f"gold.{name}", schema, "scrape_date", properties={"layer": "gold"})
             assert write_catalog_table(frame, f"gold.{name}") == frame.count()
         assert counted(spark.table(f"gold.{name}")) == counted(frame)
     other_day = observations({"asin": "C", "scraped_at": at(9)})
@@ -152,5 +171,5 @@ def test_catalog_tables_and_reports(spark, observations):
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
