@@ -14,8 +14,8 @@ from shelfline.operators.quality import quality_report, quality_score
 from shelfline.operators.skew import DEFAULT_HOT, Hot
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
-from shelfline.schemas import DEFAULT, GOLD, Columns
-from shelfline.sinks.tables import stage, write_table
+from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
+from shelfline.sinks.tables import ensure_table, stage, write_table
 from shelfline.sources.bronze import read_bronze
 from shelfline.sources.silver import read_silver, read_table
 
@@ -39,7 +39,9 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
                metrics: RunMetrics | None = None) -> RunMetrics:
     """Read raw observations, report on their quality, write Silver.
 
-    The JSON is parsed once: the report and Silver read a columnar copy of it.
+    The dates read replace those written before, so ``bronze`` should hold whole
+    dates: all folders, or a list of some. The JSON is parsed once; the report and
+    Silver read a columnar copy of it.
     """
     metrics = metrics or RunMetrics()
     raw = stage(read_bronze(spark, bronze, multi_line=multi_line), "raw", out)
@@ -108,6 +110,14 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     return metrics
 
 
+def publish(spark: SparkSession, out: str, database: str, columns: Columns = DEFAULT) -> None:
+    """Make the written tables known to the catalog, for SQL and the reports."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, schema in {"products": SILVER, **GOLD}.items():
+        ensure_table(spark, f"{database}.{name}", schema, columns.date, location=f"{out}/{name}")
+        spark.catalog.recoverPartitions(f"{database}.{name}")
+
+
 def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
         multi_line: bool = True, from_date: dt.date | None = None, columns: Columns = DEFAULT,
         hot: Hot = DEFAULT_HOT) -> RunMetrics:

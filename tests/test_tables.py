@@ -10,7 +10,7 @@ from shelfline.operators import gold, reports
 from shelfline.operators.skew import Hot
 from shelfline.operators.snapshots import daily_latest
 from shelfline.operators.standardize import standardize
-from shelfline.plans.medallion import EmptyInputError, run, run_gold, run_silver
+from shelfline.plans.medallion import EmptyInputError, publish, run, run_gold, run_silver
 from shelfline.schemas import GOLD, SILVER
 from shelfline.session import fresh_path, shared_dir
 from shelfline.sinks.tables import ensure_table, land_raw, write_catalog_table, write_table
@@ -88,6 +88,17 @@ def test_plan_tables_equal_the_operators(spark, bronze, tmp_path):
         assert counted(frame) == found[name], name
 
 
+def test_published_tables_answer_sql_and_reports(spark, bronze, tmp_path):
+    out = str(tmp_path / "out")
+    metrics = run(spark, bronze, out, RUN)
+    for _ in range(2):
+        publish(spark, out, "shelf")
+        for name, rows in metrics.rows_written.items():
+            assert spark.sql(f"SELECT count(*) FROM shelf.{name}").first()[0] == rows
+    for name in reports.REPORTS:
+        assert reports.run_report(spark, name, "shelf").count() > 0
+
+
 def test_gold_from_a_date_on_equals_a_full_run(spark, tmp_path):
     early, late = list(objects(days=(1, 2))), list(objects(days=(3, 5)))
     land_files(tmp_path / "bronze", early)
