@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.operators.skew import DEFAULT_HOT, Hot, split_hot
 
+BANDS_PER_DOUBLING = 4096
 
 def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
               hot: Hot = DEFAULT_HOT) -> DataFrame:
@@ -18,24 +19,31 @@ def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
     return ranked.unionByName(rank_by_level(large, by, value, name, hot=hot))
 
 
+def _band(number: Column) -> Column:
+    """A whole number that never falls while the number rises; the range of doubles bounds it."""
+    size = F.floor(F.log2(F.abs(number) + 1) * BANDS_PER_DOUBLING)
+    # NaN sorts above every number, and so must its band.
+    return (F.when(F.isnan(number), F.lit(2**63 - 1))
+            .when(number < 0, -1 - size).otherwise(size))
+
+
 def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
                   hot: Hot = DEFAULT_HOT) -> DataFrame:
     """The rank as one plus the number of rows at lower values of the group.
 
-    Rows are counted per value, values per band of one unit, and only the counts
-    are summed up in order; no task sees a whole group. Ranks of values that many
-    rows share are broadcast, so those rows are not shuffled to one task either.
+    Rows are counted per value, values per band, and only the counts are summed up
+    in order: over the values of one band and over the bands of one group, of which
+    there are at most some millions. No task sees a whole group. Ranks of values that
+    many rows share are broadcast, so those rows are not shuffled to one task either.
     """
     level = F.struct(*by, value)
     at = F.col(f"_level.{value}")
-    # NaN sorts above every number, and so must its band.
-    band = F.when(F.isnan(at), F.lit(2**63 - 1)).otherwise(F.floor(at))
     levels = (rows.groupBy(level.alias("_level")).agg(F.count(F.lit(1)).alias("_rows"))
               .withColumn("_band", F.struct(*[F.col(f"_level.{key}") for key in by],
-                                            band.alias("_unit"))))
+                                            _band(at).alias("_at"))))
 
     band_order = Window.partitionBy(*[f"_band.{key}" for key in by]).orderBy(
-        "_band._unit").rowsBetween(Window.unboundedPreceding, -1)
+        "_band._at").rowsBetween(Window.unboundedPreceding, -1)
     bands = (levels.groupBy("_band").agg(F.sum("_rows").alias("_rows"))
              .select("_band", F.sum("_rows").over(band_order).alias("_in_lower_bands")))
     in_band = Window.partitionBy("_band").orderBy(f"_level.{value}").rowsBetween(

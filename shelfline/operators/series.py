@@ -56,7 +56,8 @@ def _by_chunk(rows: DataFrame, by: Sequence[str], order: Sequence[str],
         "*", F.row_number().over(in_chunk).alias("_position"),
         *[F.lag(old).over(in_chunk).alias(new) for new, old in previous.items()])
 
-    # One row per chunk: its last row, handed to the chunk after it.
+    # One row per chunk, its last, is handed to the chunk after it: a key has as many of
+    # these as its time span has chunks.
     last = F.max(F.struct(*order, *[F.col(old).alias(f"_{new}") for new, old in previous.items()]))
     tails = distinct.groupBy("_chunk").agg(last.alias("_tail"))
     across = Window.partitionBy(*[f"_chunk.{key}" for key in by]).orderBy("_chunk._part")

@@ -22,17 +22,24 @@ def dq_status(price: Column, title: Column, rating: Column,
             .otherwise(fixed.VALID))
 
 
+def _is(rows: DataFrame, name: str, kind: str) -> bool:
+    return rows.schema[name].dataType.simpleString() == kind
+
+
 def standardize(raw: DataFrame, run_ts: dt.datetime | None = None, *, columns: Columns = DEFAULT,
                 source_system: str = fixed.SOURCE_SYSTEM) -> DataFrame:
     """Typed, trimmed and flagged rows in the column order of the Silver table."""
     c = columns
-    price, rating = as_double(c.price), as_double(c.rating)
+    # A column that has its type is passed on as it is. An alias would hide from Spark that
+    # two uses of these rows are the same, and they would be shuffled twice.
+    price = F.col(c.price) if _is(raw, c.price, "double") else as_double(c.price).alias(c.price)
+    rating = F.col(c.rating) if _is(raw, c.rating, "double") else as_double(c.rating).alias(c.rating)
     title = F.trim(c.title)
     return raw.select(
         F.col(c.key),
         title.alias(c.title),
-        price.alias(c.price),
-        rating.alias(c.rating),
+        price,
+        rating,
         as_int(c.reviews).alias(c.reviews),
         F.col(c.stock),
         F.trim(F.upper(c.category)).alias(c.category),

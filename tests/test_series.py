@@ -74,7 +74,7 @@ PRICES = "c string, d string, p double, n int"
 
 def prices(spark, seed, n=500):
     rng = random.Random(seed)
-    pool = [None, float("nan"), float("inf"), 0.0, -0.0, -3.5, 1e300] + [round(rng.uniform(0, 9), 1)
+    pool = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, -3.5, -3.6, -1e300, 1e300, 1e-300] + [round(rng.uniform(0, 9), 1)
                                                                        for _ in range(30)]
     return spark.createDataFrame(
         [(rng.choice(["x"] * 5 + ["y", None]), rng.choice(["1", "2", None]), rng.choice(pool), i)
