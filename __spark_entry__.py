@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import changes, gold, keyed, quality, reports, snapshots, standardize
 from shelfline.operators.skew import Hot
-from shelfline.plans.medallion import with_last_before
-from shelfline.schemas import FEEDS, PAYLOAD
+from shelfline.plans import medallion
+from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
 from shelfline.session import fresh_path
 from shelfline.sinks import tables as sinks
 from shelfline.sources import bronze, cdc, silver as silver_source, supplied
@@ -118,7 +119,7 @@ def price_history_skewsafe(spark, sf):
 
 
 def price_history_from_date(spark, sf):
-    recent = with_last_before(valid(spark, sf), FROM, PRODUCT)
+    recent = medallion.with_last_before(valid(spark, sf), FROM, PRODUCT)
     return (gold.price_history(recent, RUN, columns=PRODUCT)
             .where(F.col("scrape_date") >= F.lit(FROM)).drop(*STAMPS))
 
@@ -143,6 +144,14 @@ def competitor_ranking_skewsafe(spark, sf):
     return gold.competitor_ranking(daily(spark, sf), RUN, columns=PRODUCT, hot=ALL_HOT).drop(*STAMPS)
 
 
+def competitor_ranking_from_date(spark, sf):
+    """The later dates ranked anew, following what was written for the earlier ones."""
+    snapshot, later = daily(spark, sf), F.col("scrape_date") >= F.lit(FROM)
+    written = gold.competitor_ranking(snapshot.where(~later), RUN, columns=PRODUCT)
+    return gold.competitor_ranking(snapshot.where(later), RUN, ranked_before=written,
+                                   columns=PRODUCT).drop(*STAMPS)
+
+
 def ranking_by_category(spark, sf):
     return reports.ranking_by_category(ranking(spark, sf), columns=PRODUCT)
 
@@ -325,6 +334,28 @@ def stream_silver(spark, sf):
     return rows.withColumn("source_system", F.lit("synthetic"))
 
 
+def catalog_sql_report(spark, sf):
+    """Silver in a catalog table, reported on from SQL text."""
+    name = f"products_{uuid.uuid4().hex}"
+    rows = standardize.standardize(
+        raw(spark, sf).withColumn("asin", F.col("product_id").cast("string")), RUN)
+    sinks.ensure_table(spark, name, SILVER, "scrape_date", location=fresh_path(spark, "products"))
+    sinks.write_catalog_table(rows, name)
+    return spark.sql(f"""
+        SELECT CAST(asin AS BIGINT) AS product_id, MIN(price) AS min_price, MAX(price) AS max_price,
+               ROUND(AVG(price), 2) AS avg_price, MAX(price) - MIN(price) AS price_range,
+               COUNT(*) AS total_scrapes, MAX(scrape_date) AS latest_scrape
+        FROM {name} GROUP BY asin ORDER BY total_scrapes DESC, product_id LIMIT 20""")
+
+
+def two_stage_run(spark, sf):
+    """Landed JSON to Silver to Gold; the ranking as written."""
+    out = fresh_path(spark, "run")
+    medallion.run(spark, _landed_raw(spark, sf), out, RUN, multi_line=False)
+    written = silver_source.read_table(spark, f"{out}/competitor_ranking", GOLD["competitor_ranking"])
+    return _as_product(written).drop(*STAMPS)
+
+
 PILLARS = {
     "completeness": {}, "validity": {"price_bounds": (20, 200)}, "uniqueness": {},
     "consistency": {"expected_products": 150}, "accuracy": {"price_bounds": (20, 200)}, "timeliness": {},
@@ -342,7 +373,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         line_review_trend, line_stock_gap, payload_flatten, cdc_last_change, cdc_current_state,
         cdc_state_in_steps, cdc_insert_ignore, cdc_update, cdc_upsert, cdc_transitions,
         cdc_transitions_skewsafe, cdc_log_roundtrip, stream_cdc_state, raw_landing_roundtrip,
-        silver_write_roundtrip, stream_silver,
+        silver_write_roundtrip, stream_silver, competitor_ranking_from_date, catalog_sql_report,
+        two_stage_run,
     ]
     return {**{query.__name__: query for query in named},
             **{f"dq_{name}": _pillar(name, **options) for name, options in PILLARS.items()}}
@@ -397,7 +429,8 @@ DAILY_SQL = f"""daily AS (
 
 
 def _round(value: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
+    """Half up on the digits a double prints, as Spark rounds; DuckDB's own rounding differs."""
+    return f"CAST(ROUND(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
 
 
 HISTORY_SQL = f"""history AS (
@@ -536,6 +569,9 @@ def oracle_sql() -> dict[str, str]:
     ranking_rows = _with(*to_daily, RANKING_SQL, select="SELECT * FROM ranking")
     ranking_columns = "product_id, title, price, price_rank, is_cheapest, rank_change"
 
+    most_scraped_rows = _with(*to_silver, SUMMARY_SQL, select=(
+        "SELECT * FROM summary ORDER BY total_scrapes DESC, product_id LIMIT 20"))
+
     def report(select: str) -> str:
         return _with(RAW_SQL, select=f"SELECT {select} FROM raw_obs")
 
@@ -595,8 +631,8 @@ def oracle_sql() -> dict[str, str]:
             "FROM (SELECT order_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE product_title IS NULL) AS t, "
             "COUNT(*) FILTER (WHERE sale_price IS NULL) AS p FROM log GROUP BY order_id) k) c")),
         "product_price_summary": _with(*to_silver, SUMMARY_SQL, select="SELECT * FROM summary"),
-        "most_scraped": _with(*to_silver, SUMMARY_SQL, select=(
-            "SELECT * FROM summary ORDER BY total_scrapes DESC, product_id LIMIT 20")),
+        "most_scraped": most_scraped_rows,
+        "catalog_sql_report": most_scraped_rows,
         "price_history": history_rows,
         "price_history_skewsafe": history_rows,
         "price_history_from_date": f"{history_rows} WHERE scrape_date >= DATE '{FROM}'",
@@ -609,6 +645,8 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY ABS(price_diff) DESC, product_id, scraped_at, price LIMIT 10")),
         "daily_latest": _with(*to_daily, select="SELECT * FROM daily"),
         "competitor_ranking": ranking_rows,
+        "two_stage_run": ranking_rows,
+        "competitor_ranking_from_date": f"{ranking_rows} WHERE scrape_date >= DATE '{FROM}'",
         "competitor_ranking_skewsafe": ranking_rows,
         "ranking_by_category": _with(*to_daily, RANKING_SQL, select=(
             f"SELECT {ranking_columns} FROM ranking "
