@@ -46,9 +46,11 @@ def _within(rows: DataFrame, by: Sequence[str], order: Sequence[str],
 
 def _by_chunk(rows: DataFrame, by: Sequence[str], order: Sequence[str],
               previous: Mapping[str, str], chunk: Column) -> DataFrame:
-    # Exact copies become one row with a count before anything is shuffled by key.
+    # Exact copies become one row with a count before anything is shuffled by key. The filter
+    # holds for every row; as all uses below need the count for it, they share one scan and shuffle.
     # The struct is never NULL itself, so it groups and joins on NULL keys too.
     distinct = (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+                .where(F.col("_copies") > 0)
                 .withColumn("_chunk", F.struct(*by, chunk.alias("_part"))))
 
     in_chunk = Window.partitionBy("_chunk").orderBy(*order)
