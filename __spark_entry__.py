@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline import fixed_values as fixed
 from shelfline.operators import changes, gold, keyed, quality, reports, snapshots, standardize
 from shelfline.operators.skew import Hot
 from shelfline.plans import medallion
@@ -93,7 +94,7 @@ def _pillar(name: str, **options):
 def dq_overall(spark, sf):
     report = quality.quality_report(raw(spark, sf), columns=PRODUCT, price_bounds=(20, 200))
     return quality.quality_score(report).select(
-        *[f"{pillar}_score" for pillar in quality.fixed.PILLAR_WEIGHTS],
+        *[f"{pillar}_score" for pillar in fixed.PILLAR_WEIGHTS],
         F.round("overall_score", 6).alias("overall_score"))
 
 

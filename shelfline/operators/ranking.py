@@ -54,7 +54,12 @@ def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
 
     wanted = [*rows.columns, name]
     placed = rows.withColumn("_level", level)
-    shared = F.broadcast(ranks.where(F.col("_rows") > hot.rows)
-                         .orderBy(F.desc("_rows"), "_level").limit(hot.groups))
-    return (placed.join(shared, "_level").select(*wanted)
-            .unionByName(placed.join(shared, "_level", "left_anti").join(ranks, "_level").select(*wanted)))
+
+    def shared(counted: DataFrame) -> DataFrame:
+        """The values most rows share: the same ones of levels and ranks, which hold each level once."""
+        return F.broadcast(counted.where(F.col("_rows") > hot.rows)
+                           .orderBy(F.desc("_rows"), "_level").limit(hot.groups))
+
+    many = placed.join(shared(ranks), "_level")
+    few = placed.join(shared(levels).select("_level"), "_level", "left_anti").join(ranks, "_level")
+    return many.select(*wanted).unionByName(few.select(*wanted))

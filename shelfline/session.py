@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The size a large date or a skewed join is split to, and so about that of a written file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Keyed stream state lives on executor disk, not in the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
