@@ -70,17 +70,19 @@ def gold_tables(valid: DataFrame, daily: DataFrame, run_ts: dt.datetime | None =
 
 
 def with_last_before(valid: DataFrame, from_date: dt.date, columns: Columns = DEFAULT) -> DataFrame:
-    """The rows from a date on, and each product's last row before it, so that the first
-    row of the new dates still has the row it follows."""
+    """The rows from a date on, and what their first rows follow: each product's last row
+    before that date, and the rows whose time gives no date, which may sort anywhere."""
     date = F.col(columns.date)
     before = current(valid.where(date < F.lit(from_date)), columns=columns)
-    return valid.where(date >= F.lit(from_date)).unionByName(before)
+    return (valid.where(date >= F.lit(from_date)).unionByName(before)
+            .unionByName(valid.where(date.isNull())))
 
 
 def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
              from_date: dt.date | None = None, columns: Columns = DEFAULT, hot: Hot = DEFAULT_HOT,
              metrics: RunMetrics | None = None) -> RunMetrics:
-    """Build the Gold tables, or with ``from_date`` only their dates from there on.
+    """Build the Gold tables, or with ``from_date`` only their dates from there on; rows
+    without a date are then left as they were.
 
     The daily snapshot serves four tables and is staged for them. ``stock_gap`` holds
     the present state of each product, so it is always replaced as a whole.
@@ -92,7 +94,7 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     metrics.schemas["silver"] = valid.schema
     wanted, ranked_before = F.lit(True), None
     if from_date is not None:
-        wanted = F.col(columns.date) >= F.lit(from_date)
+        wanted = F.coalesce(F.col(columns.date) >= F.lit(from_date), F.lit(False))
         valid = stage(with_last_before(valid, from_date, columns), "recent", out)
         # A copy of the table's older dates: a table is not read while it is written.
         written = read_table(spark, f"{out}/competitor_ranking", GOLD["competitor_ranking"])
