@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfline.functions.columns import named
 from shelfline.schemas import ChangeFeed
-from shelfline.session import shared_dir
+from shelfline.session import setting, shared_dir
 from shelfline.sources.cdc import feed_of
 
 
@@ -56,10 +56,12 @@ def write_table(rows: DataFrame, path: str, partition: str = "scrape_date", *,
 def write_catalog_table(rows: DataFrame, name: str, partition: str = "scrape_date", *,
                         overwrite: bool = True) -> int:
     """The same for a catalog table; columns are matched by name."""
-    table = rows.sparkSession.table(name)
+    spark = rows.sparkSession
     ready, seen = _ready(rows.select(
-        *[F.col(field.name).cast(field.dataType) for field in table.schema]), partition)
-    (ready.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=overwrite))
+        *[F.col(field.name).cast(field.dataType) for field in spark.table(name).schema]), partition)
+    # An insert by table name takes the mode from the session and no option for it.
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        ready.write.insertInto(name, overwrite=overwrite)
     return seen.get.get("rows", 0)
 
 

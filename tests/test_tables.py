@@ -12,7 +12,7 @@ from shelfline.operators.snapshots import daily_latest
 from shelfline.operators.standardize import standardize
 from shelfline.plans.medallion import EmptyInputError, publish, run, run_gold, run_silver
 from shelfline.schemas import GOLD, SILVER
-from shelfline.session import fresh_path, shared_dir
+from shelfline.session import fresh_path, setting, shared_dir
 from shelfline.sinks.tables import ensure_table, land_raw, write_catalog_table, write_table
 from shelfline.sources.bronze import CORRUPT, read_bronze
 from shelfline.sources.silver import read_merged, read_silver, read_table
@@ -169,7 +169,7 @@ def test_no_rows_are_written_for_dates_to_come(spark, bronze, tmp_path):
                                     "stock_gap": 4, "market_summary": 0}
 
 
-def test_catalog_tables_and_reports(spark, observations):
+def test_catalog_tables_and_reports(spark, observations, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     valid = observations(*[{"asin": a, "price": p, "scraped_at": at(1, 10, i)}
                            for a in "AB" for i, p in enumerate([10.0, 30.0, 25.0])])
@@ -183,8 +183,12 @@ def test_catalog_tables_and_reports(spark, observations):
             assert write_catalog_table(frame, f"gold.{name}") == frame.count()
         assert counted(spark.table(f"gold.{name}")) == counted(frame)
     other_day = observations({"asin": "C", "scraped_at": at(9)})
-    write_catalog_table(other_day, "gold.products")
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        write_catalog_table(other_day, "gold.products")
+        write_table(other_day, str(tmp_path / "t"))
+        write_table(valid, str(tmp_path / "t"))
     assert spark.table("gold.products").count() == 7
+    assert read_silver(spark, str(tmp_path / "t")).count() == 7
     described = {r.col_name: r.comment for r in spark.sql("DESCRIBE gold.products").collect()}
     assert described["scrape_date"] == "Date of the scrape, partition column"
     assert reports.run_report(spark, "product_prices", "gold").first().total_scrapes == 3
