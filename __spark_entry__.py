@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import uuid
 from collections.abc import Callable
 
@@ -377,8 +378,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         silver_write_roundtrip, stream_silver, competitor_ranking_from_date, catalog_sql_report,
         two_stage_run,
     ]
+    corpus, pipeline = _corpus()
     return {**{query.__name__: query for query in named},
-            **{f"dq_{name}": _pillar(name, **options) for name, options in PILLARS.items()}}
+            **{f"dq_{name}": _pillar(name, **options) for name, options in PILLARS.items()},
+            **(corpus.queries() if corpus else {}),
+            **({"pipeline": pipeline.run} if pipeline else {})}
+
+
+def _corpus() -> tuple:
+    """The modules of the corpus operators and of their pipeline, each None where it isn't installed."""
+    found = []
+    for name in ("shelfline.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as error:
+            if error.name not in ("shelfline.llm", "corpus_pipeline"):
+                raise
+            found.append(None)
+    return tuple(found)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -576,6 +593,7 @@ def oracle_sql() -> dict[str, str]:
     def report(select: str) -> str:
         return _with(RAW_SQL, select=f"SELECT {select} FROM raw_obs")
 
+    corpus, pipeline = _corpus()
     return {
         "silver_standardized": silver_rows,
         "silver_write_roundtrip": silver_rows,
@@ -701,4 +719,6 @@ def oracle_sql() -> dict[str, str]:
             "LEFT JOIN last l ON f.l_partkey = l.l_partkey"),
         "cdc_transitions": TRANSITION_SQL,
         "cdc_transitions_skewsafe": TRANSITION_SQL,
+        **(corpus.oracle_sql() if corpus else {}),
+        **({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}),
     }

@@ -24,10 +24,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {name for name in entry.queries() if not name.startswith("op") and name != "pipeline"}
+    assert own <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, duck, name):
     frame = entry.queries()[name](spark, str(SF_DIR))
     result = duck.sql(entry.oracle_sql()[name])
