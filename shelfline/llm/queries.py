@@ -7,18 +7,32 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe
+from shelfline.llm import bpe, pii, token_counts, url_filter
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf, "documents"), BPE_FILE)
 
 
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.summarise(pii.find_spans(table(spark, sf, "documents")))
+
+
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf, "documents"), PIECE_FILE)
+
+
+def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe}
+    return {query.__name__: query for query in (op2_bpe, op6_pii, op8_token_counts, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
