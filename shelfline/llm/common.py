@@ -103,8 +103,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     edges = staged(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
                    .where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct(), name)
-    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    members = staged(nodes.withColumn("at", F.col("id")), name)
+    members = (edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+               .withColumn("at", F.col("id")))
     seed = 0
     while edges.take(1):
         seed += 1
@@ -112,12 +112,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         arcs = edges.select("a", "b").union(edges.select("b", "a"))
         to = staged(arcs.groupBy("a").agg(F.min(rank("b")).alias("best"))
                     .select(F.col("a").alias("v"), F.least(F.col("best"), rank("a"))["v"].alias("to")), name)
-        members = staged(members.join(to, members["at"] == to["v"], "left")
-                         .select("id", F.coalesce("to", "at").alias("at")), name)
+        members = (members.join(to, members["at"] == to["v"], "left")
+                   .select("id", F.coalesce("to", "at").alias("at")))
         a, b = (to.select(F.col("v").alias(x), F.col("to").alias("to_" + x)) for x in "ab")
         edges = staged(edges.join(a, "a").join(b, "b").where("to_a <> to_b")
                        .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
                        .distinct(), name)
+    members = staged(members, name)
     least = members.groupBy("at").agg(F.min("id").alias("component"))
     return staged(members.join(least, "at").select("id", "component"), name)
 

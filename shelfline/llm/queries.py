@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, pii, token_counts, url_filter
+from shelfline.llm import bpe, line_dedup, near_dedup, pii, token_counts, url_filter
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +20,16 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf, "documents"), BPE_FILE)
 
 
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = line_dedup.drop_repeats(table(spark, sf, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_removed",
+                       F.sha2(F.coalesce("cleaned", F.lit("")), 256).alias("cleaned_sha256"))
+
+
 def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.summarise(pii.find_spans(table(spark, sf, "documents")))
 
@@ -32,8 +43,9 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_bpe, op6_pii, op8_token_counts, op10_url_filter)}
+    return {query.__name__: query for query in (
+        op2_bpe, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": line_dedup.ORACLE_SQL}
