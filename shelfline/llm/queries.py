@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, line_dedup, near_dedup, pii, token_counts, url_filter
+from shelfline.llm import bpe, decontaminate, line_dedup, near_dedup, pii, token_counts, url_filter
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,10 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf, "documents"), BPE_FILE)
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf, "documents"))
 
@@ -44,7 +48,7 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
-        op2_bpe, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op10_url_filter)}
+        op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
