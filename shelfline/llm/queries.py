@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, line_dedup, near_dedup, pii, token_counts, url_filter
+from shelfline.llm import bpe, decontaminate, line_dedup, near_dedup, pii, quality, token_counts, url_filter
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,13 +42,18 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), PIECE_FILE)
 
 
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf, "labels")))
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
-        op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op10_url_filter)}
+        op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op9_quality, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
