@@ -175,9 +175,16 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, one document of each group; of rows with one doc_id, one."""
-    groups = near_groups(docs, percent).where("NOT kept").select(F.col("doc_id").alias("dropped")).distinct()
+    """The rows of docs, one document of each group; of rows with one doc_id the least; all rows without doc_id."""
+    groups = staged(near_groups(docs, percent), "near-groups")
+    dropped = groups.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
     rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(groups, rows["row.doc_id"] == groups["dropped"], "left_anti")
-    named = kept.where("row.doc_id IS NOT NULL").groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row.*")
-    return named.unionByName(kept.where("row.doc_id IS NULL").select("row.*"))
+    kept = rows.join(dropped, rows["row.doc_id"] == dropped["gone"], "left_anti")
+    again = groups.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("twice")).count().where("count > 1")
+    if not again.take(1):
+        return kept.select("row.*")
+    twice = again.select("twice")
+    once = kept.join(twice, kept["row.doc_id"] == twice["twice"], "left_anti")
+    least = (kept.join(twice, kept["row.doc_id"] == twice["twice"], "left_semi")
+             .groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row"))
+    return once.union(least).select("row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, line_dedup, near_dedup, pii, quality, token_counts, url_filter
+from shelfline.llm import bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, quality, token_counts, url_filter
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,10 @@ PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.summarise(licenses.scan(table(spark, sf, "documents")))
+
+
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf, "documents"), BPE_FILE)
 
@@ -38,6 +42,10 @@ def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.summarise(pii.find_spans(table(spark, sf, "documents")))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embed_dedup.near_groups(table(spark, sf, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), PIECE_FILE)
 
@@ -53,8 +61,8 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
-        op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op8_token_counts, op9_quality, op10_url_filter)}
+        op1_licenses, op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op7_embedding_dedup, op8_token_counts, op9_quality, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_licenses": licenses.ORACLE_SQL, "op5_line_dedup": line_dedup.ORACLE_SQL}
