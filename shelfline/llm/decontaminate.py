@@ -18,6 +18,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from uuid import uuid4
 
 import ahocorasick
 import pyarrow as pa
@@ -146,25 +147,28 @@ def _prefix(pattern: Pattern, text: str) -> int:
     return max(j for j, d in enumerate(row) if d == least)
 
 
-_matchers: dict[int, Matcher] = {}
+_matchers: dict[tuple[str, float], Matcher] = {}
 
 
-def _matcher(items: Broadcast, rate: float) -> Matcher:
+def _matcher(block: tuple[str, Broadcast], rate: float) -> Matcher:
     """The matcher of a block, built once in a worker process; the last one only."""
-    if items._jid not in _matchers:
+    name, items = block
+    if (name, rate) not in _matchers:
         _matchers.clear()
-        _matchers[items._jid] = Matcher(items.value, rate)
-    return _matchers[items._jid]
+        _matchers[name, rate] = Matcher(items.value, rate)
+    return _matchers[name, rate]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[str, Broadcast]]:
+    """Each block of items, by a name of its own."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     count = -(-size // BLOCK)
     for k in range(count):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k)
-        yield benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in block.distinct().collect()])
+        rows = sorted(tuple(r) for r in block.distinct().collect())
+        yield uuid4().hex, benchmark.sparkSession.sparkContext.broadcast(rows)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, quality, token_counts, url_filter
+from shelfline.llm import (
+    bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, quality, token_counts, url_filter)
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -61,7 +62,8 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
-        op1_licenses, op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op7_embedding_dedup, op8_token_counts, op9_quality, op10_url_filter)}
+        op1_licenses, op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op7_embedding_dedup,
+        op8_token_counts, op9_quality, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
