@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, path: str, part: int = PART, with_ids: boo
                       F.substring("text", (F.col("k") * part + 1).cast("int"), F.lit(part)).alias("piece"))
               .repartition("key", "at").mapInArrow(partial(_parts, path=path), PART_SCHEMA))
     whole = pieces.groupBy("key").applyInPandas(
-        partial(_joined, path=path, with_ids=with_ids),
+        lambda parts: _joined(parts, path, with_ids),
         "key long, n_tokens long, ids_sha256 string, decoded_sha256 string" + extra)
     joined = keyed.select("doc_id", "key").join(whole, "key").drop("key")
     return short.unionByName(joined)
