@@ -9,10 +9,10 @@ number of places that agree is at least as concentrated as with independent hash
 
 ``BANDS`` bands of ``ROWS`` places retrieve candidates: at a similarity of 0.85 a pair shares none with a probability
 of (1 - 0.85**4)**20, under 4e-7. Candidates are confirmed on the full sets, so no false link is made. Within a
-bucket not all pairs are compared: documents of one word sequence are one class; the ``h`` smallest classes of a
-bucket are compared with all its classes, confirmed links are contracted to groups, and only buckets that still hold
-several groups go on, with larger h and without the classes that were compared with all. That ends when every
-pair of a bucket either was compared or lies in one group, so it gives the groups that all pairs would give.
+bucket no pairs are listed. First its smallest class is compared with all others, which settles most buckets. Those
+that still hold several groups are compared in blocks of ``BLOCK`` classes: a pair of blocks counts
+the intersections of all its pairs by matrix products and returns, for each class, the least one it reaches over links
+there. So every pair of a bucket is either compared or known to lie in one group, with rows in proportion to classes.
 
 Null, empty and blank texts have an empty set and no links. Rows with one doc_id count as one document: what any of
 them links to. Rows without doc_id link to nothing and are kept.
@@ -24,8 +24,9 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import components, mix, shingles_of, staged, words_of
@@ -35,7 +36,8 @@ COORDINATES = 80
 ROWS = 4
 BANDS = COORDINATES // ROWS
 PERCENT = 85       # links have 100 * intersection >= PERCENT * union
-HUBS = (1, 8)      # classes of a bucket compared with all others: first, then; then eight times more each time
+BLOCK = 256        # classes of a bucket compared at a time
+COLUMNS = 1 << 15  # distinct shingles counted at a time
 
 PRINT_SCHEMA = "doc_id long, n_shingles long, class binary, bands array<long>"
 SET_SCHEMA = "id long, set array<long>"
@@ -136,32 +138,53 @@ def link_groups(docs: DataFrame, printed: DataFrame, percent: int = PERCENT) ->
                   .mapInArrow(_sets, SET_SCHEMA), "near-sets")
     links = staged(same.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
                    .distinct(), "near-links")
-    hubs = HUBS[0]
-    while True:
-        # n is the smaller set's size at least: a pair of too different sizes cannot be linked
-        order = Window.partitionBy("band").orderBy("id")
-        hub = (bucket.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
-               .select("band", F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), "rank"))
-        group = [bucket.columns[-1]] if "component" in bucket.columns else []
-        if group:
-            hub = hub.join(bucket.select("band", F.col("id").alias("a"), F.col("component").alias("c_a")), ["band", "a"])
-        pairs = (bucket.join(hub, "band").where("id > a")
-                 .where(F.least("n_shingles", "n_a") * 100 >= F.greatest("n_shingles", "n_a") * percent))
-        if group:
-            pairs = pairs.where("component <> c_a")
-        pairs = staged(pairs.select("a", F.col("id").alias("b")).distinct(), "near-pairs")
-        links = links.union(staged(confirm(pairs, sets, percent), "near-links"))
-        grouped = components(links, "near-components")
-        # classes that were hubs are done; buckets of one group too
-        left = (bucket.select("band", "id", "n_shingles")
-                .join(hub.select("band", F.col("a").alias("id")), ["band", "id"], "left_anti")
-                .join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id")))
-        open_ = (left.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where("lo <> hi").select("band"))
-        bucket = staged(left.join(open_, "band", "left_semi"), "near-buckets")
-        if not bucket.take(1):
-            return grouped
-        hubs = max(HUBS[1], hubs * 8)
+    hub = bucket.groupBy("band").agg(F.min("id").alias("a"))
+    sizes = bucket.select("id", F.col("n_shingles").alias("n_a")).distinct()
+    pairs = (bucket.join(hub, "band").where("id > a").select("a", "id", "n_shingles").distinct()
+             .join(sizes.withColumnRenamed("id", "a"), "a")  # sets of too different sizes cannot be linked
+             .where(F.least("n_shingles", "n_a") * 100 >= F.greatest("n_shingles", "n_a") * percent))
+    links = links.union(staged(confirm(pairs.select("a", F.col("id").alias("b")).distinct(), sets, percent), "near-links"))
+    grouped = components(links, "near-components")
+    left = (bucket.join(hub, "band").where("id <> a").select("band", "id").distinct()
+            .join(grouped, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component")))
+    # buckets with several groups, each set of classes once
+    open_ = (left.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"),
+                                      F.bit_xor(F.xxhash64("id")).alias("who")).where("lo <> hi")
+             .groupBy("n", "who").agg(F.min("band").alias("band"))
+             .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    members = left.select("band", "id").join(open_, "band").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = (members.join(sets, "id").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "set"))
+    found = dealt.groupBy("band", "i", "j").applyInPandas(lambda rows: _block_links(rows, percent), "a long, b long")
+    return components(links.union(staged(found, "near-links")), "near-components")
+
+
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(a, b): each class of a pair of blocks with the least one that it reaches over links within the pair."""
+    rows = rows.drop_duplicates("id")
+    ids, sets = rows["id"].to_numpy(), list(rows["set"])
+    size = np.array([len(s) for s in sets])
+    who = np.repeat(np.arange(len(ids)), size)
+    values, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(often > 1) - 1  # only shingles of several sets count
+    keep = often[place] > 1
+    who, place = who[keep], shared[place[keep]]
+    both = np.zeros((len(ids), len(ids)), np.float32)
+    order = np.argsort(place, kind="stable")
+    who, place = who[order], place[order]
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        a, b = np.searchsorted(place, (low, low + COLUMNS))
+        held = np.zeros((len(ids), min(COLUMNS, int(place[-1]) + 1 - low)), np.float32)
+        held[who[a:b], place[a:b] - low] = 1
+        both += held @ held.T
+    union = size[:, None] + size[None, :] - both
+    linked = (both > 0) & (100.0 * both.astype(np.float64) >= percent * union.astype(np.float64))
+    least, before = ids.copy(), None
+    while before is None or not np.array_equal(before, least):
+        before = least
+        least = np.minimum(least, np.where(linked, least[None, :], np.iinfo(np.int64).max).min(1))
+    moved = least != ids
+    return pd.DataFrame({"a": ids[moved], "b": least[moved]})
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
