@@ -6,12 +6,14 @@ import datetime as dt
 import importlib
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fixed
 from shelfline.operators import changes, gold, keyed, quality, reports, snapshots, standardize
+from shelfline.functions.columns import date_folder, file_stamp, iso_text, op_code, op_name
 from shelfline.operators.skew import Hot
 from shelfline.plans import medallion
 from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
@@ -22,6 +24,7 @@ from shelfline.streaming import changes as change_stream
 from shelfline.streaming import silver as silver_stream
 
 PRODUCT = supplied.PRODUCT
+table = supplied.table
 RUN = dt.datetime(2024, 2, 1)
 FROM = dt.date(2024, 1, 15)
 ALL_HOT = Hot(rows=0)
@@ -208,8 +211,7 @@ def payload_flatten(spark, sf):
         F.when(F.col("price") > 30, F.array(F.struct(F.col("category").alias("name")))).alias("categories"),
     ).cast(PAYLOAD).alias("product"))
     time = F.to_timestamp_ntz(F.substring("scraped_at", 1, 26)).cast("timestamp")
-    flat = bronze.flatten_payload(nested, key="product_id", scraped_at=time, source="synthetic")
-    return flat.withColumn("scraped_at", F.substring("scraped_at", 1, 26))
+    return bronze.flatten_payload(nested, key="product_id", scraped_at=time, source="synthetic")
 
 
 def _order_view(rows: DataFrame, *further) -> DataFrame:
@@ -329,25 +331,48 @@ def silver_write_roundtrip(spark, sf):
 def stream_silver(spark, sf):
     out = fresh_path(spark, "silver")
     landed = silver_stream.stream_bronze(spark, _landed_raw(spark, sf), multi_line=False)
-    (silver_stream.stream_silver(landed.withColumn("source", F.lit("synthetic")), out,
-                                 fresh_path(spark, "checkpoint"), RUN)
-     .awaitTermination())
-    rows = _as_product(silver_source.read_silver(spark, out)).drop(*STAMPS)
-    return rows.withColumn("source_system", F.lit("synthetic"))
+    silver_stream.stream_silver(landed, out, fresh_path(spark, "checkpoint"), RUN,
+                                source_system="synthetic").awaitTermination()
+    return _as_product(silver_source.read_silver(spark, out)).drop(*STAMPS)
 
 
 def catalog_sql_report(spark, sf):
     """Silver in a catalog table, reported on from SQL text."""
-    name = f"products_{uuid.uuid4().hex}"
     rows = standardize.standardize(
         raw(spark, sf).withColumn("asin", F.col("product_id").cast("string")), RUN)
-    sinks.ensure_table(spark, name, SILVER, "scrape_date", location=fresh_path(spark, "products"))
+    name = _catalog_table(spark)
     sinks.write_catalog_table(rows, name)
-    return spark.sql(f"""
+    report = spark.sql(f"""
         SELECT CAST(asin AS BIGINT) AS product_id, MIN(price) AS min_price, MAX(price) AS max_price,
                ROUND(AVG(price), 2) AS avg_price, MAX(price) - MIN(price) AS price_range,
                COUNT(*) AS total_scrapes, MAX(scrape_date) AS latest_scrape
         FROM {name} GROUP BY asin ORDER BY total_scrapes DESC, product_id LIMIT 20""")
+    return _without_table(report, name)
+
+
+def _catalog_table(spark: SparkSession) -> str:
+    """An empty Silver table in the catalog, its files in the shared folder."""
+    name = f"products_{uuid.uuid4().hex}"
+    sinks.ensure_table(spark, name, SILVER, "scrape_date", location=fresh_path(spark, "products"))
+    return name
+
+
+def _without_table(result: DataFrame, name: str) -> DataFrame:
+    """The result, staged, so that the table it came from can leave the catalog."""
+    spark, path = result.sparkSession, fresh_path(result.sparkSession, "result")
+    result.write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def catalog_schema_merge(spark, sf):
+    """Rows with a further column appended to a catalog table that lacks it."""
+    rows = standardize.standardize(raw(spark, sf).withColumn("asin", F.col("product_id").cast("string")), RUN)
+    name = _catalog_table(spark)
+    even = F.col("asin").cast("bigint") % 2 == 0
+    sinks.write_catalog_table(rows.where(even).drop("rating"), name, overwrite=False)
+    sinks.write_catalog_table(rows.where(~even).withColumn("seller", F.concat(F.lit("s"), "asin")), name, overwrite=False)
+    return _without_table(_as_product(spark.table(name)).select("product_id", "rating", "seller", "scraped_at"), name)
 
 
 def two_stage_run(spark, sf):
@@ -358,6 +383,154 @@ def two_stage_run(spark, sf):
     return _as_product(written).drop(*STAMPS)
 
 
+#: Key and a measure of each Gold table, by which its written rows are compared.
+DIGEST = {"price_history": ("product_id", "price_diff"), "competitor_ranking": ("product_id", "price_rank"),
+          "review_trend": ("product_id", "reviews_gained"), "stock_gap": ("product_id", "price"),
+          "market_summary": ("category", "avg_price")}
+
+
+def _gold_digest(spark: SparkSession, out: str) -> DataFrame:
+    """Every row of the five Gold tables as written."""
+    parts = []
+    for name, (key, measure) in DIGEST.items():
+        rows = silver_source.read_table(spark, f"{out}/{name}", GOLD[name])
+        key = "asin" if key == "product_id" else key
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
+                                 F.col("scrape_date").alias("day"), F.col(measure).cast("double").alias("measure")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+DAY = dt.date(2024, 1, 17)
+
+
+def _raw_rows(spark, sf) -> DataFrame:
+    return raw(spark, sf).withColumnRenamed("product_id", "asin").drop("event_id")
+
+
+def gold_all_tables(spark, sf):
+    """All five Gold tables of a run as written."""
+    out = fresh_path(spark, "run")
+    medallion.run(spark, _landed_raw(spark, sf), out, RUN, multi_line=False)
+    return _gold_digest(spark, out)
+
+
+def _corrected(spark, sf, from_date: dt.date | None) -> DataFrame:
+    """A run, then a day landed again without its prices, and a second run."""
+    out, path = fresh_path(spark, "run"), _landed_raw(spark, sf)
+    medallion.run(spark, path, out, RUN, multi_line=False)
+    day = _raw_rows(spark, sf).where(F.col("scraped_at").startswith(str(DAY)))
+    sinks.land_raw(day.withColumn("price", F.lit(None).cast("double")), path, mode="overwrite")
+    medallion.run(spark, path, out, RUN, multi_line=False, from_date=from_date)
+    return _gold_digest(spark, out)
+
+
+def gold_after_corrected_day(spark, sf):
+    return _corrected(spark, sf, None)
+
+
+def gold_from_corrected_day(spark, sf):
+    """The second run from that day on only."""
+    return _corrected(spark, sf, DAY)
+
+
+def gold_first_run_from_date(spark, sf):
+    """A first run that begins at a date, with nothing written before."""
+    out = fresh_path(spark, "run")
+    medallion.run(spark, _landed_raw(spark, sf), out, RUN, multi_line=False, from_date=FROM)
+    return _gold_digest(spark, out)
+
+
+def silver_after_late_file(spark, sf):
+    """Silver of two thirds of the products, then a late file with the rest of all its dates."""
+    out = fresh_path(spark, "run")
+    late = F.col("asin") % 3 == 0
+    for rows, is_late in ((_raw_rows(spark, sf).where(~late), False), (_raw_rows(spark, sf).where(late), True)):
+        path = fresh_path(spark, "raw")
+        sinks.land_raw(rows, path)
+        medallion.run_silver(spark, path, out, RUN, multi_line=False, late=is_late, source_system="synthetic")
+    return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
+
+
+def multi_line_bronze(spark, sf):
+    """One object per file, over several lines of text: a supplier as an observation."""
+    path = fresh_path(spark, "raw")
+    rows = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("asin"), F.concat("s_name", F.lit("\n")).alias("title"),
+        F.col("s_acctbal").alias("price"), F.lit("2024-01-01T00:00:00.000000+00:00").alias("scraped_at"))
+    text = F.to_json(F.struct("*"), {"pretty": "true"})
+    # a column of text to a file of its own for each row
+    rows.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    found = bronze.read_bronze(spark, path)
+    return found.select(F.col("asin").cast("bigint").alias("product_id"), "title",
+                        F.col("price").cast("double").alias("price"), "scraped_at")
+
+
+def whole_numbers(spark, sf):
+    """reviews_count landed as a whole number, with a fraction, with an exponent, as text that is none."""
+    k = F.col("l_linenumber") % 5
+    count = F.col("l_quantity").cast("int")
+    shape = (F.when(k == 0, count.cast("string")).when(k == 1, F.concat(count.cast("string"), F.lit(".0")))
+             .when(k == 2, F.concat(count.cast("string"), F.lit(".75")))
+             .when(k == 3, F.concat(count.cast("string"), F.lit("e1"))).otherwise(F.lit("9e99")))
+    path = fresh_path(spark, "raw")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat(
+        F.lit('{"asin": "'), F.col("l_orderkey").cast("string"), F.lit('", "title": "'),
+        F.col("l_linenumber").cast("string"), F.lit('", "reviews_count": '), shape, F.lit("}")).alias("value"))
+    lines.select("value").write.text(path)
+    rows = standardize.standardize(bronze.read_bronze(spark, path, multi_line=False), RUN)
+    return rows.groupBy(F.col("asin").cast("bigint").alias("order_key"), F.col("title").cast("int").alias("line")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("reviews_count").alias("reviews"))
+
+
+def table_row_counts(spark, sf):
+    """Rows of the tables a run has written, counted, beside the number each write returned."""
+    out = fresh_path(spark, "run")
+    metrics = medallion.run(spark, _landed_raw(spark, sf), out, RUN, multi_line=False)
+    counts = reports.table_counts({name: silver_source.read_table(spark, f"{out}/{name}", GOLD[name]) for name in GOLD})
+    return spark.createDataFrame([(n, counts[n], metrics.rows_written[n]) for n in sorted(counts)],
+                                 "table_name string, counted long, written long")
+
+
+def published_report(spark, sf):
+    """A report by name on the catalog table it belongs to."""
+    out, database = fresh_path(spark, "run"), f"shelf_{uuid.uuid4().hex}"
+    medallion.run(spark, _landed_raw(spark, sf), out, RUN, multi_line=False)
+    medallion.publish(spark, out, database)
+    found = _as_product(reports.run_report(spark, "product_prices", database))
+    path = fresh_path(spark, "result")
+    found.write.parquet(path)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def order_key_listing(spark, sf):
+    """Keys with their columns, and the names of operation codes and back, file and folder names of a time."""
+    log = supplied.order_changes(spark, sf).withColumns({
+        "op_name": op_name("op"), "op_again": op_code(F.upper(op_name("op"))), "op_same": op_code("op"),
+        "stamp": file_stamp(iso_text("created_at")), "folder": date_folder("created_at")})
+    return reports.key_listing(log, ["order_id", "seq"], ["op_name", "op_again", "op_same", "stamp", "folder"])
+
+
+def inventory_defaults(spark, sf):
+    """Missing stock figures replaced by the table's defaults."""
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.when(F.col("p_size") > 10, F.col("p_size")).cast("int").alias("stock_quantity"),
+        F.when(F.col("p_partkey") % 3 > 0, F.col("p_size")).cast("int").alias("reorder_point"))
+    return quality.apply_defaults(rows, fixed.INVENTORY_DEFAULTS)
+
+
+def dq_displayed(spark, sf):
+    """The quality scores as a printed report shows them."""
+    return quality.rounded(dq_overall(spark, sf), 1)
+
+
+def run_time_stamp(spark, sf):
+    """The stamp of a run with a fixed time, on every row."""
+    return silver(spark, sf).groupBy(F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 PILLARS = {
     "completeness": {}, "validity": {"price_bounds": (20, 200)}, "uniqueness": {},
     "consistency": {"expected_products": 150}, "accuracy": {"price_bounds": (20, 200)}, "timeliness": {},
@@ -367,6 +540,9 @@ PILLARS = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
     named = [
+        gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
+        silver_after_late_file, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
+        published_report, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
         price_history_from_date, price_changes, top_price_moves, daily_latest, competitor_ranking,
@@ -573,6 +749,20 @@ def _consistency(products: int) -> str:
             "THEN CAST(100 AS DOUBLE) ELSE CAST(50 AS DOUBLE) END")
 
 
+#: Where each Gold table stands in the SQL.
+VIEWS = {"price_history": "history", "competitor_ranking": "ranking", "review_trend": "trend", "stock_gap": "gap",
+         "market_summary": "market"}
+CORRECTED_SQL = f"""{RAW_SQL.replace("raw_obs AS", "raw_all AS", 1)},
+raw_obs AS (SELECT * REPLACE (CASE WHEN scraped_at LIKE '{DAY}%' THEN NULL ELSE price END AS price) FROM raw_all)"""
+
+
+def digest(raw_sql: str) -> str:
+    """Key, day and measure of every row of the five Gold tables."""
+    return _with(raw_sql, SILVER_SQL, DAILY_SQL, HISTORY_SQL, RANKING_SQL, TREND_SQL, GAP_SQL, MARKET_SQL, select=" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key, scrape_date AS day, CAST({measure} AS DOUBLE) AS measure "
+        f"FROM {VIEWS[name]}" for name, (key, measure) in DIGEST.items()))
+
+
 def _with(*parts: str, select: str) -> str:
     return f"WITH {', '.join(parts)} {select}"
 
@@ -593,6 +783,12 @@ def oracle_sql() -> dict[str, str]:
     def report(select: str) -> str:
         return _with(RAW_SQL, select=f"SELECT {select} FROM raw_obs")
 
+    overall_rows = _with(RAW_SQL, select=(
+        f"SELECT *, {_round('0.25 * completeness_score + 0.25 * validity_score + 0.20 * uniqueness_score + 0.15 * consistency_score + 0.10 * accuracy_score + 0.05 * timeliness_score', 6)}"
+        f" AS overall_score FROM (SELECT {COMPLETENESS} AS completeness_score, "
+        f"{VALIDITY} AS validity_score, {UNIQUENESS} AS uniqueness_score, "
+        f"{_consistency(11)} AS consistency_score, {ACCURACY} AS accuracy_score, "
+        "CAST(100 AS DOUBLE) AS timeliness_score FROM raw_obs) s"))
     corpus, pipeline = _corpus()
     return {
         "silver_standardized": silver_rows,
@@ -602,7 +798,7 @@ def oracle_sql() -> dict[str, str]:
             RAW_SQL, select=f"SELECT {', '.join(supplied.OBSERVATION)} FROM raw_obs"),
         "payload_flatten": _with(RAW_SQL, select=(
             "SELECT product_id, title, price, rating, reviews_count, in_stock, "
-            "CASE WHEN price > 30 THEN category END AS category, substr(scraped_at, 1, 26) AS scraped_at, "
+            "CASE WHEN price > 30 THEN category END AS category, scraped_at, "
             "source FROM raw_obs")),
         "dq_status_counts": _with(
             *to_silver, select="SELECT dq_status, COUNT(*) AS row_count FROM silver GROUP BY dq_status"),
@@ -635,12 +831,10 @@ def oracle_sql() -> dict[str, str]:
         "dq_timeliness": report(
             f"{TOTAL}, MIN(scraped_at) AS earliest_scrape, MAX(scraped_at) AS latest_scrape, "
             "COUNT(DISTINCT scraped_at) AS distinct_scrape_times, CAST(100 AS DOUBLE) AS timeliness_score"),
-        "dq_overall": _with(RAW_SQL, select=(
-            f"SELECT *, {_round('0.25 * completeness_score + 0.25 * validity_score + 0.20 * uniqueness_score + 0.15 * consistency_score + 0.10 * accuracy_score + 0.05 * timeliness_score', 6)}"
-            f" AS overall_score FROM (SELECT {COMPLETENESS} AS completeness_score, "
-            f"{VALIDITY} AS validity_score, {UNIQUENESS} AS uniqueness_score, "
-            f"{_consistency(11)} AS consistency_score, {ACCURACY} AS accuracy_score, "
-            "CAST(100 AS DOUBLE) AS timeliness_score FROM raw_obs) s")),
+        "dq_overall": overall_rows,
+        "dq_displayed": "SELECT " + ", ".join(
+            f"round_even({pillar}_score, 1) AS {pillar}_score" for pillar in (*fixed.PILLAR_WEIGHTS, "overall"))
+        + f" FROM ({overall_rows}) o",
         "constraint_check": _with(LOG_SQL, select=(
             "SELECT *, duplicate_keys + null_order_id + null_product_title + null_sale_price = 0 "
             "AS constraints_hold FROM (SELECT CAST(SUM(n) AS BIGINT) AS total_records, "
@@ -665,6 +859,35 @@ def oracle_sql() -> dict[str, str]:
         "daily_latest": _with(*to_daily, select="SELECT * FROM daily"),
         "competitor_ranking": ranking_rows,
         "two_stage_run": ranking_rows,
+        "gold_all_tables": digest(RAW_SQL),
+        "gold_after_corrected_day": digest(CORRECTED_SQL),
+        "gold_from_corrected_day": digest(CORRECTED_SQL),
+        "gold_first_run_from_date": digest(f"{RAW_SQL.replace('raw_obs AS', 'raw_all AS', 1)}, raw_obs AS "
+                                           f"(SELECT * FROM raw_all WHERE scraped_at >= '{FROM}')"),
+        "silver_after_late_file": silver_rows,
+        "catalog_schema_merge": _with(*to_silver, select=(
+            "SELECT product_id, CASE WHEN product_id % 2 <> 0 THEN rating END AS rating, "
+            "CASE WHEN product_id % 2 <> 0 THEN 's' || product_id END AS seller, scraped_at FROM silver")),
+        "multi_line_bronze": (
+            "SELECT s_suppkey AS product_id, s_name || chr(10) AS title, s_acctbal AS price, "
+            "'2024-01-01T00:00:00.000000+00:00' AS scraped_at FROM supplier"),
+        "whole_numbers": (
+            "SELECT l_orderkey AS order_key, l_linenumber AS line, COUNT(*) AS n, SUM(CASE l_linenumber % 5 "
+            "WHEN 3 THEN CAST(l_quantity AS INT) * 10 WHEN 4 THEN NULL ELSE CAST(l_quantity AS INT) END) AS reviews "
+            "FROM lineitem GROUP BY l_orderkey, l_linenumber"),
+        "table_row_counts": _with(*to_daily, HISTORY_SQL, RANKING_SQL, TREND_SQL, GAP_SQL, MARKET_SQL, select=" UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, COUNT(*) AS counted, COUNT(*) AS written FROM {view}"
+            for name, view in VIEWS.items())),
+        # the written key is text, and so is the order of its ties
+        "published_report": most_scraped_rows.replace("DESC, product_id LIMIT", "DESC, CAST(product_id AS VARCHAR) LIMIT"),
+        "order_key_listing": _with(LOG_SQL, select=(
+            "SELECT order_id, seq, CASE op WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op_name, "
+            "op AS op_again, op AS op_same, strftime(created_on, '%Y-%m-%dT00-00-00.000000+00-00') AS stamp, "
+            "strftime(created_on, '%Y/%m/%d') AS folder FROM log")),
+        "inventory_defaults": (
+            "SELECT p_partkey AS product_id, CASE WHEN p_size > 10 THEN p_size ELSE 0 END AS stock_quantity, "
+            "CASE WHEN p_partkey % 3 > 0 THEN p_size ELSE 50 END AS reorder_point FROM part"),
+        "run_time_stamp": f"SELECT '{RUN}' AS processed, COUNT(*) AS n FROM events",
         "competitor_ranking_from_date": f"{ranking_rows} WHERE scrape_date >= DATE '{FROM}'",
         "competitor_ranking_skewsafe": ranking_rows,
         "ranking_by_category": _with(*to_daily, RANKING_SQL, select=(
@@ -704,10 +927,12 @@ def oracle_sql() -> dict[str, str]:
             "FROM base b LEFT JOIN last l ON b.order_id = l.order_id"),
         "cdc_upsert": _with(
             "base AS (SELECT p_partkey AS product_id, p_name AS product_title, p_size AS stock_quantity, "
-            "50 AS reorder_point, p_retailprice AS unit_cost FROM part WHERE p_partkey % 4 <> 0)",
+            "50 AS reorder_point, p_retailprice AS unit_cost FROM part)",
+            "lines AS (SELECT * REPLACE (CASE WHEN l_partkey % 4 = 0 THEN -l_partkey ELSE l_partkey END AS l_partkey) "
+            "FROM lineitem)",
             "new AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, "
             "l_linenumber, l_extendedprice) AS n, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY "
-            "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS back FROM lineitem)",
+            "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS back FROM lines)",
             "first AS (SELECT * FROM new WHERE n = 1)", "last AS (SELECT * FROM new WHERE back = 1)",
             select="SELECT COALESCE(b.product_id, f.l_partkey) AS product_id, "
             "COALESCE(b.product_title, 'line ' || f.l_linenumber) AS product_title, "

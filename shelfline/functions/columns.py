@@ -21,8 +21,8 @@ def as_double(column: Column | str) -> Column:
 
 
 def as_int(column: Column | str) -> Column:
-    """An INT, or NULL where the value is none or does not fit."""
-    return named(column).try_cast("int")
+    """The whole part of any number, also one written 990.0 or 9.9e2, or NULL where the value is none or does not fit."""
+    return named(column).try_cast("double").try_cast("int")
 
 
 def utc_date(iso_text: Column | str) -> Column:

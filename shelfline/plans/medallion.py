@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline import fixed_values as fixed
 from shelfline.operators import gold
 from shelfline.operators.quality import quality_report, quality_score
 from shelfline.operators.skew import DEFAULT_HOT, Hot
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
-from shelfline.sinks.tables import ensure_table, stage, write_table
+from shelfline.sinks.tables import date_folders, ensure_table, stage, table_exists, write_table
 from shelfline.sources.bronze import read_bronze
 from shelfline.sources.silver import read_silver, read_table
 
@@ -24,6 +25,10 @@ class EmptyInputError(ValueError):
     """A stage found nothing to work on."""
 
 
+class PartialDateError(ValueError):
+    """Files hold only a part of a date that is stored whole."""
+
+
 @dataclass
 class RunMetrics:
     """What a run reports instead of printing."""
@@ -35,13 +40,15 @@ class RunMetrics:
 
 
 def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
-               multi_line: bool = True, columns: Columns = DEFAULT,
-               metrics: RunMetrics | None = None) -> RunMetrics:
+               multi_line: bool = True, columns: Columns = DEFAULT, late: bool = False, replace: bool = False,
+               source_system: str = fixed.SOURCE_SYSTEM, metrics: RunMetrics | None = None) -> RunMetrics:
     """Read raw observations, report on their quality, write Silver.
 
     The dates read replace those written before, so ``bronze`` should hold whole
-    dates: all folders, or a list of some. The JSON is parsed once; the report and
-    Silver read a columnar copy of it.
+    dates: all folders, or a list of some. If a date already stored holds a product that is not read again,
+    a PartialDateError is raised before anything is written, unless ``replace`` says that it is to go. With ``late``
+    the files are additions: stored rows of their dates stay, but for those with the key and time of a row
+    read now. The JSON is parsed once; the report and Silver read a columnar copy of it.
     """
     metrics = metrics or RunMetrics()
     raw = stage(read_bronze(spark, bronze, multi_line=multi_line), "raw", out)
@@ -49,7 +56,21 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
         raise EmptyInputError(f"no raw observations in {bronze}")
     metrics.schemas["raw"] = raw.schema
     metrics.quality = quality_score(quality_report(raw, columns=columns)).first().asDict()
-    silver = standardize(raw, run_ts, columns=columns)
+    silver = standardize(raw, run_ts, columns=columns, source_system=source_system)
+    products = f"{out}/products"
+    if not replace and table_exists(spark, products):
+        dates = silver.select(columns.date).distinct()
+        stored = (read_silver(spark, products, columns=columns)
+                  .join(F.broadcast(dates), columns.date, "left_semi"))  # as many as days
+        if late:
+            again = silver.select(columns.key, columns.time).distinct()
+            others = stored.join(again, [columns.key, columns.time], "left_anti").select(silver.columns)
+            # a copy: a table is not read while it is written
+            silver = stage(silver.unionByName(others), "merged", out)
+        else:
+            lost = stored.join(silver.select(columns.date, columns.key).distinct(), [columns.date, columns.key], "left_anti")
+            if not lost.isEmpty():
+                raise PartialDateError(f"{bronze} lacks products that {products} holds for the same dates")
     metrics.rows_written["products"] = write_table(silver, f"{out}/products", columns.date)
     metrics.status = {row[0]: row[1] for row in status_counts(silver, columns=columns).collect()}
     return metrics
@@ -82,7 +103,8 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
              from_date: dt.date | None = None, columns: Columns = DEFAULT, hot: Hot = DEFAULT_HOT,
              metrics: RunMetrics | None = None) -> RunMetrics:
     """Build the Gold tables, or with ``from_date`` only their dates from there on; rows
-    without a date are then left as they were.
+    without a date are then left as they were. Dates that have no valid row any more go:
+    the tables end as a run on a new folder would write them.
 
     The daily snapshot serves four tables and is staged for them. ``stock_gap`` holds
     the present state of each product, so it is always replaced as a whole.
@@ -97,9 +119,10 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
         wanted = F.coalesce(F.col(columns.date) >= F.lit(from_date), F.lit(False))
         valid = stage(with_last_before(valid, from_date, columns), "recent", out)
         # A copy of the table's older dates: a table is not read while it is written.
-        written = read_table(spark, f"{out}/competitor_ranking", GOLD["competitor_ranking"])
-        ranked_before = stage(latest_per(written.where(~wanted), [columns.key], [columns.date]),
-                              "ranked_before", out)
+        if table_exists(spark, f"{out}/competitor_ranking"):
+            written = read_table(spark, f"{out}/competitor_ranking", GOLD["competitor_ranking"])
+            ranked_before = stage(latest_per(written.where(~wanted), [columns.key], [columns.date]),
+                                  "ranked_before", out)
     daily = stage(daily_latest(valid, columns=columns), "daily", out)
     tables = gold_tables(valid, daily.where(wanted), run_ts, ranked_before=ranked_before,
                          columns=columns, hot=hot)
@@ -107,8 +130,9 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     tables["stock_gap"] = gold.stock_gap(daily, run_ts, columns=columns)
     for name, rows in tables.items():
         present = name == "stock_gap"
-        metrics.rows_written[name] = write_table(rows if present else rows.where(wanted), f"{out}/{name}",
-                                                 columns.date, replace_all=present)
+        metrics.rows_written[name] = write_table(
+            rows if present else rows.where(wanted), f"{out}/{name}", columns.date,
+            replace_all=present or from_date is None, replace_from=None if present else from_date)
     return metrics
 
 
@@ -122,8 +146,14 @@ def publish(spark: SparkSession, out: str, database: str, columns: Columns = DEF
 
 def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
         multi_line: bool = True, from_date: dt.date | None = None, columns: Columns = DEFAULT,
-        hot: Hot = DEFAULT_HOT) -> RunMetrics:
-    """Silver, then Gold. A stage that fails or finds nothing ends the run."""
-    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns)
+        hot: Hot = DEFAULT_HOT, late: bool = False, replace: bool = False) -> RunMetrics:
+    """Silver, then Gold. A stage that fails or finds nothing ends the run.
+
+    With ``from_date`` only the folders of Bronze from that date on are parsed, if ``bronze`` is one
+    folder of date folders; Silver and Gold keep the dates before.
+    """
+    if from_date is not None and isinstance(bronze, str):
+        bronze = date_folders(spark, bronze, from_date)
+    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace)
     return run_gold(spark, f"{out}/products", out, run_ts, from_date=from_date, columns=columns,
                     hot=hot, metrics=metrics)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Mapping
 
@@ -15,6 +16,10 @@ from shelfline.session import setting, shared_dir
 from shelfline.sources.cdc import feed_of
 
 
+#: What Spark names the folder of rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str,
                  location: str | None = None, properties: Mapping[str, str] | None = None) -> None:
     """Create a catalog table if it is missing, with the comments of its schema."""
@@ -40,25 +45,69 @@ def _ready(rows: DataFrame, partition: str) -> tuple[DataFrame, Observation]:
     return rows.hint("rebalance", partition).observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _date_files(spark: SparkSession, path: str, partition: str) -> dict[str, set[str]]:
+    """The files of each date folder of a table, whatever store it is in; none if there is no table yet."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return {}
+    folders = [f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith(f"{partition}=")]
+    return {f.getName().partition("=")[2]: {x.getPath().getName() for x in store.listStatus(f)} for f in folders}
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def date_folders(spark: SparkSession, path: str, from_date: dt.date, folder: str = "dt") -> str | list[str]:
+    """The folders ``folder=date`` of a path from a date on; the path itself if it has no such folders."""
+    dates = _date_files(spark, path, folder)
+    wanted = [f"{path}/{folder}={date}" for date in sorted(dates) if date == NO_DATE or date[:10] >= from_date.isoformat()]
+    return wanted if dates else path
+
+
 def write_table(rows: DataFrame, path: str, partition: str = "scrape_date", *,
-                mode: str = "overwrite", replace_all: bool = False) -> int:
+                mode: str = "overwrite", replace_all: bool = False, replace_from: dt.date | None = None) -> int:
     """Write a partitioned Parquet folder and return the number of rows written.
 
     ``overwrite`` replaces the dates the rows hold and leaves the others, unless all
-    are to be replaced.
+    are to be replaced, or all from a date on: dates from ``replace_from`` that the rows don't hold go once
+    the rows are written. A run that fails before leaves them, and running again removes them.
     """
+    spark = rows.sparkSession
+    before = _date_files(spark, path, partition) if replace_from is not None else {}
     ready, seen = _ready(rows, partition)
     (ready.write.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
      .partitionBy(partition).mode(mode).parquet(path))
+    if replace_from is not None:
+        after = _date_files(spark, path, partition)
+        fs = spark._jvm.org.apache.hadoop.fs
+        for date, files in before.items():
+            # a date that was written again has new files
+            if date[:10] >= replace_from.isoformat() and date != NO_DATE and after.get(date) == files:
+                folder = fs.Path(f"{path}/{partition}={date}")
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return seen.get.get("rows", 0)
 
 
 def write_catalog_table(rows: DataFrame, name: str, partition: str = "scrape_date", *,
                         overwrite: bool = True) -> int:
-    """The same for a catalog table; columns are matched by name."""
+    """The same for a catalog table; columns are matched by name.
+
+    Columns the table lacks are added to it first, NULL in its older rows; columns the rows lack are written as NULL.
+    """
     spark = rows.sparkSession
+    known = {column.lower() for column in spark.table(name).columns}
+    new = [field for field in rows.schema if field.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
+                  + ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new) + ")")
+    given = {column.lower() for column in rows.columns}
     ready, seen = _ready(rows.select(
-        *[F.col(field.name).cast(field.dataType) for field in spark.table(name).schema]), partition)
+        *[(F.col(f"`{field.name}`") if field.name.lower() in given else F.lit(None)).cast(field.dataType).alias(field.name)
+          for field in spark.table(name).schema]), partition)
     # An insert by table name takes the mode from the session and no option for it.
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ready.write.insertInto(name, overwrite=overwrite)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfline import fixed_values as fixed
 from shelfline.operators.standardize import standardize
 from shelfline.schemas import DEFAULT, RAW, Columns
 
@@ -23,9 +24,9 @@ def stream_bronze(spark: SparkSession, path: str, *, multi_line: bool = True,
 
 
 def stream_silver(raw: DataFrame, out: str, checkpoint: str, run_ts: dt.datetime | None = None, *,
-                  columns: Columns = DEFAULT) -> StreamingQuery:
+                  columns: Columns = DEFAULT, source_system: str = fixed.SOURCE_SYSTEM) -> StreamingQuery:
     """Append the Silver rows of all files not seen yet, then stop. Each file counts once."""
-    return (standardize(raw, run_ts, columns=columns).writeStream
+    return (standardize(raw, run_ts, columns=columns, source_system=source_system).writeStream
             .format("parquet").partitionBy(columns.date)
             .option("path", out).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start())

@@ -10,7 +10,8 @@ from shelfline.operators import gold, reports
 from shelfline.operators.skew import Hot
 from shelfline.operators.snapshots import daily_latest
 from shelfline.operators.standardize import standardize
-from shelfline.plans.medallion import EmptyInputError, publish, run, run_gold, run_silver
+from shelfline.functions.columns import as_int
+from shelfline.plans.medallion import EmptyInputError, PartialDateError, publish, run, run_gold, run_silver
 from shelfline.schemas import GOLD, SILVER
 from shelfline.session import fresh_path, setting, shared_dir
 from shelfline.sinks.tables import ensure_table, land_raw, write_catalog_table, write_table
@@ -200,3 +201,53 @@ def test_catalog_tables_and_reports(spark, observations, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def test_gold_drops_dates_that_lost_their_rows(spark, tmp_path):
+    rows = list(objects(days=(1, 2, 3)))
+    land_files(tmp_path / "first", rows)
+    land_files(tmp_path / "second", [{**r, "price": None} if r["scraped_at"] < at(2) and r["scraped_at"] >= at(1, 0) else r for r in rows])
+    for from_date in (None, dt.date(2026, 4, 1)):
+        out, fresh = (str(tmp_path / f"{name}{from_date}") for name in ("out", "fresh"))
+        run(spark, str(tmp_path / "first"), out, RUN)
+        run(spark, str(tmp_path / "second"), out, RUN, from_date=from_date)
+        run(spark, str(tmp_path / "second"), fresh, RUN)
+        assert tables(spark, out) == tables(spark, fresh)
+
+
+def test_a_late_file_leaves_the_rest_of_its_date(spark, tmp_path):
+    rows = list(objects(days=(1, 2)))
+    late = [r for r in rows if r["asin"] == "A3"]
+    land_files(tmp_path / "early", [r for r in rows if r["asin"] != "A3"])
+    land_files(tmp_path / "late", late)
+    land_files(tmp_path / "all", rows)
+    out, fresh = str(tmp_path / "out"), str(tmp_path / "fresh")
+    run_silver(spark, str(tmp_path / "early"), out, RUN)
+    with pytest.raises(PartialDateError):
+        run_silver(spark, str(tmp_path / "late"), out, RUN)
+    for _ in range(2):
+        run_silver(spark, str(tmp_path / "late"), out, RUN, late=True)
+    run_silver(spark, str(tmp_path / "all"), fresh, RUN)
+    assert counted(read_silver(spark, f"{out}/products")) == counted(read_silver(spark, f"{fresh}/products"))
+    run_silver(spark, str(tmp_path / "late"), out, RUN, replace=True)
+    assert read_silver(spark, f"{out}/products").count() == len(late) + 30  # all of them on the second day
+
+
+def test_catalog_appends_add_columns(spark, tmp_path):
+    spark.sql("CREATE TABLE merged (a INT, scrape_date DATE) USING parquet PARTITIONED BY (scrape_date)")
+    try:
+        rows = spark.sql("SELECT 1 AS a, 'x' AS Extra, DATE'2026-04-01' AS scrape_date")
+        write_catalog_table(rows.drop("Extra"), "merged", overwrite=False)
+        write_catalog_table(rows, "merged", overwrite=False)
+        write_catalog_table(rows.drop("a"), "merged", overwrite=False)
+        found = spark.table("merged")
+        assert {c.lower() for c in found.columns} == {"a", "extra", "scrape_date"}
+        assert counted(found.select("a", F.col("extra"))) == {("1", "None"): 1, ("1", "'x'"): 1, ("None", "'x'"): 1}
+    finally:
+        spark.sql("DROP TABLE merged")
+
+
+def test_whole_numbers_of_any_shape(spark):
+    texts = ["990", "990.0", "1500.9", "9.9e2", "-3.7", "x", "3e9", None, "NaN"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select(as_int("t")).collect()
+    assert [r[0] for r in rows] == [990, 990, 1500, 990, -3, None, None, None, None]
