@@ -126,12 +126,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 def link_groups(docs: DataFrame, printed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the documents that are linked with others, from staged prints."""
     known = printed.where("doc_id IS NOT NULL AND class IS NOT NULL")
-    same = (known.join(known.groupBy("class").agg(F.min("doc_id").alias("first")), "class")
-            .select("doc_id", "first", "class"))
-    classes = (known.join(known.groupBy("class").agg(F.min("doc_id").alias("doc_id")), ["class", "doc_id"])
+    # staged, so that a join with many rows of one class reads two plain shuffles, which Spark can split
+    first = staged(known.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "near-classes")
+    same = known.join(first.where("n > 1"), "class").select("doc_id", "first")
+    classes = (known.join(first.select("class", F.col("first").alias("doc_id")), ["class", "doc_id"])
                .select(F.col("doc_id").alias("id"), "n_shingles", "bands").dropDuplicates(["id", "n_shingles", "bands"]))
     spread = classes.select("id", "n_shingles", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    shared = staged(spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "near-shared")
     bucket = staged(spread.join(shared, "band").select("band", "id", "n_shingles").distinct(), "near-buckets")
     wanted = bucket.select("id").distinct()
     sets = staged(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
