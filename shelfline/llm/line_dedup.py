@@ -58,9 +58,12 @@ def repeated_windows(found: DataFrame) -> DataFrame:
     """KEY, first and last line of the windows that repeat an earlier one."""
     marks = found.select(*KEY, "mark").distinct()
     often = marks.groupBy(F.col("mark.hash").alias("hash")).agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    open_ = found.join(often, found["mark.hash"] == often["hash"], "left_semi").drop("mark")
+    # staged, so that joins with many rows of one window read two plain shuffles, which Spark can split
+    open_ = staged(found.join(staged(often, "line-marks"), F.col("mark.hash") == F.col("hash"), "left_semi").drop("mark"),
+                   "line-candidates")
     place = F.struct(*KEY, "first")
-    original = open_.groupBy("window").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1")
+    original = staged(open_.groupBy("window").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1"),
+                      "line-originals")
     return open_.join(original.select("window", "at"), "window").where(place != F.col("at")).select(*KEY, "first", "last")
 
 
