@@ -102,8 +102,9 @@ def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                           F.coalesce(fine, F.lit(False)).alias("fine"))
     keyed = rows.withColumns({"k1": F.xxhash64("vector"), "k2": F.xxhash64(F.lit(1), "vector")})
     good = keyed.where("fine")
-    classes = (good.select("k1", "k2", "vec_id").distinct().groupBy("k1", "k2")
-               .agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
+    # staged, so that the join with many rows of one class reads two plain shuffles, which Spark can split
+    classes = staged(good.select("k1", "k2", "vec_id").distinct().groupBy("k1", "k2")
+                     .agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "embed-first")
     distinct = staged(good.join(classes, ["k1", "k2"]).where("vec_id = id").select("k1", "k2", "id", "n", "vector")
                       .dropDuplicates(["k1", "k2"]), "embed-classes")
     sizes = distinct.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
