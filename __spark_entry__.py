@@ -290,6 +290,30 @@ def cdc_log_roundtrip(spark, sf):
     return _order_view(changes.current_rows(state, KEYS, VALUES, keep_earliest=EARLIEST))
 
 
+def inventory_log_roundtrip(spark, sf):
+    """Stock changes written as CSV and applied: titles over two lines, an update without reorder point, and an
+    insert, an update and for some parts a delete at one time."""
+    feed = FEEDS["seller_inventory"]
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("asin"), F.concat("p_name", F.lit("\n2nd line, \"quoted\"")).alias("product_title"),
+        F.col("p_size").cast("int").alias("stock_quantity"), F.col("p_size").cast("int").alias("reorder_point"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_cost"),
+        F.lit("2024-01-01").cast("timestamp").alias("updated_at"), "p_partkey")
+    at = F.lit("2024-01-01 10:00:00").cast("timestamp")
+    first = parts.withColumns({"op": F.lit("I"), "change_ts": at})
+    second = parts.withColumns({"op": F.lit("U"), "change_ts": at, "stock_quantity": F.col("stock_quantity") + 1,
+                                "reorder_point": F.lit(None).cast("int")})
+    third = parts.where("p_partkey % 7 = 0").withColumns({"op": F.lit("D"), "change_ts": at})
+    root = fresh_path(spark, "cdc")
+    sinks.land_cdc(third.unionByName(second).unionByName(first), root, feed)
+    log = cdc.accepted(cdc.decode_cdc(cdc.read_cdc(spark, root, feed), feed))
+    keys = list(feed.keys)
+    values = [name for name in feed.columns.fieldNames() if name not in keys]
+    state = changes.apply_changes(None, log, keys, values, keep_earliest=list(feed.keep_earliest))
+    return changes.current_rows(state, keys, values, keep_earliest=list(feed.keep_earliest)).select(
+        F.col("asin").cast("bigint").alias("product_id"), "product_title", "stock_quantity", "reorder_point")
+
+
 def stream_cdc_state(spark, sf):
     lines = cdc.stream_cdc(spark, _landed_orders(spark, sf), "seller_orders")
     log = cdc.accepted(cdc.decode_cdc(lines, "seller_orders"))
@@ -542,7 +566,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
         silver_after_late_file, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
-        published_report, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
+        published_report, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
         price_history_from_date, price_changes, top_price_moves, daily_latest, competitor_ranking,
@@ -884,6 +908,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT order_id, seq, CASE op WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op_name, "
             "op AS op_again, op AS op_same, strftime(created_on, '%Y-%m-%dT00-00-00.000000+00-00') AS stamp, "
             "strftime(created_on, '%Y/%m/%d') AS folder FROM log")),
+        "inventory_log_roundtrip": (
+            "SELECT p_partkey AS product_id, p_name || chr(10) || '2nd line, \"quoted\"' AS product_title, "
+            "p_size + 1 AS stock_quantity, p_size AS reorder_point FROM part WHERE p_partkey % 7 <> 0"),
         "inventory_defaults": (
             "SELECT p_partkey AS product_id, CASE WHEN p_size > 10 THEN p_size ELSE 0 END AS stock_quantity, "
             "CASE WHEN p_partkey % 3 > 0 THEN p_size ELSE 50 END AS reorder_point FROM part"),

@@ -26,20 +26,24 @@ def text_schema(feed: ChangeFeed) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: str) -> DataFrame:
+def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: str, multi_line: bool) -> DataFrame:
     # Without pruning every line is split whole, so a wrong number of values shows
     # whichever columns the query reads.
     return (reader.schema(text_schema(feed))
             .option("recursiveFileLookup", True)
             .option("columnPruning", False)
+            .option("multiLine", multi_line)
             .option("columnNameOfCorruptRecord", BAD_LINE)
             .csv(path))
 
 
-def read_cdc(spark: SparkSession, root: str, table: str | ChangeFeed) -> DataFrame:
-    """The change lines of one table as text, found by folder and not by file name."""
+def read_cdc(spark: SparkSession, root: str, table: str | ChangeFeed, *, multi_line: bool = True) -> DataFrame:
+    """The change lines of one table as text, found by folder and not by file name.
+
+    ``multi_line`` lets a quoted text hold line breaks; each file is then read by one task. Without it large files are split.
+    """
     feed = feed_of(table)
-    return _lines(spark.read, feed, f"{root}/public/{feed.table}")
+    return _lines(spark.read, feed, f"{root}/public/{feed.table}", multi_line)
 
 
 def read_cdc_all(spark: SparkSession, root: str,
@@ -49,13 +53,13 @@ def read_cdc_all(spark: SparkSession, root: str,
 
 
 def stream_cdc(spark: SparkSession, root: str, table: str | ChangeFeed,
-               files_per_batch: int | None = None) -> DataFrame:
+               files_per_batch: int | None = None, *, multi_line: bool = True) -> DataFrame:
     """The change lines of one table as a file stream."""
     feed = feed_of(table)
     reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _lines(reader, feed, f"{root}/public/{feed.table}")
+    return _lines(reader, feed, f"{root}/public/{feed.table}", multi_line)
 
 
 def _given(column: str) -> Column:
@@ -65,7 +69,10 @@ def _given(column: str) -> Column:
 
 def decode_cdc(lines: DataFrame, table: str | ChangeFeed) -> DataFrame:
     """Typed change rows with ``seq``, which orders rows of one change time, and a
-    ``reject_reason`` that is NULL for rows fit to apply."""
+    ``reject_reason`` that is NULL for rows fit to apply.
+
+    Of one time, inserts come before updates and updates before deletes; a hash of the line decides among the rest.
+    """
     feed = feed_of(table)
     typed, unreadable = [], F.lit(False)
     for field in feed.columns.fields:
@@ -82,8 +89,11 @@ def decode_cdc(lines: DataFrame, table: str | ChangeFeed) -> DataFrame:
               .when(change_ts.isNull(), "no change time")
               .when(keyless, "no key")
               .when(unreadable, "value of a wrong type"))
+    # two bits for the operation, the others from the hash
+    rank = F.coalesce(F.array_position(F.array(*map(F.lit, fixed.OP_CODES.values())), F.col("op")), F.lit(0))
+    line = F.shiftrightunsigned(F.xxhash64(*[name for name in lines.columns if name != BAD_LINE]), 3)
     return lines.select("op", change_ts.alias("change_ts"), *typed,
-                        F.xxhash64(*[name for name in lines.columns if name != BAD_LINE]).alias("seq"),
+                        F.shiftleft(rank.cast("long"), 61).bitwiseOR(line).alias("seq"),
                         F.col(BAD_LINE), reason.alias(REASON))
 
 

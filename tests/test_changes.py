@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from conftest import RUN, counted
 from shelfline.functions.columns import date_folder, file_stamp, iso_text, next_status, op_code, op_name
 from shelfline.operators import changes, keyed
+from shelfline.operators.changes import apply_changes, current_rows
 from shelfline.operators.skew import Hot
 from shelfline.schemas import FEEDS
+from shelfline.sinks.tables import land_cdc
 from shelfline.sources.cdc import accepted, decode_cdc, quarantined, read_cdc, read_cdc_all
 
 LOG = "op string, change_ts timestamp, seq long, id string, a int, b string, made int"
@@ -166,3 +168,30 @@ def test_empty_reorder_point_keeps_the_stored_one(spark, tmp_path):
     log_rows = accepted(decode_cdc(tables["seller_inventory"], feed))
     row = changes.current_rows(changes.apply_changes(None, log_rows, feed.keys, values), feed.keys, values).first()
     assert (row.stock_quantity, row.reorder_point, row.unit_cost) == (80, 25, Decimal("0.00"))
+
+
+def test_changes_of_one_time_go_from_insert_to_delete(spark, tmp_path):
+    lines = []
+    for k in range(20):
+        lines += [order_line(op="D", key=f"D{k}"), order_line(op="U", key=f"D{k}", status="shipped"), order_line(key=f"D{k}"),
+                  order_line(op="U", key=f"U{k}", status="shipped"), order_line(key=f"U{k}")]
+    write_lines(tmp_path, "seller_orders", lines)
+    feed = FEEDS["seller_orders"]
+    keys = list(feed.keys)
+    values = [name for name in feed.columns.fieldNames() if name not in keys]
+    log = accepted(decode_cdc(read_cdc(spark, str(tmp_path), "seller_orders"), "seller_orders"))
+    rows = current_rows(apply_changes(None, log, keys, values), keys, values).collect()
+    assert {(r.order_id, r.order_status) for r in rows} == {(f"U{k}", "shipped") for k in range(20)}
+
+
+def test_titles_may_hold_line_breaks(spark, tmp_path):
+    title = 'two\nlines, "quoted"\r\nand more'
+    rows = spark.createDataFrame([("O1", title)], "order_id string, product_title string")
+    feed = FEEDS["seller_orders"]
+    columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in feed.columns.fields]
+    land_cdc(rows.select(F.lit("I").alias("op"), F.lit("2026-04-01").cast("timestamp").alias("change_ts"), *columns),
+             str(tmp_path), feed)
+    decoded = decode_cdc(read_cdc(spark, str(tmp_path), feed), feed)
+    found = accepted(decoded).first().product_title
+    assert quarantined(decoded).count() == 0 and found.replace("\r\n", "\n") == title.replace("\r\n", "\n")
