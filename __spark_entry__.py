@@ -18,6 +18,7 @@ from shelfline.operators.skew import Hot
 from shelfline.plans import medallion
 from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
 from shelfline.session import fresh_path
+from shelfline.sinks import snapshots as snapshot_sink
 from shelfline.sinks import tables as sinks
 from shelfline.sources import bronze, cdc, silver as silver_source, supplied
 from shelfline.streaming import changes as change_stream
@@ -290,6 +291,14 @@ def cdc_log_roundtrip(spark, sf):
     return _order_view(changes.current_rows(state, KEYS, VALUES, keep_earliest=EARLIEST))
 
 
+def cdc_snapshot_in_loads(spark, sf):
+    """The log applied to a state on disk in three loads, one of them twice."""
+    log, path = supplied.order_changes(spark, sf), fresh_path(spark, "snapshot")
+    for k in (1, 0, 0, 2):
+        snapshot_sink.apply_to_snapshot(log.where(F.col("seq") % 3 == k), path, KEYS, VALUES, keep_earliest=EARLIEST)
+    return _order_view(snapshot_sink.read_rows(spark, path, KEYS, VALUES, keep_earliest=EARLIEST))
+
+
 def inventory_log_roundtrip(spark, sf):
     """Stock changes written as CSV and applied: titles over two lines, an update without reorder point, and an
     insert, an update and for some parts a delete at one time."""
@@ -566,7 +575,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
         silver_after_late_file, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
-        published_report, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
+        published_report, cdc_snapshot_in_loads, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
         price_history_from_date, price_changes, top_price_moves, daily_latest, competitor_ranking,
@@ -908,6 +917,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT order_id, seq, CASE op WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op_name, "
             "op AS op_again, op AS op_same, strftime(created_on, '%Y-%m-%dT00-00-00.000000+00-00') AS stamp, "
             "strftime(created_on, '%Y/%m/%d') AS folder FROM log")),
+        "cdc_snapshot_in_loads": STATE_SQL,
         "inventory_log_roundtrip": (
             "SELECT p_partkey AS product_id, p_name || chr(10) || '2nd line, \"quoted\"' AS product_title, "
             "p_size + 1 AS stock_quantity, p_size AS reorder_point FROM part WHERE p_partkey % 7 <> 0"),

@@ -45,6 +45,23 @@ def _ready(rows: DataFrame, partition: str) -> tuple[DataFrame, Observation]:
     return rows.hint("rebalance", partition).observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def folder_names(spark: SparkSession, path: str, prefix: str, *, complete: bool = False) -> list[str]:
+    """What follows the prefix in the names of a path's folders; only folders whose write ended, if asked for."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return []
+    return [f.getPath().getName()[len(prefix):] for f in store.listStatus(root)
+            if f.isDirectory() and f.getPath().getName().startswith(prefix)
+            and (not complete or store.exists(jvm.Path(f.getPath(), "_SUCCESS")))]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _date_files(spark: SparkSession, path: str, partition: str) -> dict[str, set[str]]:
     """The files of each date folder of a table, whatever store it is in; none if there is no table yet."""
     jvm = spark._jvm.org.apache.hadoop.fs
@@ -83,12 +100,10 @@ def write_table(rows: DataFrame, path: str, partition: str = "scrape_date", *,
      .partitionBy(partition).mode(mode).parquet(path))
     if replace_from is not None:
         after = _date_files(spark, path, partition)
-        fs = spark._jvm.org.apache.hadoop.fs
         for date, files in before.items():
             # a date that was written again has new files
             if date[:10] >= replace_from.isoformat() and date != NO_DATE and after.get(date) == files:
-                folder = fs.Path(f"{path}/{partition}={date}")
-                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+                remove_folder(spark, f"{path}/{partition}={date}")
     return seen.get.get("rows", 0)
 
 

@@ -2,6 +2,7 @@ from conftest import RUN, counted
 from shelfline.operators import changes
 from shelfline.operators.standardize import standardize
 from shelfline.schemas import FEEDS
+from shelfline.sinks import snapshots
 from shelfline.sources.bronze import read_bronze
 from shelfline.sources.cdc import accepted, decode_cdc, read_cdc, stream_cdc
 from shelfline.sources.silver import read_silver
@@ -57,3 +58,27 @@ def test_streamed_log_equals_batch(spark, tmp_path):
     assert set(rows) == {"O1", "O3"}
     assert (rows["O1"].order_status, float(rows["O1"].sale_price)) == ("confirmed", 1.25)
     assert read_state(spark, out, KEYS).count() == 3
+
+
+def test_compacted_state_equals_the_batches(spark, tmp_path):
+    root, out, checkpoint = (str(tmp_path / name) for name in ("cdc", "out", "checkpoint"))
+    for load in range(6):
+        write_lines(f"{root}/{load}", "seller_orders", [
+            order_line(op="U" if load else "I", key=f"O{k}", status=f"s{load}", minute=load) for k in range(load, 5)])
+        log = accepted(decode_cdc(stream_cdc(spark, f"{root}/*", "seller_orders"), "seller_orders"))
+        stream_changes(log, out, checkpoint, KEYS, VALUES, keep_earliest=EARLIEST, compact_every=2).awaitTermination()
+    rows = read_current(spark, out, KEYS, VALUES, keep_earliest=EARLIEST).collect()
+    assert {(r.order_id, r.order_status) for r in rows} == {(f"O{k}", f"s{k}") for k in range(5)}
+    assert list((tmp_path / "out").glob("base_*")) and len(list((tmp_path / "out").glob("batch_id=*"))) < 6
+
+
+def test_snapshots_are_replaced_and_kept_for_readers(spark, tmp_path):
+    path = str(tmp_path / "state")
+    log = spark.createDataFrame([(k % 4, "U", k, k, f"v{k}") for k in range(12)],
+                                "id int, op string, change_ts int, seq int, value string")
+    for low in (0, 4, 8, 8):
+        snapshots.apply_to_snapshot(log.where(f"seq >= {low} AND seq < {low + 4}"), path, ["id"], ["value"])
+    assert snapshots.versions(spark, path) == [2, 3]
+    (tmp_path / "state" / "snapshot=9").mkdir()  # a write that did not end
+    rows = snapshots.read_rows(spark, path, ["id"], ["value"]).collect()
+    assert {(r.id, r.value) for r in rows} == {(k, f"v{8 + k}") for k in range(4)}
