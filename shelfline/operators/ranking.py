@@ -16,6 +16,8 @@ def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
     """Add the rank by a number, lowest first: ties share a rank, and the next one skips."""
     ordinary, large = split_hot(rows, by, hot)
     ranked = ordinary.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(value)))
+    if large is None:
+        return ranked
     return ranked.unionByName(rank_by_level(large, by, value, name, hot=hot))
 
 

@@ -34,6 +34,8 @@ def with_previous(rows: DataFrame, by: Sequence[str], order: Sequence[str],
     if chunk is None:
         return _within(rows, by, order, previous)
     ordinary, large = split_hot(rows, by, hot)
+    if large is None:
+        return _within(ordinary, by, order, previous)
     return (_within(ordinary, by, order, previous)
             .unionByName(_by_chunk(large, by, order, previous, chunk)))
 

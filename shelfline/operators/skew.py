@@ -29,6 +29,9 @@ class Hot:
 
 DEFAULT_HOT = Hot()
 
+#: A window task copes with so many bytes of source files for each row of the limit, whatever groups they hold.
+BYTES_PER_ROW = 64
+
 
 def hot_groups(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> DataFrame:
     """The keys of the hot groups as ``hot_<name>``; at most ``hot.groups`` rows.
@@ -44,8 +47,19 @@ def hot_groups(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> Da
             .select(*keys))
 
 
-def split_hot(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups); a NULL key is a key like any other."""
+def input_bytes(rows: DataFrame) -> int:
+    """What the sources of rows hold, by the optimizer's estimate: the size of files; far too much where it has none."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
+def split_hot(rows: DataFrame, by: Sequence[str], hot: Hot = DEFAULT_HOT) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups); a NULL key is a key like any other.
+
+    No groups are counted, and there is no second part, where the sources are too small to hold one that matters.
+    """
+    if input_bytes(rows) <= hot.rows * BYTES_PER_ROW:
+        return rows, None
     keys = F.broadcast(hot_groups(rows, by, hot))
     same = reduce(lambda left, right: left & right,
                   [F.col(name).eqNullSafe(F.col(f"hot_{name}")) for name in by])
