@@ -162,3 +162,17 @@ def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             .select("vec_id", F.when(F.col("fine"), F.col("class_links")).otherwise(0).cast("long").alias("n_links"),
                     component.alias("component_id"),
                     F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")))
+
+
+#: All pairs, for tables as small as a test's.
+ORACLE_SQL = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE len(embedding) > 0),
+cosines AS (SELECT x.vec_id AS a, y.vec_id AS b, list_cosine_similarity(x.v, y.v) AS c
+            FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)),
+arcs AS (SELECT a, b FROM cosines WHERE isfinite(c) AND c >= {COSINE}),
+reach(id, other) AS (SELECT a, b FROM arcs UNION SELECT r.id, e.b FROM reach r JOIN arcs e ON r.other = e.a),
+least_of AS (SELECT id, min(other) AS other FROM reach GROUP BY id),
+linked AS (SELECT a, count(*) AS n FROM arcs GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(other, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(other, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN linked k ON e.vec_id = k.a LEFT JOIN least_of l ON e.vec_id = l.id"""

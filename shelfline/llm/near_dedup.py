@@ -212,3 +212,23 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = (kept.join(twice, kept["row.doc_id"] == twice["twice"], "left_semi")
              .groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row"))
     return once.union(least).select("row.*")
+
+
+#: All pairs that share a shingle, for tables as small as a test's.
+ORACLE_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+spots AS (SELECT doc_id, w, unnest(range(0, greatest(1, len(w) - {SIZE - 1}))) AS i FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + {SIZE}], ' ') AS s FROM spots),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+          FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+          WHERE 100 * k >= {PERCENT} * (x.n + y.n - k)),
+arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, other) AS (SELECT a, b FROM arcs UNION SELECT r.id, e.b FROM reach r JOIN arcs e ON r.other = e.a),
+least_of AS (SELECT id, min(other) AS other FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(other, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN least_of l ON d.doc_id = l.id"""

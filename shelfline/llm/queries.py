@@ -67,4 +67,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": licenses.ORACLE_SQL, "op5_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_licenses": licenses.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL,
+            "op5_line_dedup": line_dedup.ORACLE_SQL, "op7_embedding_dedup": embed_dedup.ORACLE_SQL}
