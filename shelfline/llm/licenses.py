@@ -1,9 +1,10 @@
 """Licence scans: MinHash bands over overlapping text windows retrieve templates, exact containment verifies them.
 
 Words are runs of a-z and 0-9 of the lower-cased text, shingles ``SIZE`` of them in a row. A template of m shingles is
-looked for in windows of 2 * L shingles that start every L, with L = ceil(1.25 * m): whatever place of L
-shingles matches lies whole in a window. A window that holds ``SHARE`` of the template has a Jaccard similarity of 0.29 or
-more with it, so at least one of ``BANDS`` bands of one MinHash each agrees with a probability of 1 - 0.71**64 > 0.9999999.
+looked for in windows of 2 * L shingles that start every L, with L at least 1.25 * m: whatever place of L
+shingles matches lies whole in a window. Templates of similar length share their windows, so L is at most 1.9 * m. A
+window that holds ``SHARE`` of the template has a Jaccard similarity of 0.2 or more with it, so at least
+one of ``BANDS`` bands of one MinHash each agrees with a probability of 1 - 0.8**64 > 0.999999.
 Retrieved windows are verified: the share of the template's shingles they contain must be SHARE or more.
 
 Before that, texts without any anchor word are set aside. Anchors are chosen such that fewer than SHARE of each
@@ -41,8 +42,15 @@ def shingles_of(text: str) -> list[tuple[str, ...]]:
     return list(dict.fromkeys(tuple(words[k:k + SIZE]) for k in range(len(words) - SIZE + 1)))
 
 
-def step_of(shingles: int) -> int:
-    return math.ceil(1.25 * shingles)
+def steps_of(sizes: list[int]) -> dict[int, int]:
+    """L for each number of shingles: the longest of a group of which none is over half as long again as another."""
+    steps, least, group = {}, 0, []
+    for m in sorted(set(sizes) - {0}):
+        if m > 1.5 * least:
+            least, group = m, []
+        group.append(m)
+        steps.update({k: math.ceil(1.25 * m) for k in group})
+    return steps
 
 
 def anchors_of(templates: list[Template]) -> list[str]:
@@ -81,10 +89,10 @@ def scan(docs: DataFrame, templates: list[Template] = LICENSE_TEXTS) -> DataFram
     rows = docs.select("doc_id", F.when(low.rlike(anchor), F.regexp_extract_all(low, F.lit("([a-z0-9]+)"), F.lit(1)))
                        .otherwise(F.array().cast("array<string>")).alias("words"))
     rows = rows.select("doc_id", F.expr(_SHINGLES).alias("s"))
-    by_step = defaultdict(list)
+    by_step, steps = defaultdict(list), steps_of([len(s) for s, _ in hashed])
     for (name, _), (shingles, mins) in zip(templates, hashed):
         if shingles:
-            by_step[step_of(len(shingles))].append((name, shingles, mins))
+            by_step[steps[len(shingles)]].append((name, shingles, mins))
     number = "(size(s) - 1) DIV {step}"  # of the last block
     rows = rows.select("doc_id", "s", *(
         F.expr(f"CASE WHEN size(s) > 0 THEN transform(sequence(0, {number.format(step=step)}), b -> "
@@ -116,7 +124,8 @@ def summarise(scanned: DataFrame) -> DataFrame:
 
 
 def _oracle() -> str:
-    values = ", ".join(f"({k}, '{name}', {step_of(len(s))}, {len(s)}, '{' '.join(x)}')"
+    steps = steps_of([len(shingles_of(text)) for _, text in LICENSE_TEXTS])
+    values = ", ".join(f"({k}, '{name}', {steps[len(s)]}, {len(s)}, '{' '.join(x)}')"
                        for k, (name, text) in enumerate(LICENSE_TEXTS) for s in [shingles_of(text)] for x in s)
     return f"""
 WITH template(t, license, step, m, shingle) AS (VALUES {values}),
