@@ -211,7 +211,7 @@ def encode_documents(docs: DataFrame, path: str, part: int = PART, with_ids: boo
     short = rows.where(~long).mapInArrow(partial(_short, path=path, with_ids=with_ids), SCHEMA + extra)
     keyed = rows.where(long).withColumn("key", F.xxhash64("text"))
     at = F.explode(F.expr(f"sequence(0L, CAST((char_length(text) - 1) DIV {part} AS BIGINT))"))
-    pieces = (keyed.select("key", "text", at.alias("k"))
+    pieces = (keyed.select("key", "text").dropDuplicates(["key"]).select("key", "text", at.alias("k"))
               .select("key", (F.col("k") * part).alias("at"),
                       F.substring("text", (F.col("k") * part + 1).cast("int"), F.lit(part)).alias("piece"))
               .repartition("key", "at").mapInArrow(partial(_parts, path=path), PART_SCHEMA))
