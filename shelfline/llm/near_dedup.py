@@ -21,7 +21,6 @@ them links to. Rows without doc_id link to nothing and are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shelfline.llm import bpe, embed_dedup, line_dedup, near_dedup, quality, url_filter
+from shelfline.llm import bpe, embed_dedup, url_filter
 from shelfline.llm.common import importable
 from shelfline.llm.queries import BPE_FILE, URL_RULES
 
