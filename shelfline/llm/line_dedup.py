@@ -85,7 +85,8 @@ def drop_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ranges = kept_ranges(repeated_windows(found))
     text = F.coalesce(F.col("row.text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), *_key(F.coalesce(F.col("text"), F.lit(""))))
-    joined = rows.join(ranges, KEY, "left").withColumn("lines", F.split(text, "\n", -1))
+    # both sides grow with the documents: one plan at every size, no broadcast of a side that is small today
+    joined = rows.join(ranges.hint("merge"), KEY, "left").withColumn("lines", F.split(text, "\n", -1))
     stay = F.concat(F.flatten(F.transform("gaps", lambda g: F.slice("lines", g["from"] + 1, g["to"] - g["from"] + 1))),
                     F.slice("lines", F.col("rest") + 1, F.greatest(F.size("lines") - F.col("rest"), F.lit(0))))
     return joined.withColumn("stay", F.when(F.col("rest").isNull(), F.col("lines")).otherwise(stay)).select(

@@ -202,7 +202,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = staged(near_groups(docs, percent), "near-groups")
     dropped = groups.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
     rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(dropped, rows["row.doc_id"] == dropped["gone"], "left_anti")
+    # dropped grows with the documents: one plan at every size, no broadcast of what is small today
+    kept = rows.join(dropped.hint("merge"), rows["row.doc_id"] == dropped["gone"], "left_anti")
     again = groups.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("twice")).count().where("count > 1")
     if not again.take(1):
         return kept.select("row.*")
