@@ -6,8 +6,9 @@ URLs that a rule allows (one model) or blocks (the other), all of the table, but
 calibration. A URL's score is the difference of the two log-likelihoods divided by its length; calibration puts the
 threshold where the two classes' scores on the URLs set aside are equally many deviations away.
 
-Counts are kept in ``CELLS`` cells for each length of string, by hash, so the model never outgrows a broadcast
-whatever the table's size. Expressions only; URLs are shuffled once, by their host and path, and scored once for each.
+Counts are kept for each string itself, so the model grows with the table, and no two strings share a count. They
+are joined by string to the distinct windows of ``ORDER`` + 1 characters, and each window's ratio to the places it stands
+at: shuffles that no size outgrows. Expressions only; each distinct host and path is scored once.
 
 Null URLs and URLs without ``://`` have an empty host and path and no rule; the empty string is scored as any other.
 Without URLs of both classes every score is 0 and the verdict allow. Repeated rows each get their verdict.
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import staged
 
 ORDER = 4
-CELLS = 1 << 17
 FOLDS = 4
 PRIOR = 2.0      # weight of the shorter context
 ALPHABET = 256
@@ -57,66 +57,65 @@ def apply_rules(urls: DataFrame, rules: list[Rule]) -> DataFrame:
                              "rule_verdict": pick(lambda r: r[0]).cast("string")})
 
 
-def _positions(urls: DataFrame, *keep: str) -> DataFrame:
-    """s: each character of host, path and end mark with the ``ORDER`` before it; at i = 0 the start marks alone."""
+def _windows(urls: DataFrame, *keep: str) -> DataFrame:
+    """s: each character of host, path and end mark with the ``ORDER`` before it; and once the start marks alone."""
     text = F.concat(F.lit(START * ORDER), F.col("host"), F.col("path"), F.lit(END))
-    return (urls.select(*keep, text.alias("text"))
-            .select(*keep, "text", F.explode(F.expr(f"sequence(0, char_length(text) - {ORDER})")).alias("i"))
-            .select(*keep, "i", F.expr(f"substring(text, greatest(i, 1), {ORDER} + CAST(i > 0 AS INT))").alias("s")))
-
-
-def _cell(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(CELLS)).cast("int")
-
-
-def _last(k: int) -> Column:
-    return F.expr(f"right(s, {k})")
-
-
-def _before(k: int) -> Column:
-    """The k characters before the last."""
-    return F.expr(f"substring(s, {ORDER + 1 - k}, {k})")
+    spots = (f"transform(sequence(0, char_length(text) - {ORDER}), "
+             f"i -> substring(text, greatest(i, 1), {ORDER} + CAST(i > 0 AS INT)))")
+    return urls.select(*keep, text.alias("text")).select(*keep, F.explode(F.expr(spots)).alias("s"))
 
 
 def count_grams(labelled: DataFrame) -> DataFrame:
-    """k, cell, allow, block: how often strings of k characters of the cell end somewhere in URLs of each class."""
-    allow, block = ((F.col("rule_verdict") == v).cast("long") for v in ("allow", "block"))
-    grams = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), _cell(_last(k)).alias("cell"))
-                                for k in range(1, ORDER + 2))))
-    return (_positions(labelled, "rule_verdict")
-            .select(allow.alias("allow"), block.alias("block"), "i", grams.alias("g"))
-            .where(f"i > 0 OR g.k <= {ORDER}")
-            .groupBy("g.k", "g.cell").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
+    """k, gram, allow, block: how often each string of k characters ends somewhere in URLs of each class."""
+    allow, block = (F.sum((F.col("rule_verdict") == v).cast("long")).alias(v) for v in ("allow", "block"))
+    windows = _windows(labelled, "rule_verdict").groupBy("s").agg(allow, block)
+    grams = F.expr("transform(sequence(1, char_length(s)), k -> struct(k, right(s, k) AS gram))")
+    return (windows.select("allow", "block", F.explode(grams).alias("g"))
+            .groupBy("g.k", "g.gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
+
+
+def _ratios(windows: DataFrame, counts: DataFrame, prior: float) -> DataFrame:
+    """s and ratio, the log-likelihood ratio of its last character, of distinct windows s.
+
+    P of a string needs its count, that of the string without its last character, and P of the string without its first.
+    So lengths are worked out from 1 up, and a key of any join has no more rows than there are characters.
+    """
+    level = lambda k, name: (counts.where(F.col("k") == k).select(
+        F.col("gram").alias(f"{name}_gram"), F.col("allow").alias(f"{name}_allow"), F.col("block").alias(f"{name}_block")))
+    totals = counts.where("k = 1").agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in ("allow", "block")))
+    total = totals.first()  # one row of two sums
+    if not total["allow"] or not total["block"]:
+        return windows.select("s", F.lit(0.0).alias("ratio"))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
+    shorter = None
+    for k in range(1, ORDER + 2):
+        asked = windows.select(F.expr(f"right(s, {k})").alias("gram")).distinct()
+        asked = asked.join(level(k, "own"), F.col("gram") == F.col("own_gram"), "left")
+        if shorter is None:
+            before = {side: F.lit(float(total[side])) for side in ("allow", "block")}
+            p = {side: F.lit(1.0 / ALPHABET) for side in ("allow", "block")}
+        else:
+            asked = (asked.join(level(k - 1, "before"), F.expr(f"left(gram, {k - 1})") == F.col("before_gram"), "left")
+                     .join(shorter, F.expr(f"right(gram, {k - 1})") == F.col("shorter_gram")))
+            before = {side: n(f"before_{side}") for side in ("allow", "block")}
+            p = {side: F.col(f"shorter_{side}") for side in ("allow", "block")}
+        shorter = asked.select(F.col("gram").alias("shorter_gram"), *(
+            ((n(f"own_{side}") + prior * p[side]) / (before[side] + prior)).alias(f"shorter_{side}")
+            for side in ("allow", "block")))
+    return shorter.select(F.col("shorter_gram").alias("s"),
+                          (F.log("shorter_allow") - F.log("shorter_block")).alias("ratio"))
 
 
 def score(urls: DataFrame, counts: DataFrame, prior: float = PRIOR) -> DataFrame:
     """Distinct (host, path) of urls with the mean log-likelihood ratio of their characters."""
-    spots = _positions(urls, "host", "path").where("i > 0")
-    for k in range(1, ORDER + 2):
-        level = F.broadcast(counts.where(F.col("k") == k)  # at most CELLS rows
-                            .select(F.col("cell").alias("at"), F.col("allow").alias(f"allow_{k}"),
-                                    F.col("block").alias(f"block_{k}")))
-        spots = spots.join(level, _cell(_last(k)) == F.col("at"), "left").drop("at")
-    for k in range(1, ORDER + 1):
-        level = F.broadcast(counts.where(F.col("k") == k)
-                            .select(F.col("cell").alias("at"), F.col("allow").alias(f"allow_h{k}"),
-                                    F.col("block").alias(f"block_h{k}")))
-        spots = spots.join(level, _cell(_before(k)) == F.col("at"), "left").drop("at")
-    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
-    ratio = {}
-    for side in ("allow", "block"):
-        p = F.lit(1.0 / ALPHABET)
-        for k in range(ORDER + 1):
-            before = n(f"{side}_h{k}") if k else F.col(f"{side}_all").cast("double")
-            # the cell of a context may also hold others: never fewer than what follows it
-            p = (n(f"{side}_{k + 1}") + prior * p) / (F.greatest(before, n(f"{side}_{k + 1}")) + prior)
-        ratio[side] = F.log(p)
-    totals = counts.where("k = 1").agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(f"{s}_all") for s in ratio))
-    total = totals.first()  # one row of two sums
-    spots = spots.withColumns({f"{s}_all": F.lit(total[f"{s}_all"]) for s in ratio})
-    learnt = total["allow_all"] > 0 and total["block_all"] > 0
-    value = F.avg(ratio["allow"] - ratio["block"]) if learnt else F.max(F.lit(0.0))
-    return spots.groupBy("host", "path").agg(value.alias("score"))
+    # numbers stand for the URLs in the join, so long ones aren't carried by each of their characters
+    numbered = staged(urls.select("host", "path").distinct().withColumn("id", F.monotonically_increasing_id()), "url-ids")
+    spots = _windows(numbered, "id").where(F.char_length("s") > ORDER)
+    windows = staged(spots.select("s").distinct(), "url-windows")
+    ratios = staged(_ratios(windows, counts, prior), "url-ratios")
+    # ratios grow with the URLs: one plan at every size, of two plain shuffles that can be split where a window is hot
+    means = spots.join(ratios.hint("merge"), "s").groupBy("id").agg(F.avg("ratio").alias("score"))
+    return numbered.join(means, "id").select("host", "path", "score")
 
 
 def threshold(scores: DataFrame) -> float:

@@ -155,6 +155,22 @@ def test_url_scores(spark):
     assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
 
 
+def test_url_counts_are_those_of_each_string(spark):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789-._~"
+    training = [(f"h{k}.a", "/" + "".join(rng.choice(letters) for _ in range(60)), "allow" if k % 2 else "block")
+                for k in range(4000)]
+    labelled = spark.createDataFrame(training, "host string, path string, rule_verdict string")
+    counts = url_filter.count_grams(labelled).cache()
+    grams = {s[k:k + 5] for h, p, _ in training for s in ["\x02" * 4 + h + p + "\x03"] for k in range(len(s) - 4)}
+    assert counts.where("k = 5").count() == len(grams) > 1 << 17
+    asked = [t[:2] for t in training[:2]] + [("new.a", "/" + "".join(rng.choice(letters) for _ in range(60)))]
+    got = {(r.host, r.path): r.score for r in url_filter.score(
+        spark.createDataFrame(asked, "host string, path string"), counts).collect()}
+    expected = brute_scores(asked, training)
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+
+
 def test_urls_without_models(spark):
     pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://a.net/")], "page_id long, url string")
     assert {(r.page_id, r.verdict) for r in url_filter.judge_urls(pages, URL_RULES).collect()} == {(1, "allow"), (2, "block")}
