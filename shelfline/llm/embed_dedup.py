@@ -1,12 +1,11 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products within them, one vector of each group.
 
 Equal vectors are one class first. Centroids are fitted on at most ``SAMPLE`` classes, chosen by the hash of their id; there is one
-for every ``CELL`` classes, at most ``CENTROIDS``. Every class lives in the cell of its nearest centroid. It also visits the
-cells whose border is near: two vectors at the threshold differ by a vector of length sin(t), and a border
-lies between them only if that vector, projected on the border's normal, spans the distance. Cells within the whole
-sin(t) would make the join exact; cells within 4 * sin(t) / sqrt(dimensions), four deviations of a random direction's
-projection, miss a pair at the very threshold with a probability under 1e-4 and closer pairs far less (up
-to 16 dimensions nothing is missed). Where a class lives it is compared in double precision with all that live
+for every ``CELL`` classes, at most ``CENTROIDS``. Every class lives in the cell of its nearest centroid. It also visits
+cells whose border is near: two vectors at the threshold differ by an angle t, and a border lies between them only if both
+are within sin(t) of it, so cells within sin(t) make the join exact, whatever the vectors. Both of such a pair
+would visit the other's cell; of two cells one alone sends its classes to the other, in turn (``sends``), as once is enough.
+Where a class lives it is compared in double precision with all that live
 or visit there, in blocks of ``BLOCK`` by hash; a block pair returns a count for each vector and one label for each, never pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing; so do vectors of different
@@ -54,7 +53,9 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5)
     return centroids
 
 
-def reach(cosine: float, dimensions: int) -> float:
+def reach(cosine: float, dimensions: int = 1) -> float:
+    """How far from a border a class may have links beyond it: all of them; four deviations of them where
+    differences are known to point evenly in so many dimensions, which data need not do."""
     return math.sqrt(1 - cosine * cosine) * min(1.0, 4 / math.sqrt(dimensions)) + 1e-9
 
 
@@ -64,12 +65,17 @@ def cells_of(x: np.ndarray, centroids: np.ndarray, margin: float) -> tuple[np.nd
     home = near.argmax(1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
     gap = near[np.arange(len(x)), home][:, None] - near
-    row, cell = np.nonzero(gap <= margin * apart[home] + 1e-12)
+    row, cell = np.nonzero(gap <= margin * apart[home] + 1e-7)
     return row, cell, cell == home[row]
 
 
+def sends(home: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Whether classes of the first cell go to the second: of two cells one does, and each does to half of the others."""
+    return (home < cell) == ((home + cell) % 2 == 1)
+
+
 def _block_pair(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """id, links found (for those that live here) and the least id that each reaches within the block pair."""
+    """id, links found (on both sides for those that visit) and the least id that each reaches within the block pair."""
     asks, other = rows[rows["asks"]], rows[~rows["asks"]]
     if not len(asks) or not len(other):
         return pd.DataFrame({"id": [], "links": [], "label": []}).astype("int64")
@@ -77,6 +83,9 @@ def _block_pair(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     linked = np.stack(asks["vector"]) @ np.stack(other["vector"]).T >= cosine
     linked &= a[:, None] != b[None, :]
     links = linked @ other["n"].to_numpy()
+    # those that live here ask too, elsewhere or in this block; those that visit don't
+    visits = ~other["home"].to_numpy()
+    back = linked[:, visits].T @ asks["n"].to_numpy()
     least_a, least_b, before = a.copy(), b.copy(), None
     far = np.iinfo(np.int64).max
     some = linked.any(1), linked.any(0)
@@ -87,8 +96,9 @@ def _block_pair(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
             least_a = np.minimum(least_a, np.where(part, least_b[None, :], far).min(1))
             least_b = np.minimum(least_b, np.where(part, least_a[:, None], far).min(0))
     ids = np.concatenate([a[some[0]], b[some[1]]])
-    return pd.DataFrame({"id": np.concatenate([ids, a]), "links": np.concatenate([0 * ids, links]),
-                         "label": np.concatenate([least_a, least_b, a])})
+    return pd.DataFrame({"id": np.concatenate([ids, a, b[visits][back > 0]]),
+                         "links": np.concatenate([0 * ids, links, back[back > 0]]),
+                         "label": np.concatenate([least_a, least_b, a, b[visits][back > 0]])})
 
 
 def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -117,7 +127,7 @@ def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     sample = (distinct.where(F.size("vector") == main).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
               .select("vector").toPandas()["vector"])
     centroids = spark.sparkContext.broadcast(spherical_kmeans(unit(list(sample)), count))  # <= CENTROIDS vectors
-    margin = reach(cosine, main)
+    margin = reach(cosine)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +139,8 @@ def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 row, cell, home = (np.empty(0, int), np.empty(0, int), np.empty(0, bool))
                 if alike.any():
                     row, cell, home = cells_of(np.array([v for v, y in zip(x, alike) if y]), centroids.value, margin)
-                    row = np.flatnonzero(alike)[row]
+                    stay = home | sends(cell[home][row], cell)  # a home for each row, in order
+                    row, cell, home = np.flatnonzero(alike)[row[stay]], cell[stay], home[stay]
                 odd = np.flatnonzero(~alike)  # other lengths have a cell each
                 row = np.concatenate([row, odd])
                 cell = np.concatenate([cell, [-len(raw[k]) for k in odd]])
@@ -149,7 +160,7 @@ def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                                             "j": F.explode(F.expr("sequence(0, other_blocks - 1)")), "asks": F.lit(True)})
     other = dealt.withColumns({"i": F.explode(F.expr("sequence(0, ask_blocks - 1)")),
                                "j": F.pmod(spot, "other_blocks").cast("int"), "asks": F.lit(False)})
-    found = staged(asks.unionByName(other).select("cell", "i", "j", "asks", "id", "n", "vector")
+    found = staged(asks.unionByName(other).select("cell", "i", "j", "asks", "home", "id", "n", "vector")
                    .groupBy("cell", "i", "j").applyInPandas(lambda rows: _block_pair(rows, cosine),
                                                             "id long, links long, label long"), "embed-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

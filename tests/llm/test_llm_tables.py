@@ -87,6 +87,21 @@ def test_cells_miss_nearly_nothing_at_the_threshold():
     assert np.mean([len(v) for v in visits.values()]) < 16
 
 
+def test_no_link_of_vectors_of_low_rank_is_missed(spark, monkeypatch):
+    importable(spark)
+    monkeypatch.setattr(embed_dedup, "CELL", 20)
+    rng = np.random.default_rng(4)
+    plane = rng.normal(size=(6, 256))  # 256 dimensions, 6 of them in use
+    base = embed_dedup.unit(list(rng.normal(size=(300, 6)) @ np.linalg.qr(plane.T)[0].T))
+    noise = embed_dedup.unit(list(rng.normal(size=(300, 6)) @ np.linalg.qr(plane.T)[0].T))
+    noise = embed_dedup.unit(list(noise - (noise * base).sum(1, keepdims=True) * base))
+    near = 0.951 * base + math.sqrt(1 - 0.951 ** 2) * noise
+    vectors = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, near]).astype(np.float32))]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_groups(frame).collect()}
+    assert got == brute_links(vectors)
+
+
 # ---------------------------------------------------------------- 10: URLs
 
 def brute_rule(url):
