@@ -12,6 +12,8 @@ from shelfline.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 from shelfline.llm.common import importable, staged, table
 from shelfline.llm.queries import BPE_FILE
 
+NEAR_PERCENT = 80  # five words and a similarity of 0.8 or more; op4_near_dedup has a contract of its own
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier, fitted on these rows' labels, rejects go."""
@@ -27,7 +29,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
     importable(spark)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,6 +216,17 @@ def test_pipeline_stages_take_effect(spark):
     assert 900_001 not in ids and 900_002 not in ids and {900_000, 900_003} <= ids
 
 
+def test_pipeline_drops_near_copies_from_a_similarity_of_080(spark):
+    words = [f"w{k}" for k in range(204)]  # 200 shingles; each word changed far from the others takes 5 of them
+    changed = lambda n: " ".join("new" + w if k % 20 == 10 and k < 20 * n else w for k, w in enumerate(words))
+    similarity = lambda n: (200 - 5 * n) / (200 + 5 * n)
+    assert 0.80 <= similarity(4) < 0.85 and similarity(5) < 0.80
+    for n, stays in ((4, False), (5, True)):
+        docs = spark.createDataFrame([(1, " ".join(words)), (2, changed(n))], "doc_id long, text string")
+        ids = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+        assert ids == ({1, 2} if stays else {1})
+
+
 def test_pipeline_run_is_its_stages(spark):
     rows = corpus_pipeline.run(spark, str(SF_DIR)).collect()
     tok = bpe.tokenizer(BPE_FILE)
