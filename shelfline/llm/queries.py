@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import (
-    bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, quality, token_counts, url_filter)
+    bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, prefix_trie, quality, token_counts, url_filter, whitening)
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -60,12 +60,22 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    # a deviation that is no long is an error, not another number
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_licenses, op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op7_embedding_dedup,
-        op8_token_counts, op9_quality, op10_url_filter)}
+        op8_token_counts, op9_quality, op10_url_filter, op11_embedding_whitening, op12_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_licenses": licenses.ORACLE_SQL, "op4_near_dedup": near_dedup.ORACLE_SQL,
-            "op5_line_dedup": line_dedup.ORACLE_SQL, "op7_embedding_dedup": embed_dedup.ORACLE_SQL}
+            "op5_line_dedup": line_dedup.ORACLE_SQL, "op7_embedding_dedup": embed_dedup.ORACLE_SQL,
+            "op12_prefix_trie": prefix_trie.ORACLE_SQL}
