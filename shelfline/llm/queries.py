@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import (
-    bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, prefix_trie, quality, token_counts, url_filter, whitening)
+    bpe, decontaminate, embed_dedup, licenses, line_dedup, near_dedup, pii, prefix_trie, quality, suffix_dedup,
+    token_counts, url_filter, whitening)
 from shelfline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -69,10 +70,15 @@ def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf, "conversations"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.summarise(suffix_dedup.drop_repeats(table(spark, sf, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_licenses, op2_bpe, op3_decontamination, op4_near_dedup, op5_line_dedup, op6_pii, op7_embedding_dedup,
-        op8_token_counts, op9_quality, op10_url_filter, op11_embedding_whitening, op12_prefix_trie)}
+        op8_token_counts, op9_quality, op10_url_filter, op11_embedding_whitening, op12_prefix_trie,
+        op13_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
