@@ -144,8 +144,8 @@ class Part:
         return home[first], least, content[first, 4:], lo, which, doc
 
 
-def windows(raw: np.ndarray, ends: np.ndarray, starts: np.ndarray, block: int = 1 << 22) -> tuple[np.ndarray, ...]:
-    """(place of the suffix, first window, windows, hash) of each run of windows that name one suffix, in blocks of positions."""
+def windows(raw: np.ndarray, ends: np.ndarray, starts: np.ndarray, block: int = 1 << 16) -> tuple[np.ndarray, ...]:
+    """(place of the suffix, first window, windows, hash) of each run of windows that name one suffix, in blocks of positions that fit a processor's cache."""
     found = []
     for s in range(0, max(0, len(raw) - GRAM + 1), block):
         seg = raw[s:s + block + GRAM - 1]
