@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import fresh_path
@@ -33,6 +35,41 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+# ---------------------------------------------------------------- rows that a join would drop
+
+SIEVE_BITS = 1 << 26  # 8 MB, whatever is sieved
+_MAP_BITS = 1 << 15   # of one bitmap that Spark's functions build
+
+
+def _places(id_: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(k), id_), F.lit(SIEVE_BITS)) for k in (11, 12)]
+
+
+def sieved(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose id is among those of ``wanted``, and a few others: a Bloom filter of fixed size, in front of a join's shuffle.
+
+    It never drops a wanted row. The more ids there are for its bits, the more others it lets pass; the join behind it stays exact.
+    """
+    places = wanted.select(F.explode(F.array(*_places(F.col(name)))).alias("at"))
+    # as many rows as the filter has bitmaps
+    maps = (places.groupBy(F.floor(F.col("at") / _MAP_BITS).alias("k"))
+            .agg(F.bitmap_construct_agg(F.col("at") % _MAP_BITS).alias("bits")).collect())
+    whole = np.zeros((SIEVE_BITS // _MAP_BITS, _MAP_BITS // 8), np.uint8)
+    for r in maps:
+        whole[r["k"]] = np.frombuffer(r["bits"], np.uint8)
+    known, columns = rows.sparkSession.sparkContext.broadcast(whole.ravel()), rows.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = np.ones(batch.num_rows, bool)
+            for column in ("sieve_1", "sieve_2"):
+                at = batch.column(column).to_numpy()
+                fine &= (known.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            yield batch.filter(pa.array(fine)).select(columns)
+    one, two = _places(F.col(name))
+    return rows.withColumns({"sieve_1": one, "sieve_2": two}).mapInArrow(keep, rows.schema)
+
+
 # ---------------------------------------------------------------- word hashes in numpy
 
 _SEPARATOR = np.zeros(256, bool)

@@ -5,11 +5,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfline.llm import bpe, decontaminate, licenses, line_dedup, near_dedup, pii, quality, token_counts
+from shelfline.llm import bpe, common, decontaminate, licenses, line_dedup, near_dedup, pii, quality, token_counts
 from shelfline.llm.common import components, importable
 from shelfline.llm.queries import BPE_FILE, PIECE_FILE
 
@@ -161,6 +163,37 @@ def test_one_of_each_group_stays(documents):
     assert near_dedup.keep_one(docs.limit(0)).count() == near_dedup.near_groups(docs.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_keep_their_links_in_open_buckets(documents, monkeypatch):
+    a, b = list(range(100)), list(range(1000, 1100))
+    for rows in ([(1, a), (2, a), (2, b)], [(1, a), (2, b), (2, a)], [(2, b), (1, a), (2, a), (3, b)]):
+        links = near_dedup._block_links(pd.DataFrame(rows, columns=["id", "set"]), 85)
+        assert {(r.a, r.b) for r in links.itertuples()} == ({(2, 1), (3, 1)} if len(rows) == 4 else {(2, 1)})
+    # a bucket whose smallest class is foreign: every band equal
+    prints = near_dedup._prints
+
+    def same_bands(batches):
+        before, near_dedup.bands = near_dedup.bands, lambda places: np.arange(3, dtype=np.int64)
+        try:
+            yield from prints(batches)
+        finally:
+            near_dedup.bands = before
+    monkeypatch.setattr(near_dedup, "_prints", same_bands)
+    rng = random.Random(12)
+    one, two, foreign = (prose(rng, 60) for _ in range(3))
+    near = lambda text: text + " more"
+    rows = [(0, foreign), (7, one), (7, two), (8, near(two)), (9, near(one)), (12, prose(rng, 60))]
+    got = sorted({tuple(r) for r in near_dedup.near_groups(documents(*rows)).select("doc_id", "component_id").collect()})
+    assert got == [(0, 0), (7, 7), (8, 7), (9, 7), (12, 12)]
+
+
+def test_sieve_lets_all_wanted_rows_pass(spark, monkeypatch):
+    importable(spark)
+    rows = spark.range(20_000).selectExpr("id", "concat('t', id) AS text")
+    kept = {r.id for r in common.sieved(rows, "id", spark.range(0, 20_000, 7)).collect()}
+    assert kept >= set(range(0, 20_000, 7)) and len(kept) < 3200
+    assert common.sieved(rows, "id", spark.range(0)).count() == 0
+
+
 def test_sketches_estimate_similarity():
     rng = random.Random(8)
     off = []
