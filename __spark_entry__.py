@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from shelfline import fixed_values as fixed
 from shelfline.operators import changes, gold, keyed, quality, reports, snapshots, standardize
 from shelfline.functions.columns import date_folder, file_stamp, iso_text, op_code, op_name
-from shelfline.operators.skew import Hot
 from shelfline.plans import medallion
 from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
 from shelfline.session import fresh_path
@@ -28,7 +27,7 @@ PRODUCT = supplied.PRODUCT
 table = supplied.table
 RUN = dt.datetime(2024, 2, 1)
 FROM = dt.date(2024, 1, 15)
-ALL_HOT = Hot(rows=0)
+SMALL = 1000  # rows of a piece: nearly every series is cut
 ORDERS = FEEDS["seller_orders"]
 KEYS = list(ORDERS.keys)
 VALUES = [name for name in ORDERS.columns.fieldNames() if name not in KEYS]
@@ -121,7 +120,7 @@ def price_history(spark, sf):
 
 
 def price_history_skewsafe(spark, sf):
-    return gold.price_history(valid(spark, sf), RUN, columns=PRODUCT, hot=ALL_HOT).drop(*STAMPS)
+    return gold.price_history(valid(spark, sf), RUN, columns=PRODUCT, rows_per_piece=SMALL).drop(*STAMPS)
 
 
 def price_history_from_date(spark, sf):
@@ -147,7 +146,7 @@ def competitor_ranking(spark, sf):
 
 
 def competitor_ranking_skewsafe(spark, sf):
-    return gold.competitor_ranking(daily(spark, sf), RUN, columns=PRODUCT, hot=ALL_HOT).drop(*STAMPS)
+    return gold.competitor_ranking(daily(spark, sf), RUN, columns=PRODUCT, rows_per_piece=SMALL).drop(*STAMPS)
 
 
 def competitor_ranking_from_date(spark, sf):
@@ -273,7 +272,7 @@ def cdc_transitions(spark, sf):
 
 
 def cdc_transitions_skewsafe(spark, sf):
-    return changes.check_transitions(supplied.order_changes(spark, sf), KEYS, hot=ALL_HOT).select(
+    return changes.check_transitions(supplied.order_changes(spark, sf), KEYS, rows_per_piece=SMALL).select(
         "order_id", "seq", "previous_status", "order_status", "next_status", "transition")
 
 

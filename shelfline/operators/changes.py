@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fixed
 from shelfline.functions.columns import lookup, next_status
-from shelfline.operators.series import minute_of_time, with_previous
-from shelfline.operators.skew import DEFAULT_HOT, Hot
+from shelfline.operators.pieces import ROWS_PER_PIECE
+from shelfline.operators.series import with_previous
 from shelfline.operators.snapshots import latest_per
 
 CHANGED, DELETED = "_changed", "_deleted"
@@ -82,11 +82,10 @@ def apply_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[st
 
 
 def check_transitions(changes: DataFrame, keys: Sequence[str], *, status: str = "order_status",
-                      order: Sequence[str] = ("change_ts", "seq"), chunk: Column | None = None,
-                      hot: Hot = DEFAULT_HOT) -> DataFrame:
+                      order: Sequence[str] = ("change_ts", "seq"),
+                      rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
     """Add the status before, the one due next, and whether each step is INITIAL, LEGAL or ILLEGAL."""
-    chunk = minute_of_time(order[0]) if chunk is None else chunk
-    rows = with_previous(changes, keys, order, {"previous_status": status}, chunk=chunk, hot=hot)
+    rows = with_previous(changes, keys, order, {"previous_status": status}, rows_per_piece=rows_per_piece)
     before, now = F.col("previous_status"), F.col(status)
     step = (F.when(before.isNull(), "INITIAL")
             .when(lookup(fixed.NEXT_STATUS, before) == now, "LEGAL")

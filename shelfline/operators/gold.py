@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fixed
 from shelfline.functions.columns import percent, run_time, steps
+from shelfline.operators.pieces import ROWS_PER_PIECE
 from shelfline.operators.ranking import with_rank
-from shelfline.operators.series import minute_of_text, with_previous
-from shelfline.operators.skew import DEFAULT_HOT, Hot
+from shelfline.operators.series import with_previous
 from shelfline.operators.snapshots import current, latest_per
 from shelfline.schemas import DEFAULT, Columns
 
@@ -20,12 +20,12 @@ STAMP = "gold_processed_at"
 
 
 def price_history(valid: DataFrame, run_ts: dt.datetime | None = None, *,
-                  columns: Columns = DEFAULT, hot: Hot = DEFAULT_HOT) -> DataFrame:
+                  columns: Columns = DEFAULT, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """Each price beside the one before it. The direction follows the rounded difference."""
     c = columns
     shown = [c.key, c.title, c.price, c.rating, c.reviews, c.stock, c.category, c.source, c.time, c.date]
     rows = with_previous(valid.select(*shown), [c.key], c.order, {"previous_price": c.price},
-                         chunk=minute_of_text(c.time), hot=hot)
+                         rows_per_piece=rows_per_piece)
     price, before = F.col(c.price), F.col("previous_price")
     diff = F.round(price - before, 2)
     pct = F.when(before > 0, F.round(percent(price - before, before), 2))
@@ -44,7 +44,7 @@ def price_history(valid: DataFrame, run_ts: dt.datetime | None = None, *,
 
 def competitor_ranking(daily: DataFrame, run_ts: dt.datetime | None = None, *,
                        ranked_before: DataFrame | None = None, columns: Columns = DEFAULT,
-                       hot: Hot = DEFAULT_HOT) -> DataFrame:
+                       rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """Price rank within category and date on the daily snapshot, and its change since the
     product was last seen, in whichever category that was.
 
@@ -53,13 +53,14 @@ def competitor_ranking(daily: DataFrame, run_ts: dt.datetime | None = None, *,
     """
     c = columns
     shown = [c.key, c.title, c.category, c.price, c.rating, c.reviews, c.stock, c.date]
-    ranked = (with_rank(daily.select(*shown), [c.category, c.date], c.price, "price_rank", hot=hot)
+    ranked = (with_rank(daily.select(*shown), [c.category, c.date], c.price, "price_rank",
+                        rows_per_piece=rows_per_piece)
               .withColumn("_new", F.lit(True)))
     if ranked_before is not None:
         last = latest_per(ranked_before, [c.key], [c.date]).select(*shown, "price_rank")
         ranked = ranked.unionByName(last.withColumn("_new", F.lit(False)))
     # One row per product and day: the days bound the series.
-    moved = with_previous(ranked, [c.key], [c.date], {"previous_rank": "price_rank"})
+    moved = with_previous(ranked, [c.key], [c.date], {"previous_rank": "price_rank"}, rows_per_piece=None)
     rank, before = F.col("price_rank"), F.col("previous_rank")
     return moved.where("_new").select(
         c.key, c.title, c.category, c.price, rank,
@@ -77,7 +78,8 @@ def review_trend(daily: DataFrame, run_ts: dt.datetime | None = None, *, columns
     c = columns
     shown = [c.key, c.title, c.rating, c.reviews, c.price, c.category, c.date]
     # One row per product and day: the days bound the series.
-    rows = with_previous(daily.select(*shown), [c.key], [c.date], {"previous_review_count": c.reviews})
+    rows = with_previous(daily.select(*shown), [c.key], [c.date], {"previous_review_count": c.reviews},
+                         rows_per_piece=None)
     before = F.col("previous_review_count")
     gained = F.when(before.isNull(), F.lit(0)).otherwise(F.col(c.reviews) - before)
     label = steps(gained, velocity, inclusive=False).when(gained == 0, fixed.STAGNANT)

@@ -4,64 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.operators.skew import DEFAULT_HOT, Hot, split_hot
+from shelfline.operators.pieces import AT, HEAVY, KEY, REPEATS, ROWS_PER_PIECE, cuts_of, with_piece
 
-BANDS_PER_DOUBLING = 4096
 
-def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
-              hot: Hot = DEFAULT_HOT) -> DataFrame:
-    """Add the rank by a number, lowest first: ties share a rank, and the next one skips."""
-    ordinary, large = split_hot(rows, by, hot)
-    ranked = ordinary.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(value)))
-    if large is None:
-        return ranked
-    return ranked.unionByName(rank_by_level(large, by, value, name, hot=hot))
+def with_rank(rows: DataFrame, by: Sequence[str], value: str, name: str, *, rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
+    """Add the rank by a number, lowest first: ties share a rank, and the next one skips.
 
-
-def _band(number: Column) -> Column:
-    """A whole number that never falls while the number rises; the range of doubles bounds it."""
-    size = F.floor(F.log2(F.abs(number) + 1) * BANDS_PER_DOUBLING)
-    # NaN sorts above every number, and so must its band.
-    return (F.when(F.isnan(number), F.lit(2**63 - 1))
-            .when(number < 0, -1 - size).otherwise(size))
-
-
-def rank_by_level(rows: DataFrame, by: Sequence[str], value: str, name: str, *,
-                  hot: Hot = DEFAULT_HOT) -> DataFrame:
-    """The rank as one plus the number of rows at lower values of the group.
-
-    Rows are counted per value, values per band, and only the counts are summed up
-    in order: over the values of one band and over the bands of one group, of which
-    there are at most some millions. No task sees a whole group. Ranks of values that
-    many rows share are broadcast, so those rows are not shuffled to one task either.
+    Groups of more rows than a piece are cut by value into pieces of about equal numbers of rows, whatever the values are.
+    A rank is the one within the piece and the number of rows in lower pieces. Rows of a value that alone fills pieces have no others beside
+    them, so they all have the rank that follows the lower pieces, and are spread over as many tasks as they fill.
     """
-    level = F.struct(*by, value)
-    at = F.col(f"_level.{value}")
-    levels = (rows.groupBy(level.alias("_level")).agg(F.count(F.lit(1)).alias("_rows"))
-              .withColumn("_band", F.struct(*[F.col(f"_level.{key}") for key in by],
-                                            _band(at).alias("_at"))))
-
-    band_order = Window.partitionBy(*[f"_band.{key}" for key in by]).orderBy(
-        "_band._at").rowsBetween(Window.unboundedPreceding, -1)
-    bands = (levels.groupBy("_band").agg(F.sum("_rows").alias("_rows"))
-             .select("_band", F.sum("_rows").over(band_order).alias("_in_lower_bands")))
-    in_band = Window.partitionBy("_band").orderBy(f"_level.{value}").rowsBetween(
-        Window.unboundedPreceding, -1)
-    place = F.coalesce("_in_band", F.lit(0)) + F.coalesce("_in_lower_bands", F.lit(0)) + 1
-    ranks = (levels.withColumn("_in_band", F.sum("_rows").over(in_band)).join(bands, "_band")
-             .select("_level", "_rows", place.cast("int").alias(name)))
-
-    wanted = [*rows.columns, name]
-    placed = rows.withColumn("_level", level)
-
-    def shared(counted: DataFrame) -> DataFrame:
-        """The values most rows share: the same ones of levels and ranks, which hold each level once."""
-        return F.broadcast(counted.where(F.col("_rows") > hot.rows)
-                           .orderBy(F.desc("_rows"), "_level").limit(hot.groups))
-
-    many = placed.join(shared(ranks), "_level")
-    few = placed.join(shared(levels).select("_level"), "_level", "left_anti").join(ranks, "_level")
-    return many.select(*wanted).unionByName(few.select(*wanted))
+    cuts = None if rows_per_piece is None else cuts_of(rows, by, [value], rows_per_piece)
+    if cuts is None:
+        return rows.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(value)))
+    # The number of the partition spreads exact copies too; it is the same when a lost task runs again.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.col(REPEATS))
+    placed = with_piece(rows, by, [value], cuts).withColumn("_share", F.when(F.col(HEAVY), spread).otherwise(0))
+    counts = placed.where(F.col(AT) > 0).groupBy(KEY, AT).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(KEY).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    # as many rows as pieces
+    lower = F.broadcast(counts.select(KEY, AT, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_lower")))
+    in_piece = F.rank().over(Window.partitionBy(KEY, AT, "_share").orderBy(value))
+    ranked = placed.withColumn("_in_piece", in_piece).join(lower, [KEY, AT], "left")
+    return ranked.select(*rows.columns, (F.col("_in_piece") + F.coalesce("_lower", F.lit(0))).cast("int").alias(name))

@@ -4,74 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.operators.skew import DEFAULT_HOT, Hot, split_hot
+from shelfline.operators.pieces import AT, HEAVY, KEY, REPEATS, ROWS_PER_PIECE, cuts_of, with_piece
 
 COPIES_PER_ROW = 100_000
 
 
-def minute_of_text(name: str) -> Column:
-    """The minute of an ISO-8601 text: a prefix, so it sorts as the text does."""
-    return F.substring(name, 1, 16)
-
-
-def minute_of_time(name: str) -> Column:
-    return F.date_trunc("minute", F.col(name))
-
-
-def with_previous(rows: DataFrame, by: Sequence[str], order: Sequence[str],
-                  previous: Mapping[str, str], *, chunk: Column | None = None,
-                  hot: Hot = DEFAULT_HOT) -> DataFrame:
+def with_previous(rows: DataFrame, by: Sequence[str], order: Sequence[str], previous: Mapping[str, str], *,
+                  rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
     """Add ``{new column: column of the row before}`` for each key, NULL on its first row.
 
-    ``order`` should tell all rows of a key apart but for exact copies. With a
-    ``chunk``, a coarse form of ``order[0]`` that sorts the same way, the series
-    of hot keys are cut in chunks that run in tasks of their own. Leave it out
-    only where the rows per key have a bound.
+    ``order`` should tell all rows of a key apart but for exact copies. Series of more rows than a piece are cut, whatever their
+    times, and the last row of a piece is handed to the next. None cuts nothing: only where the rows per key have a bound.
     """
-    if chunk is None:
-        return _within(rows, by, order, previous)
-    ordinary, large = split_hot(rows, by, hot)
-    if large is None:
-        return _within(ordinary, by, order, previous)
-    return (_within(ordinary, by, order, previous)
-            .unionByName(_by_chunk(large, by, order, previous, chunk)))
-
-
-def _within(rows: DataFrame, by: Sequence[str], order: Sequence[str],
-            previous: Mapping[str, str]) -> DataFrame:
-    series = Window.partitionBy(*by).orderBy(*order)
-    return rows.withColumns({new: F.lag(old).over(series) for new, old in previous.items()})
-
-
-def _by_chunk(rows: DataFrame, by: Sequence[str], order: Sequence[str],
-              previous: Mapping[str, str], chunk: Column) -> DataFrame:
-    # Exact copies become one row with a count before anything is shuffled by key. The filter
-    # holds for every row; as all uses below need the count for it, they share one scan and shuffle.
-    # The struct is never NULL itself, so it groups and joins on NULL keys too.
-    distinct = (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-                .where(F.col("_copies") > 0)
-                .withColumn("_chunk", F.struct(*by, chunk.alias("_part"))))
-
-    in_chunk = Window.partitionBy("_chunk").orderBy(*order)
-    looked_back = distinct.select(
-        "*", F.row_number().over(in_chunk).alias("_position"),
-        *[F.lag(old).over(in_chunk).alias(new) for new, old in previous.items()])
-
-    # One row per chunk, its last, is handed to the chunk after it: a key has as many of
-    # these as its time span has chunks.
+    cuts = None if rows_per_piece is None else cuts_of(rows, by, order, rows_per_piece)
+    if cuts is None:
+        series = Window.partitionBy(*by).orderBy(*order)
+        return rows.withColumns({new: F.lag(old).over(series) for new, old in previous.items()})
+
+    # Exact copies that would fill pieces are one row with a count before anything is shuffled by key.
+    placed = with_piece(rows, by, order, cuts).drop(REPEATS)
+    copies = (placed.where(HEAVY).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies")))
+    single = placed.where(~F.col(HEAVY)).unionByName(
+        with_piece(copies.drop("_copies"), by, order, cuts).drop(REPEATS))
+
+    piece = Window.partitionBy(KEY, AT).orderBy(*order)
+    looked_back = single.select("*", F.row_number().over(piece).alias("_position"),
+                                *[F.lag(old).over(piece).alias(new) for new, old in previous.items()])
+    # One row for each piece, its last, is handed to the piece after it: as many as splitters, at most.
     last = F.max(F.struct(*order, *[F.col(old).alias(f"_{new}") for new, old in previous.items()]))
-    tails = distinct.groupBy("_chunk").agg(last.alias("_tail"))
-    across = Window.partitionBy(*[f"_chunk.{key}" for key in by]).orderBy("_chunk._part")
-    handed = tails.select("_chunk", F.lag("_tail").over(across).alias("_before"))
-
-    first = looked_back.join(handed, "_chunk", "left").withColumns({
-        new: F.when(F.col("_position") == 1, F.col(f"_before._{new}")).otherwise(F.col(new))
-        for new in previous})
+    tails = single.where(F.col(AT) > 0).groupBy(KEY, AT).agg(last.alias("_tail"))
+    handed = tails.select(F.struct(KEY, AT).alias("_to"), F.lag("_tail").over(Window.partitionBy(KEY).orderBy(AT)).alias("_before"))
+    begins = (F.col("_position") == 1) & (F.col(AT) > 0)
+    # No other row has a _to, so no other row finds a match.
+    first = (looked_back.withColumn("_to", F.when(begins, F.struct(KEY, AT)))
+             .join(F.broadcast(handed), "_to", "left")
+             .withColumns({new: F.when(begins, F.col(f"_before._{new}")).otherwise(F.col(new)) for new in previous}))
     # Every further copy stands behind a copy of itself.
-    further = _spread(distinct.where(F.col("_copies") > 1), rows.columns).withColumns(
+    further = _spread(copies.where(F.col("_copies") > 1), rows.columns).withColumns(
         {new: F.col(old) for new, old in previous.items()})
     wanted = [*rows.columns, *previous]
     return first.select(*wanted).unionByName(further.select(*wanted))

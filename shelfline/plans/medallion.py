@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from shelfline import fixed_values as fixed
 from shelfline.operators import gold
+from shelfline.operators.pieces import ROWS_PER_PIECE
 from shelfline.operators.quality import quality_report, quality_score
-from shelfline.operators.skew import DEFAULT_HOT, Hot
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
@@ -78,12 +78,12 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
 
 def gold_tables(valid: DataFrame, daily: DataFrame, run_ts: dt.datetime | None = None, *,
                 ranked_before: DataFrame | None = None, columns: Columns = DEFAULT,
-                hot: Hot = DEFAULT_HOT) -> dict[str, DataFrame]:
+                rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, DataFrame]:
     """The five Gold tables from valid rows and their daily snapshot."""
     return {
-        "price_history": gold.price_history(valid, run_ts, columns=columns, hot=hot),
+        "price_history": gold.price_history(valid, run_ts, columns=columns, rows_per_piece=rows_per_piece),
         "competitor_ranking": gold.competitor_ranking(
-            daily, run_ts, ranked_before=ranked_before, columns=columns, hot=hot),
+            daily, run_ts, ranked_before=ranked_before, columns=columns, rows_per_piece=rows_per_piece),
         "review_trend": gold.review_trend(daily, run_ts, columns=columns),
         "stock_gap": gold.stock_gap(daily, run_ts, columns=columns),
         "market_summary": gold.market_summary(daily, run_ts, columns=columns),
@@ -100,7 +100,7 @@ def with_last_before(valid: DataFrame, from_date: dt.date, columns: Columns = DE
 
 
 def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
-             from_date: dt.date | None = None, columns: Columns = DEFAULT, hot: Hot = DEFAULT_HOT,
+             from_date: dt.date | None = None, columns: Columns = DEFAULT, rows_per_piece: int = ROWS_PER_PIECE,
              metrics: RunMetrics | None = None) -> RunMetrics:
     """Build the Gold tables, or with ``from_date`` only their dates from there on; rows
     without a date are then left as they were. Dates that have no valid row any more go:
@@ -125,7 +125,7 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
                                   "ranked_before", out)
     daily = stage(daily_latest(valid, columns=columns), "daily", out)
     tables = gold_tables(valid, daily.where(wanted), run_ts, ranked_before=ranked_before,
-                         columns=columns, hot=hot)
+                         columns=columns, rows_per_piece=rows_per_piece)
     tables["review_trend"] = gold.review_trend(daily, run_ts, columns=columns)
     tables["stock_gap"] = gold.stock_gap(daily, run_ts, columns=columns)
     for name, rows in tables.items():
@@ -146,7 +146,7 @@ def publish(spark: SparkSession, out: str, database: str, columns: Columns = DEF
 
 def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
         multi_line: bool = True, from_date: dt.date | None = None, columns: Columns = DEFAULT,
-        hot: Hot = DEFAULT_HOT, late: bool = False, replace: bool = False) -> RunMetrics:
+        rows_per_piece: int = ROWS_PER_PIECE, late: bool = False, replace: bool = False) -> RunMetrics:
     """Silver, then Gold. A stage that fails or finds nothing ends the run.
 
     With ``from_date`` only the folders of Bronze from that date on are parsed, if ``bronze`` is one
@@ -156,4 +156,4 @@ def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datet
         bronze = date_folders(spark, bronze, from_date)
     metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace)
     return run_gold(spark, f"{out}/products", out, run_ts, from_date=from_date, columns=columns,
-                    hot=hot, metrics=metrics)
+                    rows_per_piece=rows_per_piece, metrics=metrics)

@@ -9,7 +9,6 @@ from conftest import RUN, counted
 from shelfline.functions.columns import date_folder, file_stamp, iso_text, next_status, op_code, op_name
 from shelfline.operators import changes, keyed
 from shelfline.operators.changes import apply_changes, current_rows
-from shelfline.operators.skew import Hot
 from shelfline.schemas import FEEDS
 from shelfline.sinks.tables import land_cdc
 from shelfline.sources.cdc import accepted, decode_cdc, quarantined, read_cdc, read_cdc_all
@@ -109,8 +108,8 @@ def test_transitions(spark):
     steps = ["pending", "confirmed", "shipped", "delivered", "pending"]
     rows = [(("U"), i, 0, "x", None, s, None) for i, s in enumerate(steps)]
     rows += [("U", 0, 0, "y", None, "pending", None), ("U", 1, 0, "y", None, "delivered", None)]
-    for hot in (Hot(), Hot(rows=0)):
-        found = changes.check_transitions(log(spark, *rows), ["id"], status="b", hot=hot)
+    for size in (250_000, 1):
+        found = changes.check_transitions(log(spark, *rows), ["id"], status="b", rows_per_piece=size)
         got = [(r.id, r.transition, r.next_status) for r in found.orderBy("id", "change_ts").collect()]
         assert got == [("x", "INITIAL", "confirmed"), ("x", "LEGAL", "shipped"), ("x", "LEGAL", "delivered"),
                        ("x", "LEGAL", None), ("x", "ILLEGAL", "confirmed"), ("y", "INITIAL", "confirmed"),

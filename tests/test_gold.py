@@ -2,7 +2,6 @@ import datetime as dt
 
 from conftest import RUN, at, counted
 from shelfline.operators import gold, reports
-from shelfline.operators.skew import Hot
 from shelfline.operators.snapshots import daily_latest, preview
 from shelfline.schemas import GOLD
 
@@ -53,8 +52,8 @@ def test_price_differences_telescope(observations):
     rows = observations(*[{"asin": rng.choice("AB"), "price": float(rng.randrange(1, 500)),
                            "scraped_at": at(rng.randrange(1, 9), rng.randrange(24), rng.randrange(60), i % 60)}
                           for i in range(200)])
-    for hot in (Hot(), Hot(rows=0)):
-        found = gold.price_history(rows, RUN, hot=hot)
+    for size in (250_000, 1):
+        found = gold.price_history(rows, RUN, rows_per_piece=size)
         for key in "AB":
             mine = sorted([r for r in found.collect() if r.asin == key], key=lambda r: (r.scraped_at, r.price))
             assert sum(r.price_diff or 0 for r in mine) == mine[-1].price - mine[0].price
@@ -73,8 +72,8 @@ def test_ranking_ties_moves_and_categories(observations):
         {"asin": "A", "price": 5.0}, {"asin": "B", "price": 5.0}, {"asin": "C", "price": 9.0},
         {"asin": "A", "price": 9.0, "scraped_at": at(4)}, {"asin": "C", "price": 1.0, "scraped_at": at(4)},
         {"asin": "B", "price": 2.0, "category": "D", "scraped_at": at(4)}))
-    for hot in (Hot(), Hot(rows=0)):
-        found = {(r.asin, r.scrape_date.day): r for r in gold.competitor_ranking(daily, RUN, hot=hot).collect()}
+    for size in (250_000, 1):
+        found = {(r.asin, r.scrape_date.day): r for r in gold.competitor_ranking(daily, RUN, rows_per_piece=size).collect()}
         ranks = {key: (r.price_rank, r.is_cheapest, r.previous_rank, r.rank_change) for key, r in found.items()}
         assert ranks == {("A", 1): (1, True, None, None), ("B", 1): (1, True, None, None),
                          ("C", 1): (3, False, None, None), ("A", 4): (2, False, 1, -1),

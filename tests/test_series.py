@@ -1,13 +1,11 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import counted
-from shelfline.operators.ranking import rank_by_level, with_rank
-from shelfline.operators.series import minute_of_text, with_previous
-from shelfline.operators import series
-from shelfline.operators.skew import Hot, hot_groups, split_hot
+from shelfline.operators import pieces, series
+from shelfline.operators.ranking import with_rank
+from shelfline.operators.series import with_previous
 from shelfline.operators.snapshots import latest_per
 
 SCHEMA = "k string, t string, v int, w string"
@@ -34,12 +32,11 @@ def test_first_row_has_none_and_null_values_are_handed_on(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("hot_rows", [0, 100, 10_000])
-def test_chunks_give_what_the_plain_window_gives(spark, seed, hot_rows):
+@pytest.mark.parametrize("size", [1, 5, 60, 10_000])
+def test_pieces_give_what_the_plain_window_gives(spark, seed, size):
     rows = log(spark, seed)
-    plain = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"})
-    cut = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"}, chunk=minute_of_text("t"),
-                        hot=Hot(rows=hot_rows))
+    plain = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"}, rows_per_piece=None)
+    cut = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"}, rows_per_piece=size)
     assert counted(plain) == counted(cut)
 
 
@@ -47,26 +44,51 @@ def test_many_copies_are_written_out_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(series, "COPIES_PER_ROW", 7)
     rows = log(spark, 5).unionByName(spark.range(100).selectExpr(
         "'hot' k", "'2026-04-01T10:01:01' t", "9 v", "'x' w"))
-    plain = with_previous(rows, ["k"], ORDER, {"pv": "v"})
-    cut = with_previous(rows, ["k"], ORDER, {"pv": "v"}, chunk=minute_of_text("t"), hot=Hot(rows=0))
+    plain = with_previous(rows, ["k"], ORDER, {"pv": "v"}, rows_per_piece=None)
+    cut = with_previous(rows, ["k"], ORDER, {"pv": "v"}, rows_per_piece=2)
     assert counted(plain) == counted(cut)
 
 
-def test_hot_groups_are_bounded_and_the_rest_stays(spark):
-    rows = log(spark, 1)
-    assert hot_groups(rows, ["k"], Hot(rows=0, groups=1)).collect()[0][0] == "hot"
-    ordinary, large = split_hot(rows, ["k"], Hot(rows=0, groups=1))
-    assert {r.k for r in large.collect()} == {"hot"}
-    assert counted(ordinary.unionByName(large)) == counted(rows)
-    cut = with_previous(rows, ["k"], ORDER, {"pv": "v"}, chunk=minute_of_text("t"),
-                        hot=Hot(rows=0, groups=2))
-    assert counted(cut) == counted(with_previous(rows, ["k"], ORDER, {"pv": "v"}))
+def sizes(rows, by, order, per_piece):
+    placed = pieces.with_piece(rows, by, order, pieces.cuts_of(rows, by, order, per_piece))
+    return [(r[0][0], r[2]) for r in placed.groupBy("_key", "_piece").count().collect()]
 
 
-def test_null_keys_can_be_hot(spark):
-    rows = log(spark, 2).where("k is null")
-    ordinary, large = split_hot(rows, ["k"], Hot(rows=1))
-    assert ordinary.count() == 0 and large.count() == rows.count()
+def test_rows_of_one_key_and_one_stamp_are_spread(spark):
+    rows = spark.range(200_000).selectExpr("if(id % 10 < 8, 'hot', concat('k', id % 1000)) k", "'2026-04-01T10:00:00' t",
+                                           "cast(xxhash64(id) % 1000000 as int) v", "cast(id as string) w")
+    held = sizes(rows, ["k"], ORDER, 10_000)
+    hot = [n for k, n in held if k == "hot"]
+    assert len(hot) >= 10 and max(n for _, n in held) < 25_000 and sum(n for _, n in held) == 200_000
+    assert [k for k, _ in held].count("k8") == 1  # a small key is one piece
+    plain = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"}, rows_per_piece=None)
+    cut = with_previous(rows, ["k"], ORDER, {"pv": "v", "pw": "w"}, rows_per_piece=10_000)
+    assert plain.exceptAll(cut).isEmpty() and cut.count() == 200_000
+
+
+def test_prices_close_to_each_other_are_cut_evenly(spark):
+    rows = spark.range(200_000).selectExpr("'x' c", "'1' d", "100 + pmod(xxhash64(id), 1000000) / 1e6 p", "cast(id as int) n")
+    held = [n for _, n in sizes(rows, ["c", "d"], ["p"], 10_000)]
+    assert len(held) >= 15 and max(held) < 20_000
+    plain = with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=None)
+    assert plain.exceptAll(with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=10_000)).isEmpty()
+
+
+def test_rows_of_one_price_are_spread(spark):
+    rows = spark.range(100_000).selectExpr("'x' c", "'1' d", "if(id % 3 = 0, cast(id as double), 7.5D) p", "1 n")
+    ranked = with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=5000)
+    plan = ranked._jdf.queryExecution().toString()
+    assert "_share" in plan
+    found = {(r.p, r.r): r["count"] for r in ranked.where("p between 6 and 9").groupBy("p", "r").count().collect()}
+    # 0, 3 and 6 are below; 66,666 rows of 7.5; then 9
+    assert found == {(6.0, 3): 1, (7.5, 4): 66_666, (9.0, 66_670): 1}
+
+
+def test_few_rows_are_not_cut(spark):
+    assert pieces.cuts_of(log(spark, 1), ["k"], ORDER) is None
+    assert pieces.cuts_of(log(spark, 1).limit(0), ["k"], ORDER, 1) is None
+    even = spark.range(1000).selectExpr("id k", "id t")  # no key holds a piece
+    assert pieces.cuts_of(even, ["k"], ["t"], 100) is None
 
 
 PRICES = "c string, d string, p double, n int"
@@ -82,18 +104,17 @@ def prices(spark, seed, n=500):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("hot", [Hot(rows=0), Hot(rows=3), Hot(rows=0, groups=2), Hot(rows=60)])
-def test_levels_give_the_rank_the_window_gives(spark, seed, hot):
+@pytest.mark.parametrize("size", [1, 7, 60, 10_000])
+def test_pieces_give_the_rank_the_window_gives(spark, seed, size):
     rows = prices(spark, seed)
-    plain = with_rank(rows, ["c", "d"], "p", "r", hot=Hot(rows=10_000))
-    assert counted(plain) == counted(with_rank(rows, ["c", "d"], "p", "r", hot=hot))
-    assert counted(plain) == counted(rank_by_level(rows, ["c", "d"], "p", "r", hot=hot))
+    plain = with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=None)
+    assert counted(plain) == counted(with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=size))
 
 
 def test_rank_skips_after_ties(spark):
     rows = spark.createDataFrame([("c", "1", p, i) for i, p in enumerate([2.0, 1.0, 1.0, 3.0])], PRICES)
-    for hot in (Hot(), Hot(rows=0)):
-        assert sorted(r.r for r in with_rank(rows, ["c", "d"], "p", "r", hot=hot).collect()) == [1, 1, 3, 4]
+    for size in (250_000, 1):
+        assert sorted(r.r for r in with_rank(rows, ["c", "d"], "p", "r", rows_per_piece=size).collect()) == [1, 1, 3, 4]
 
 
 def test_latest_is_limited_before_the_shuffle(spark):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from conftest import RUN, at, counted
 from shelfline.operators import gold, reports
-from shelfline.operators.skew import Hot
 from shelfline.operators.snapshots import daily_latest
 from shelfline.operators.standardize import standardize
 from shelfline.functions.columns import as_int
@@ -76,7 +75,7 @@ def test_a_second_run_changes_nothing(spark, bronze, tmp_path):
     out = str(tmp_path / "out")
     metrics = run(spark, bronze, out, RUN)
     first = tables(spark, out)
-    again = run(spark, bronze, out, RUN, hot=Hot(rows=2))
+    again = run(spark, bronze, out, RUN, rows_per_piece=2)
     assert tables(spark, out) == first
     assert metrics.rows_written == again.rows_written
     assert metrics.rows_written == {name: sum(rows.values()) for name, rows in first.items()}
