@@ -361,7 +361,7 @@ def silver_write_roundtrip(spark, sf):
 
 
 def stream_silver(spark, sf):
-    out = fresh_path(spark, "silver")
+    out = f"{fresh_path(spark, 'run')}/products"
     landed = silver_stream.stream_bronze(spark, _landed_raw(spark, sf), multi_line=False)
     silver_stream.stream_silver(landed, out, fresh_path(spark, "checkpoint"), RUN,
                                 source_system="synthetic").awaitTermination()
@@ -415,21 +415,13 @@ def two_stage_run(spark, sf):
     return _as_product(written).drop(*STAMPS)
 
 
-#: Key and a measure of each Gold table, by which its written rows are compared.
-DIGEST = {"price_history": ("product_id", "price_diff"), "competitor_ranking": ("product_id", "price_rank"),
-          "review_trend": ("product_id", "reviews_gained"), "stock_gap": ("product_id", "price"),
-          "market_summary": ("category", "avg_price")}
-
-
 def _gold_digest(spark: SparkSession, out: str) -> DataFrame:
-    """Every row of the five Gold tables as written."""
+    """Every row and column of the five Gold tables as written; columns a table lacks are NULL."""
     parts = []
-    for name, (key, measure) in DIGEST.items():
-        rows = silver_source.read_table(spark, f"{out}/{name}", GOLD[name])
-        key = "asin" if key == "product_id" else key
-        parts.append(rows.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
-                                 F.col("scrape_date").alias("day"), F.col(measure).cast("double").alias("measure")))
-    return reduce(DataFrame.unionByName, parts)
+    for name, schema in GOLD.items():
+        rows = silver_source.read_table(spark, f"{out}/{name}", schema).drop(*STAMPS)
+        parts.append((_as_product(rows) if "asin" in rows.columns else rows).withColumn("table_name", F.lit(name)))
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 
 DAY = dt.date(2024, 1, 17)
@@ -483,6 +475,49 @@ def silver_after_late_file(spark, sf):
     return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
 
 
+def silver_undated_rows(spark, sf):
+    """Two runs of different dates, each with rows whose time gives no date: those of the first stay."""
+    out = fresh_path(spark, "run")
+    rows = _raw_rows(spark, sf)
+    early, unknown = F.col("scraped_at") < F.lit(str(FROM)), F.col("asin") % 4 == 0
+    for part in (early, ~early):
+        path = fresh_path(spark, "raw")
+        sinks.land_raw(rows.where(part).withColumn(
+            "scraped_at", F.when(unknown, F.concat(F.lit("unknown "), "scraped_at")).otherwise(F.col("scraped_at"))), path)
+        medallion.run_silver(spark, path, out, RUN, multi_line=False, source_system="synthetic")
+    return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
+
+
+def silver_stream_then_batch(spark, sf):
+    """One Silver table written by a stream, by a batch run of later dates, and by the stream again for products that come late."""
+    out, landed, checkpoint = (fresh_path(spark, name) for name in ("run", "raw", "checkpoint"))
+    rows = _raw_rows(spark, sf)
+    early, late = F.col("scraped_at") < F.lit(str(FROM)), F.col("asin") % 3 == 0
+
+    def stream() -> None:
+        silver_stream.stream_silver(silver_stream.stream_bronze(spark, landed, multi_line=False), f"{out}/products", checkpoint, RUN,
+                                    source_system="synthetic").awaitTermination()
+    sinks.land_raw(rows.where(early & ~late), landed)
+    stream()
+    path = fresh_path(spark, "raw")
+    sinks.land_raw(rows.where(~early), path)
+    medallion.run_silver(spark, path, out, RUN, multi_line=False, source_system="synthetic")
+    sinks.land_raw(rows.where(early & late), landed)
+    stream()
+    return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
+
+
+def gold_by_successive_runs(spark, sf):
+    """A run of the first dates, then two that read their own dates and the state carried from the run before."""
+    out, path = fresh_path(spark, "run"), fresh_path(spark, "raw")
+    rows, day = _raw_rows(spark, sf), F.substring("scraped_at", 1, 10)
+    steps = [None, FROM, FROM + dt.timedelta(days=9)]
+    for low, high in zip(steps, [*steps[1:], None]):
+        sinks.land_raw(rows.where((day >= str(low)) if low else F.lit(True)).where((day < str(high)) if high else F.lit(True)), path)
+        medallion.run(spark, path, out, RUN, multi_line=False, from_date=low)
+    return _gold_digest(spark, out)
+
+
 def multi_line_bronze(spark, sf):
     """One object per file, over several lines of text: a supplier as an observation."""
     path = fresh_path(spark, "raw")
@@ -573,7 +608,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
-        silver_after_late_file, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
+        silver_after_late_file, silver_undated_rows, silver_stream_then_batch, gold_by_successive_runs, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
         published_report, cdc_snapshot_in_loads, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
@@ -702,8 +737,8 @@ MARKET_SQL = f"""market AS (
   FROM (SELECT *, {_round("CAST(products_in_stock AS DOUBLE) / total_products * 100", 1)}
           AS stock_availability_pct
         FROM (SELECT category, scrape_date, COUNT(*) AS total_products,
-                {_round("AVG(price)", 2)} AS avg_price, MIN(price) AS min_price, MAX(price) AS max_price,
-                {_round("AVG(rating)", 2)} AS avg_rating,
+                {_round(_round("AVG(price)", 9), 2)} AS avg_price, MIN(price) AS min_price, MAX(price) AS max_price,
+                {_round(_round("AVG(rating)", 9), 2)} AS avg_rating,
                 COUNT(*) FILTER (WHERE in_stock = 'in_stock') AS products_in_stock,
                 COUNT(*) FILTER (WHERE in_stock <> 'in_stock') AS products_out_of_stock,
                 CAST(MAX(reviews_count) AS BIGINT) AS max_reviews,
@@ -789,10 +824,9 @@ raw_obs AS (SELECT * REPLACE (CASE WHEN scraped_at LIKE '{DAY}%' THEN NULL ELSE
 
 
 def digest(raw_sql: str) -> str:
-    """Key, day and measure of every row of the five Gold tables."""
-    return _with(raw_sql, SILVER_SQL, DAILY_SQL, HISTORY_SQL, RANKING_SQL, TREND_SQL, GAP_SQL, MARKET_SQL, select=" UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key, scrape_date AS day, CAST({measure} AS DOUBLE) AS measure "
-        f"FROM {VIEWS[name]}" for name, (key, measure) in DIGEST.items()))
+    """Every row and column of the five Gold tables."""
+    return _with(raw_sql, SILVER_SQL, DAILY_SQL, HISTORY_SQL, RANKING_SQL, TREND_SQL, GAP_SQL, MARKET_SQL, select=" UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS table_name, * FROM {view}" for name, view in VIEWS.items()))
 
 
 def _with(*parts: str, select: str) -> str:
@@ -897,6 +931,12 @@ def oracle_sql() -> dict[str, str]:
         "gold_first_run_from_date": digest(f"{RAW_SQL.replace('raw_obs AS', 'raw_all AS', 1)}, raw_obs AS "
                                            f"(SELECT * FROM raw_all WHERE scraped_at >= '{FROM}')"),
         "silver_after_late_file": silver_rows,
+        "silver_stream_then_batch": silver_rows,
+        "gold_by_successive_runs": digest(RAW_SQL),
+        "silver_undated_rows": _with(
+            RAW_SQL.replace("raw_obs AS", "raw_all AS", 1), "raw_obs AS (SELECT * REPLACE (CASE WHEN product_id % 4 = 0 "
+            "THEN 'unknown ' || scraped_at ELSE scraped_at END AS scraped_at) FROM raw_all)",
+            SILVER_SQL.replace("CAST(substr", "TRY_CAST(substr", 1), select="SELECT * FROM silver"),
         "catalog_schema_merge": _with(*to_silver, select=(
             "SELECT product_id, CASE WHEN product_id % 2 <> 0 THEN rating END AS rating, "
             "CASE WHEN product_id % 2 <> 0 THEN 's' || product_id END AS seller, scraped_at FROM silver")),
@@ -966,18 +1006,13 @@ def oracle_sql() -> dict[str, str]:
             "50 AS reorder_point, p_retailprice AS unit_cost FROM part)",
             "lines AS (SELECT * REPLACE (CASE WHEN l_partkey % 4 = 0 THEN -l_partkey ELSE l_partkey END AS l_partkey) "
             "FROM lineitem)",
-            "new AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, "
-            "l_linenumber, l_extendedprice) AS n, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY "
-            "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS back FROM lines)",
-            "first AS (SELECT * FROM new WHERE n = 1)", "last AS (SELECT * FROM new WHERE back = 1)",
-            select="SELECT COALESCE(b.product_id, f.l_partkey) AS product_id, "
-            "COALESCE(b.product_title, 'line ' || f.l_linenumber) AS product_title, "
-            "COALESCE(CAST(l.l_quantity AS INT), b.stock_quantity) AS stock_quantity, "
-            "COALESCE(b.reorder_point, f.l_linenumber) AS reorder_point, "
-            "COALESCE(b.unit_cost, f.l_extendedprice) AS unit_cost, "
-            f"CASE WHEN f.l_partkey IS NOT NULL THEN DATE '{RUN.date()}' ELSE DATE '2020-01-01' END "
-            "AS updated_on FROM base b FULL OUTER JOIN first f ON b.product_id = f.l_partkey "
-            "LEFT JOIN last l ON f.l_partkey = l.l_partkey"),
+            "new AS (SELECT l_partkey AS k, MIN({'at': l_shipdate, 'o': l_orderkey, 'n': l_linenumber, 'p': l_extendedprice}) AS f, "
+            "MAX({'at': l_shipdate, 'o': l_orderkey, 'n': l_linenumber, 'p': l_extendedprice, 'q': l_quantity}) AS l "
+            "FROM lines GROUP BY l_partkey)",
+            select="SELECT product_id, product_title, COALESCE(CAST(l.q AS INT), stock_quantity) AS stock_quantity, reorder_point, "
+            f"unit_cost, CASE WHEN k IS NOT NULL THEN DATE '{RUN.date()}' ELSE DATE '2020-01-01' END AS updated_on "
+            "FROM base LEFT JOIN new ON product_id = k UNION ALL "
+            f"SELECT k, 'line ' || f.n, CAST(l.q AS INT), f.n, f.p, DATE '{RUN.date()}' FROM new WHERE k NOT IN (SELECT p_partkey FROM part)"),
         "cdc_transitions": TRANSITION_SQL,
         "cdc_transitions_skewsafe": TRANSITION_SQL,
         **(corpus.oracle_sql() if corpus else {}),

@@ -117,12 +117,14 @@ def market_summary(daily: DataFrame, run_ts: dt.datetime | None = None, *, colum
     """One row per category and date of the daily snapshot. Products of unknown stock count
     in the total only."""
     c = columns
+    # A sum of doubles has other last digits in another order of rows; what lies half-way must not fall either way with them.
+    mean = lambda name: F.round(F.round(F.avg(name), 9), 2)
     grouped = daily.groupBy(c.category, c.date).agg(
         F.count(F.lit(1)).alias("total_products"),
-        F.round(F.avg(c.price), 2).alias("avg_price"),
+        mean(c.price).alias("avg_price"),
         F.min(c.price).alias("min_price"),
         F.max(c.price).alias("max_price"),
-        F.round(F.avg(c.rating), 2).alias("avg_rating"),
+        mean(c.rating).alias("avg_rating"),
         F.count_if(F.col(c.stock) == fixed.IN_STOCK).alias("products_in_stock"),
         F.count_if(F.col(c.stock) != fixed.IN_STOCK).alias("products_out_of_stock"),
         F.max(c.reviews).cast("bigint").alias("max_reviews"),

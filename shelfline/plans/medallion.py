@@ -1,11 +1,14 @@
-"""Bronze to Silver to Gold as one application."""
+"""Bronze to Silver to Gold as one application.
+
+What a run writes appears in one step at its end, all tables together.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +19,17 @@ from shelfline.operators.quality import quality_report, quality_score
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
-from shelfline.sinks.tables import date_folders, ensure_table, stage, table_exists, write_table
+from shelfline.sinks.tables import date_folders, ensure_table, stage
+from shelfline.sinks.versions import CARRY, NO_DATE, Changes, partition_places
 from shelfline.sources.bronze import read_bronze
-from shelfline.sources.silver import read_silver, read_table
+from shelfline.sources.silver import read_silver
+
+
+PRODUCTS = "products"
+CARRIED_DATES = 7  # dates for which the state at their end is kept
+
+#: The last valid row and rank of each product at the end of a date.
+CARRY_SCHEMA = T.StructType([*SILVER.fields, T.StructField("seen_on", T.DateType()), T.StructField("price_rank", T.IntegerType())])
 
 
 class EmptyInputError(ValueError):
@@ -41,14 +52,16 @@ class RunMetrics:
 
 def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
                multi_line: bool = True, columns: Columns = DEFAULT, late: bool = False, replace: bool = False,
-               source_system: str = fixed.SOURCE_SYSTEM, metrics: RunMetrics | None = None) -> RunMetrics:
+               source_system: str = fixed.SOURCE_SYSTEM, metrics: RunMetrics | None = None,
+               changes: Changes | None = None) -> RunMetrics:
     """Read raw observations, report on their quality, write Silver.
 
     The dates read replace those written before, so ``bronze`` should hold whole
     dates: all folders, or a list of some. If a date already stored holds a product that is not read again,
     a PartialDateError is raised before anything is written, unless ``replace`` says that it is to go. With ``late``
     the files are additions: stored rows of their dates stay, but for those with the key and time of a row
-    read now. The JSON is parsed once; the report and Silver read a columnar copy of it.
+    read now. Rows whose time gives no date are no date's: they are always added to those stored, but for those that are
+    equal to a row read now. The JSON is parsed once; the report and Silver read a columnar copy of it.
     """
     metrics = metrics or RunMetrics()
     raw = stage(read_bronze(spark, bronze, multi_line=multi_line), "raw", out)
@@ -57,25 +70,38 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     metrics.schemas["raw"] = raw.schema
     metrics.quality = quality_score(quality_report(raw, columns=columns)).first().asDict()
     silver = standardize(raw, run_ts, columns=columns, source_system=source_system)
-    products = f"{out}/products"
-    if not replace and table_exists(spark, products):
-        dates = silver.select(columns.date).distinct()
-        stored = (read_silver(spark, products, columns=columns)
-                  .join(F.broadcast(dates), columns.date, "left_semi"))  # as many as days
-        if late:
-            again = silver.select(columns.key, columns.time).distinct()
-            others = stored.join(again, [columns.key, columns.time], "left_anti").select(silver.columns)
-            # a copy: a table is not read while it is written
-            silver = stage(silver.unionByName(others), "merged", out)
-        else:
-            lost = stored.join(silver.select(columns.date, columns.key).distinct(), [columns.date, columns.key], "left_anti")
-            if not lost.isEmpty():
-                raise PartialDateError(f"{bronze} lacks products that {products} holds for the same dates")
-    metrics.rows_written["products"] = write_table(silver, f"{out}/products", columns.date)
+    own = changes or Changes(spark, out, columns.date)
+    if own.dates(PRODUCTS):
+        silver = _with_stored(silver, own.read(PRODUCTS, SILVER), columns, late=late, replace=replace, what=f"{out}/{PRODUCTS}")
+    metrics.rows_written[PRODUCTS] = own.write(silver, PRODUCTS)
+    own.drop_from(CARRY, own.written(PRODUCTS))
+    if changes is None:
+        own.commit()
     metrics.status = {row[0]: row[1] for row in status_counts(silver, columns=columns).collect()}
     return metrics
 
 
+def _with_stored(silver: DataFrame, stored: DataFrame, columns: Columns, *, late: bool, replace: bool, what: str) -> DataFrame:
+    """The rows read now and the stored ones that stay beside them in the dates to be written."""
+    c = columns
+    dates = silver.select(c.date).distinct()
+    same_dates = stored.join(F.broadcast(dates), c.date, "left_semi")  # as many as days
+    if late:
+        again = silver.select(c.key, c.time).distinct()
+        silver = silver.unionByName(same_dates.join(again, [c.key, c.time], "left_anti").select(silver.columns))
+    elif not replace:
+        lost = same_dates.join(silver.select(c.date, c.key).distinct(), [c.date, c.key], "left_anti")
+        if not lost.isEmpty():
+            raise PartialDateError(f"the files lack products that {what} holds for the same dates")
+    undated = silver.where(F.col(c.date).isNull())
+    if undated.isEmpty():  # what is stored without a date is not written again
+        return silver
+    told_by = [name for name in silver.columns if name not in ("processed_at", c.date)]
+    now = undated.select(F.struct(*told_by).alias("_row")).distinct()
+    before = stored.where(F.col(c.date).isNull()).withColumn("_row", F.struct(*told_by))
+    return silver.unionByName(before.join(now, "_row", "left_anti").select(silver.columns))
+
+
 def gold_tables(valid: DataFrame, daily: DataFrame, run_ts: dt.datetime | None = None, *,
                 ranked_before: DataFrame | None = None, columns: Columns = DEFAULT,
                 rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, DataFrame]:
@@ -90,39 +116,89 @@ def gold_tables(valid: DataFrame, daily: DataFrame, run_ts: dt.datetime | None =
     }
 
 
-def with_last_before(valid: DataFrame, from_date: dt.date, columns: Columns = DEFAULT) -> DataFrame:
+def with_last_before(valid: DataFrame, from_date: dt.date, columns: Columns = DEFAULT,
+                     carried: tuple[DataFrame, dt.date] | None = None) -> DataFrame:
     """The rows from a date on, and what their first rows follow: each product's last row
-    before that date, and the rows whose time gives no date, which may sort anywhere."""
+    before that date, and the rows whose time gives no date, which may sort anywhere.
+
+    ``carried`` are the last rows at the end of an earlier date, and that date: only later ones are read then, not the history.
+    """
     date = F.col(columns.date)
-    before = current(valid.where(date < F.lit(from_date)), columns=columns)
-    return (valid.where(date >= F.lit(from_date)).unionByName(before)
+    before = valid.where(date < F.lit(from_date))
+    if carried is not None:
+        rows, as_of = carried
+        before = valid.where((date > F.lit(as_of)) & (date < F.lit(from_date))).unionByName(rows)
+    return (valid.where(date >= F.lit(from_date)).unionByName(current(before, columns=columns))
             .unionByName(valid.where(date.isNull())))
 
 
+def read_carry(changes: Changes, from_date: dt.date) -> tuple[DataFrame, dt.date] | None:
+    """The state at the end of the last date before ``from_date`` for which it is kept, and that date."""
+    known = [date for date in changes.dates(CARRY) or {} if date < from_date.isoformat()]
+    if not known:
+        return None
+    as_of = dt.date.fromisoformat(max(known))
+    return changes.read(CARRY, CARRY_SCHEMA).where(F.col(changes.partition) == F.lit(as_of)), as_of
+
+
+def write_carry(changes: Changes, daily: DataFrame, ranks: DataFrame, from_date: dt.date | None, columns: Columns) -> None:
+    """Keep the state at the end of the last dates of a run, from its daily snapshot and the ranks of its rows.
+
+    A product's row holds from its date to the day before its next one, so one pass along each product gives the state of all dates.
+    """
+    c, date = columns, F.col(columns.date)
+    dated = daily.where(date.isNotNull())
+    new = dated if from_date is None else dated.where(date >= F.lit(from_date))
+    kept = [row[0] for row in new.select(c.date).distinct().orderBy(F.desc(c.date)).limit(CARRIED_DATES).collect()]
+    if from_date is not None:
+        changes.drop_from(CARRY, [from_date.isoformat()])
+    if not kept:
+        return
+    follows = F.lead(c.date).over(Window.partitionBy(c.key).orderBy(c.date))
+    holds = F.filter(F.array(*map(F.lit, kept)), lambda day: (day >= F.col("seen_on")) & (F.col("_next").isNull() | (day < F.col("_next"))))
+    rows = (dated.join(ranks.select(c.key, c.date, "price_rank"), [c.key, c.date], "left")
+            .withColumn("_next", follows).withColumnRenamed(c.date, "seen_on").withColumn(c.date, F.explode(holds)))
+    changes.write(rows.select(*CARRY_SCHEMA.fieldNames()), CARRY, replace_all=from_date is None)
+    changes.tables[CARRY] = dict(sorted(changes.tables[CARRY].items())[-CARRIED_DATES:])
+
+
 def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
              from_date: dt.date | None = None, columns: Columns = DEFAULT, rows_per_piece: int = ROWS_PER_PIECE,
-             metrics: RunMetrics | None = None) -> RunMetrics:
+             metrics: RunMetrics | None = None, changes: Changes | None = None) -> RunMetrics:
     """Build the Gold tables, or with ``from_date`` only their dates from there on; rows
     without a date are then left as they were. Dates that have no valid row any more go:
     the tables end as a run on a new folder would write them.
 
     The daily snapshot serves four tables and is staged for them. ``stock_gap`` holds
-    the present state of each product, so it is always replaced as a whole.
+    the present state of each product, so it is always replaced as a whole. The state of each product at the end of the last dates is carried, so
+    a run from a date on reads that date's partitions and those after it, the carried state, and no history; where nothing is
+    carried (another Silver table, or a date before the carried ones) it reads the history.
     """
     metrics = metrics or RunMetrics()
-    valid = quality_gate(read_silver(spark, silver, columns=columns), columns=columns)
+    own = changes or Changes(spark, out, columns.date)
+    ours = silver.rstrip("/") == f"{own.out}/{PRODUCTS}"
+    valid = quality_gate(own.read(PRODUCTS, SILVER) if ours and own.dates(PRODUCTS) else read_silver(spark, silver, columns=columns),
+                         columns=columns)
     if valid.isEmpty():
         raise EmptyInputError(f"no valid rows in {silver}")
     metrics.schemas["silver"] = valid.schema
-    wanted, ranked_before = F.lit(True), None
+    date, wanted, ranked_before = F.col(columns.date), F.lit(True), None
     if from_date is not None:
-        wanted = F.coalesce(F.col(columns.date) >= F.lit(from_date), F.lit(False))
-        valid = stage(with_last_before(valid, from_date, columns), "recent", out)
-        # A copy of the table's older dates: a table is not read while it is written.
-        if table_exists(spark, f"{out}/competitor_ranking"):
-            written = read_table(spark, f"{out}/competitor_ranking", GOLD["competitor_ranking"])
-            ranked_before = stage(latest_per(written.where(~wanted), [columns.key], [columns.date]),
-                                  "ranked_before", out)
+        wanted = F.coalesce(date >= F.lit(from_date), F.lit(False))
+        carried = read_carry(own, from_date) if ours else None
+        older = date < F.lit(from_date)
+        if carried is not None:
+            state, as_of = carried
+            last = state.withColumn(columns.date, F.col("seen_on"))
+            carried, older = (last.select(*SILVER.fieldNames()), as_of), older & (date > F.lit(as_of))
+        valid = stage(with_last_before(valid, from_date, columns, carried), "recent", out)
+        if own.dates("competitor_ranking"):
+            written = own.read("competitor_ranking", GOLD["competitor_ranking"])
+            written = written.where(older | date.isNull())
+            if carried is not None:
+                written = written.select(*[name for name in written.columns if name in last.columns]).unionByName(
+                    last.where("price_rank IS NOT NULL").select(*[name for name in written.columns if name in last.columns]))
+            ranked_before = stage(latest_per(written, [columns.key], [columns.date]), "ranked_before", out)
     daily = stage(daily_latest(valid, columns=columns), "daily", out)
     tables = gold_tables(valid, daily.where(wanted), run_ts, ranked_before=ranked_before,
                          columns=columns, rows_per_piece=rows_per_piece)
@@ -130,30 +206,73 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     tables["stock_gap"] = gold.stock_gap(daily, run_ts, columns=columns)
     for name, rows in tables.items():
         present = name == "stock_gap"
-        metrics.rows_written[name] = write_table(
-            rows if present else rows.where(wanted), f"{out}/{name}", columns.date,
+        metrics.rows_written[name] = own.write(
+            rows if present else rows.where(wanted), name,
             replace_all=present or from_date is None, replace_from=None if present else from_date)
+    if ours:
+        ranks = own.read("competitor_ranking", GOLD["competitor_ranking"]).where(wanted).select(columns.key, columns.date, "price_rank")
+        if ranked_before is not None:
+            ranks = ranks.unionByName(ranked_before.select(*ranks.columns))
+        write_carry(own, daily, ranks, from_date, columns)
+    if changes is None:
+        own.commit()
     return metrics
 
 
 def publish(spark: SparkSession, out: str, database: str, columns: Columns = DEFAULT) -> None:
-    """Make the written tables known to the catalog, for SQL and the reports."""
+    """Make the written tables known to the catalog, for SQL and the reports: its partitions are pointed at the folders of the newest list.
+
+    Dates that a stream has added to several times are written as one folder first.
+    """
+    tables = {PRODUCTS: SILVER, **GOLD}
+    changes, compacted = Changes(spark, out, columns.date), False
+    for name, schema in tables.items():
+        several = [date for date, versions in (changes.dates(name) or {}).items() if len(versions) > 1]
+        if several:
+            date = F.coalesce(F.col(columns.date).cast("string"), F.lit(NO_DATE))
+            changes.write(changes.read(name, schema).where(date.isin(several)), name)
+            compacted = True
+    if compacted:
+        changes.commit()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, schema in {"products": SILVER, **GOLD}.items():
-        ensure_table(spark, f"{database}.{name}", schema, columns.date, location=f"{out}/{name}")
-        spark.catalog.recoverPartitions(f"{database}.{name}")
+    for name, schema in tables.items():
+        table = f"{database}.{name}"
+        ensure_table(spark, table, schema, columns.date, location=f"{out}/{name}")
+        places = {date: where[0] for date, where in partition_places(spark, out, name, columns.date).items()}
+        if not places:  # not on the list: nothing yet, or written in place
+            if changes.dates(name):
+                spark.catalog.recoverPartitions(table)
+            continue
+        known = {row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        spec = lambda date: f"PARTITION ({columns.date} = " + ("NULL)" if date in (NO_DATE, "null") else f"'{date}')")
+        known = {NO_DATE if date == "null" else date for date in known}
+        for date in sorted(known & set(places)):
+            spark.sql(f"ALTER TABLE {table} {spec(date)} SET LOCATION '{places[date]}'")
+        if new := sorted(set(places) - known):
+            spark.sql(f"ALTER TABLE {table} ADD " + " ".join(f"{spec(date)} LOCATION '{places[date]}'" for date in new))
+        for date in sorted(known - set(places)):
+            spark.sql(f"ALTER TABLE {table} DROP {spec(date)}")
+        spark.catalog.refreshTable(table)
 
 
 def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
         multi_line: bool = True, from_date: dt.date | None = None, columns: Columns = DEFAULT,
         rows_per_piece: int = ROWS_PER_PIECE, late: bool = False, replace: bool = False) -> RunMetrics:
-    """Silver, then Gold. A stage that fails or finds nothing ends the run.
+    """Silver, then Gold, which appear together. A stage that fails ends the run and leaves all tables as they were; where
+    no row is valid Silver alone appears.
 
     With ``from_date`` only the folders of Bronze from that date on are parsed, if ``bronze`` is one
     folder of date folders; Silver and Gold keep the dates before.
     """
     if from_date is not None and isinstance(bronze, str):
         bronze = date_folders(spark, bronze, from_date)
-    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace)
-    return run_gold(spark, f"{out}/products", out, run_ts, from_date=from_date, columns=columns,
-                    rows_per_piece=rows_per_piece, metrics=metrics)
+    changes = Changes(spark, out, columns.date)
+    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace, changes=changes)
+    try:
+        run_gold(spark, f"{changes.out}/{PRODUCTS}", out, run_ts, from_date=from_date, columns=columns,
+                 rows_per_piece=rows_per_piece, metrics=metrics, changes=changes)
+    except EmptyInputError:
+        changes.commit()
+        raise
+    changes.commit()
+    return metrics

@@ -34,7 +34,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition
               + (f"TBLPROPERTIES ({notes})" if notes else ""))
 
 
-def _ready(rows: DataFrame, partition: str) -> tuple[DataFrame, Observation]:
+def ready_rows(rows: DataFrame, partition: str) -> tuple[DataFrame, Observation]:
     """Rows of a date together, so that each date gets few files, and their count.
 
     Adaptive execution splits a large date over several tasks and joins small ones
@@ -62,7 +62,7 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _date_files(spark: SparkSession, path: str, partition: str) -> dict[str, set[str]]:
+def date_files(spark: SparkSession, path: str, partition: str) -> dict[str, set[str]]:
     """The files of each date folder of a table, whatever store it is in; none if there is no table yet."""
     jvm = spark._jvm.org.apache.hadoop.fs
     root = jvm.Path(path)
@@ -80,7 +80,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def date_folders(spark: SparkSession, path: str, from_date: dt.date, folder: str = "dt") -> str | list[str]:
     """The folders ``folder=date`` of a path from a date on; the path itself if it has no such folders."""
-    dates = _date_files(spark, path, folder)
+    dates = date_files(spark, path, folder)
     wanted = [f"{path}/{folder}={date}" for date in sorted(dates) if date == NO_DATE or date[:10] >= from_date.isoformat()]
     return wanted if dates else path
 
@@ -94,12 +94,12 @@ def write_table(rows: DataFrame, path: str, partition: str = "scrape_date", *,
     the rows are written. A run that fails before leaves them, and running again removes them.
     """
     spark = rows.sparkSession
-    before = _date_files(spark, path, partition) if replace_from is not None else {}
-    ready, seen = _ready(rows, partition)
+    before = date_files(spark, path, partition) if replace_from is not None else {}
+    ready, seen = ready_rows(rows, partition)
     (ready.write.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
      .partitionBy(partition).mode(mode).parquet(path))
     if replace_from is not None:
-        after = _date_files(spark, path, partition)
+        after = date_files(spark, path, partition)
         for date, files in before.items():
             # a date that was written again has new files
             if date[:10] >= replace_from.isoformat() and date != NO_DATE and after.get(date) == files:
@@ -120,7 +120,7 @@ def write_catalog_table(rows: DataFrame, name: str, partition: str = "scrape_dat
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
                   + ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new) + ")")
     given = {column.lower() for column in rows.columns}
-    ready, seen = _ready(rows.select(
+    ready, seen = ready_rows(rows.select(
         *[(F.col(f"`{field.name}`") if field.name.lower() in given else F.lit(None)).cast(field.dataType).alias(field.name)
           for field in spark.table(name).schema]), partition)
     # An insert by table name takes the mode from the session and no option for it.
@@ -147,7 +147,7 @@ def land_raw(rows: DataFrame, path: str, *, time: str = "scraped_at", folder: st
 
     ``rows_per_file=1`` gives the layout of one object per file.
     """
-    ready, seen = _ready(rows.withColumn(folder, F.substring(named(time), 1, 10)), folder)
+    ready, seen = ready_rows(rows.withColumn(folder, F.substring(named(time), 1, 10)), folder)
     writer = ready.write.partitionBy(folder).mode(mode).option("partitionOverwriteMode", "dynamic")
     if rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -159,7 +159,7 @@ def land_cdc(changes: DataFrame, root: str, feed: str | ChangeFeed, *, folder: s
              mode: str = "append") -> int:
     """Land change rows as header-less CSV, in folders by a format of the change time."""
     feed = feed_of(feed)
-    ready, seen = _ready(changes.select(
+    ready, seen = ready_rows(changes.select(
         "op", "change_ts", *feed.columns.fieldNames(),
         F.date_format("change_ts", folder).alias("at")), "at")
     (ready.write.partitionBy("at").mode(mode)

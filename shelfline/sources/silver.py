@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.schemas import DEFAULT, SILVER, Columns
+from shelfline.sinks.versions import read_listed
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A partitioned Parquet table. Reading its root keeps the partitions prunable."""
+    """A partitioned Parquet table, as the newest list of its folder has it. Partitions stay prunable."""
+    listed = read_listed(spark, path, schema, DEFAULT.date)
+    if listed is not None:
+        return listed
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfline import fixed_values as fixed
 from shelfline.operators.standardize import standardize
 from shelfline.schemas import DEFAULT, RAW, Columns
+from shelfline.sinks.versions import CARRY, Changes
 
 
 def stream_bronze(spark: SparkSession, path: str, *, multi_line: bool = True,
@@ -25,8 +26,22 @@ def stream_bronze(spark: SparkSession, path: str, *, multi_line: bool = True,
 
 def stream_silver(raw: DataFrame, out: str, checkpoint: str, run_ts: dt.datetime | None = None, *,
                   columns: Columns = DEFAULT, source_system: str = fixed.SOURCE_SYSTEM) -> StreamingQuery:
-    """Append the Silver rows of all files not seen yet, then stop. Each file counts once."""
-    return (standardize(raw, run_ts, columns=columns, source_system=source_system).writeStream
-            .format("parquet").partitionBy(columns.date)
-            .option("path", out).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+    """Add the Silver rows of all files not seen yet to the table ``out``, then stop. Each file counts once.
+
+    A batch adds folders to its dates and appears with a mark that holds its number, so a batch that is run again changes
+    nothing, and batch runs and this stream write and read one table. ``out`` is a table of its parent folder, as ``run_silver`` writes it.
+    """
+    folder, _, name = out.rstrip("/").rpartition("/")
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        changes = Changes(rows.sparkSession, folder, columns.date)
+        mark = f"stream {checkpoint}"
+        if changes.marks.get(mark, -1) >= batch_id:
+            return
+        changes.write(rows, name, append=True)
+        changes.drop_from(CARRY, changes.written(name))  # states that lack these rows
+        changes.marks[mark] = batch_id
+        changes.commit()
+
+    return (standardize(raw, run_ts, columns=columns, source_system=source_system).writeStream.foreachBatch(add)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
