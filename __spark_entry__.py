@@ -19,6 +19,7 @@ from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
 from shelfline.session import fresh_path
 from shelfline.sinks import snapshots as snapshot_sink
 from shelfline.sinks import tables as sinks
+from shelfline.sinks.versions import Changes
 from shelfline.sources import bronze, cdc, silver as silver_source, supplied
 from shelfline.streaming import changes as change_stream
 from shelfline.streaming import silver as silver_stream
@@ -518,6 +519,31 @@ def gold_by_successive_runs(spark, sf):
     return _gold_digest(spark, out)
 
 
+def bronze_quarantine(spark, sf):
+    """Landed records of which every eleventh breaks off: the rejects by their text, and the Silver rows by product."""
+    path, out = fresh_path(spark, "raw"), fresh_path(spark, "run")
+    rows = _raw_rows(spark, sf).select(F.to_json(F.struct("*")).alias("whole"), "asin", "scraped_at")
+    text = F.when(F.col("asin") % 11 == 0, F.concat(F.lit('{"asin": "'), "asin", F.lit('", "price": '))).otherwise(F.col("whole"))
+    rows.select(text.alias("value")).write.text(path)
+    medallion.run_silver(spark, path, out, RUN, multi_line=False)
+    found = Changes(spark, out)
+    rejects = found.read(medallion.REJECTS, medallion.REJECT_SCHEMA).select(F.lit("reject").alias("kind"), F.col("text").alias("value"))
+    kept = found.read(medallion.PRODUCTS, SILVER).select(F.lit("silver").alias("kind"), F.col("asin").alias("value"))
+    return rejects.unionByName(kept).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def silver_new_files_only(spark, sf):
+    """Four runs that take new files alone: the first dates, nothing new, later dates and files that come late, nothing new."""
+    path, out = fresh_path(spark, "raw"), fresh_path(spark, "run")
+    rows = _raw_rows(spark, sf)
+    first = (F.col("scraped_at") < F.lit(str(FROM))) & (F.col("asin") % 3 > 0)
+    for part in (first, ~first):
+        sinks.land_raw(rows.where(part), path)
+        for _ in range(2):
+            medallion.run_silver(spark, path, out, RUN, multi_line=False, new_only=True, source_system="synthetic")
+    return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
+
+
 def multi_line_bronze(spark, sf):
     """One object per file, over several lines of text: a supplier as an observation."""
     path = fresh_path(spark, "raw")
@@ -608,7 +634,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
-        silver_after_late_file, silver_undated_rows, silver_stream_then_batch, gold_by_successive_runs, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
+        silver_after_late_file, silver_undated_rows, silver_stream_then_batch, gold_by_successive_runs, bronze_quarantine,
+        silver_new_files_only, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
         published_report, cdc_snapshot_in_loads, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
@@ -932,6 +959,11 @@ def oracle_sql() -> dict[str, str]:
                                            f"(SELECT * FROM raw_all WHERE scraped_at >= '{FROM}')"),
         "silver_after_late_file": silver_rows,
         "silver_stream_then_batch": silver_rows,
+        "silver_new_files_only": silver_rows,
+        "bronze_quarantine": _with(RAW_SQL, select=(
+            "SELECT CASE WHEN product_id % 11 = 0 THEN 'reject' ELSE 'silver' END AS kind, CASE WHEN product_id % 11 = 0 "
+            "THEN '{\"asin\": \"' || product_id || '\", \"price\": ' ELSE CAST(product_id AS VARCHAR) END AS value, COUNT(*) AS n "
+            "FROM raw_obs GROUP BY ALL")),
         "gold_by_successive_runs": digest(RAW_SQL),
         "silver_undated_rows": _with(
             RAW_SQL.replace("raw_obs AS", "raw_all AS", 1), "raw_obs AS (SELECT * REPLACE (CASE WHEN product_id % 4 = 0 "

@@ -21,11 +21,21 @@ from shelfline.operators.standardize import quality_gate, standardize, status_co
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
 from shelfline.sinks.tables import date_folders, ensure_table, stage
 from shelfline.sinks.versions import CARRY, NO_DATE, Changes, partition_places
-from shelfline.sources.bronze import read_bronze
+from shelfline.sources.bronze import CORRUPT, list_files, read_with_origin
 from shelfline.sources.silver import read_silver
 
 
-PRODUCTS = "products"
+PRODUCTS, REJECTS, FILES = "products", "rejects", "files"
+MOST_REJECTS = 0.5
+
+#: Records that are no JSON, by the date of the run that met them.
+REJECT_SCHEMA = T.StructType([
+    T.StructField("file", T.StringType()), T.StructField("block_start", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("rejected_at", T.TimestampType()), T.StructField("scrape_date", T.DateType())])
+#: Files that were read, by the date they were modified.
+FILE_SCHEMA = T.StructType([
+    T.StructField("file", T.StringType()), T.StructField("size", T.LongType()), T.StructField("modified", T.TimestampType()),
+    T.StructField("scrape_date", T.DateType())])
 CARRIED_DATES = 7  # dates for which the state at their end is kept
 
 #: The last valid row and rank of each product at the end of a date.
@@ -36,6 +46,10 @@ class EmptyInputError(ValueError):
     """A stage found nothing to work on."""
 
 
+class RejectedInputError(ValueError):
+    """Too large a share of the records is no JSON."""
+
+
 class PartialDateError(ValueError):
     """Files hold only a part of a date that is stored whole."""
 
@@ -52,6 +66,7 @@ class RunMetrics:
 
 def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
                multi_line: bool = True, columns: Columns = DEFAULT, late: bool = False, replace: bool = False,
+               new_only: bool = False, most_rejects: float = MOST_REJECTS,
                source_system: str = fixed.SOURCE_SYSTEM, metrics: RunMetrics | None = None,
                changes: Changes | None = None) -> RunMetrics:
     """Read raw observations, report on their quality, write Silver.
@@ -62,19 +77,51 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     the files are additions: stored rows of their dates stay, but for those with the key and time of a row
     read now. Rows whose time gives no date are no date's: they are always added to those stored, but for those that are
     equal to a row read now. The JSON is parsed once; the report and Silver read a columnar copy of it.
+
+    Every run notes the files it has read (``files``: path, size, time). With ``new_only`` it takes those alone that are not noted so,
+    as additions to the dates they hold (``late``); without any it changes nothing. A file that is written again replaces its rows by key and time.
+
+    Records that are no JSON give no row; they go to ``rejects`` with their file and text. If more than a share ``most_rejects``
+    of all records is such, a RejectedInputError is raised before anything is written.
     """
     metrics = metrics or RunMetrics()
-    raw = stage(read_bronze(spark, bronze, multi_line=multi_line), "raw", out)
-    if raw.isEmpty():
+    own = changes or Changes(spark, out, columns.date)
+    found = stage(list_files(spark, bronze).withColumn(columns.date, F.to_date("modified")), "files", out)
+    known = own.read(FILES, FILE_SCHEMA) if own.dates(FILES) else None
+    unread = found if known is None else stage(found.join(known, ["file", "size", "modified"], "left_anti").select(*found.columns), "unread", out)
+    if new_only:
+        since = unread.agg(F.min("modified")).first()[0]
+        if since is None:
+            metrics.rows_written[PRODUCTS] = 0
+            return metrics
+        late, source = True, read_with_origin(spark, bronze, multi_line=multi_line, only=unread, since=since)
+    else:
+        source = read_with_origin(spark, bronze, multi_line=multi_line)
+    records = stage(source, "raw", out)
+    broken = F.col(CORRUPT).isNotNull()
+    counts = records.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("broken")).first()
+    if not counts["n"]:
         raise EmptyInputError(f"no raw observations in {bronze}")
+    if counts["broken"] > most_rejects * counts["n"]:
+        raise RejectedInputError(f"{counts['broken']} of {counts['n']} records in {bronze} are no JSON")
+    raw = records.where(~broken).drop(CORRUPT, "file", "block_start")
+    metrics.rows_written[REJECTS] = counts["broken"]
     metrics.schemas["raw"] = raw.schema
     metrics.quality = quality_score(quality_report(raw, columns=columns)).first().asDict()
     silver = standardize(raw, run_ts, columns=columns, source_system=source_system)
-    own = changes or Changes(spark, out, columns.date)
     if own.dates(PRODUCTS):
         silver = _with_stored(silver, own.read(PRODUCTS, SILVER), columns, late=late, replace=replace, what=f"{out}/{PRODUCTS}")
     metrics.rows_written[PRODUCTS] = own.write(silver, PRODUCTS)
     own.drop_from(CARRY, own.written(PRODUCTS))
+    if counts["broken"]:
+        rejects = records.where(broken).select("file", "block_start", F.col(CORRUPT).alias("text"), F.lit(run_ts).alias("rejected_at"),
+                                               F.lit(run_ts.date()).alias(columns.date))
+        if own.dates(REJECTS):  # those of this date from other files stay
+            earlier = own.read(REJECTS, REJECT_SCHEMA).where(F.col(columns.date) == F.lit(run_ts.date()))
+            rejects = rejects.unionByName(earlier.join(rejects.select("file").distinct(), "file", "left_anti").select(*rejects.columns))
+        own.write(rejects, REJECTS)
+    if not unread.isEmpty():
+        own.write(unread, FILES, append=True)
     if changes is None:
         own.commit()
     metrics.status = {row[0]: row[1] for row in status_counts(silver, columns=columns).collect()}
@@ -257,17 +304,27 @@ def publish(spark: SparkSession, out: str, database: str, columns: Columns = DEF
 
 def run(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
         multi_line: bool = True, from_date: dt.date | None = None, columns: Columns = DEFAULT,
-        rows_per_piece: int = ROWS_PER_PIECE, late: bool = False, replace: bool = False) -> RunMetrics:
+        rows_per_piece: int = ROWS_PER_PIECE, late: bool = False, replace: bool = False,
+        new_only: bool = False, most_rejects: float = MOST_REJECTS) -> RunMetrics:
     """Silver, then Gold, which appear together. A stage that fails ends the run and leaves all tables as they were; where
     no row is valid Silver alone appears.
 
     With ``from_date`` only the folders of Bronze from that date on are parsed, if ``bronze`` is one
-    folder of date folders; Silver and Gold keep the dates before.
+    folder of date folders; Silver and Gold keep the dates before. With ``new_only`` only files not read yet are parsed, and Gold is
+    built from the first of their dates on; without any new file nothing changes.
     """
     if from_date is not None and isinstance(bronze, str):
         bronze = date_folders(spark, bronze, from_date)
     changes = Changes(spark, out, columns.date)
-    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace, changes=changes)
+    metrics = run_silver(spark, bronze, out, run_ts, multi_line=multi_line, columns=columns, late=late, replace=replace,
+                         new_only=new_only, most_rejects=most_rejects, changes=changes)
+    if new_only:
+        dates = [dt.date.fromisoformat(date) for date in changes.written(PRODUCTS) if date != NO_DATE]
+        if not changes.written(PRODUCTS):
+            return metrics
+        from_date = min(dates) if dates and changes.dates("price_history") else None  # undated rows may sort anywhere
+        if NO_DATE in changes.written(PRODUCTS):
+            from_date = None
     try:
         run_gold(spark, f"{changes.out}/{PRODUCTS}", out, run_ts, from_date=from_date, columns=columns,
                  rows_per_piece=rows_per_piece, metrics=metrics, changes=changes)

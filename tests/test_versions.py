@@ -168,3 +168,49 @@ def test_empty_tables_are_on_the_list(spark, tmp_path, observations):
     changes.commit()
     assert read_silver(spark, f"{out}/products").count() == 0
     assert versions.read_listed(spark, f"{out}/other", SILVER, "scrape_date") is None
+
+
+def test_broken_records_are_set_apart(spark, tmp_path):
+    out, bronze = str(tmp_path / "out"), tmp_path / "bronze"
+    land_files(bronze, objects(9, days=(1,)))
+    (bronze / "2026-04-01" / "bad.json").write_text('{"asin": "B", "price": ')
+    metrics = run_silver(spark, str(bronze), out, RUN)
+    assert metrics.rows_written == {"products": 9, "rejects": 1} and metrics.quality["total_records"] == 9
+    assert read_silver(spark, f"{out}/products").where("asin IS NULL OR asin = 'B'").isEmpty()
+
+    def rejects():
+        return sorted((r.file.rpartition("/")[2], r.text, r.block_start, r.scrape_date) for r in
+                      Changes(spark, out).read("rejects", medallion.REJECT_SCHEMA).collect())
+    first = [("bad.json", '{"asin": "B", "price": ', 0, RUN.date())]
+    assert rejects() == first
+    run_silver(spark, str(bronze), out, RUN)
+    assert rejects() == first
+    later = tmp_path / "later"
+    land_files(later, objects(3, days=(2,)))
+    (later / "worse.json").write_text("no")
+    run_silver(spark, str(later), out, RUN)
+    assert rejects() == [*first, ("worse.json", "no", 0, RUN.date())]
+    with pytest.raises(medallion.RejectedInputError):
+        run_silver(spark, str(later), out, RUN, most_rejects=0.1)
+
+
+def test_only_new_files_are_parsed(spark, tmp_path, monkeypatch):
+    out, bronze, fresh = str(tmp_path / "out"), str(tmp_path / "bronze"), str(tmp_path / "fresh")
+    rows = list(objects(60))
+    late = [r for r in rows if r["asin"] == "A3" and r["scraped_at"].startswith("2026-04-02")]
+    land_files(bronze, [r for r in rows if r not in late])
+    run(spark, bronze, out, RUN, new_only=True)
+    before, number = tables(spark, out), read_manifest(spark, out).number
+    assert sum(before["products"].values()) == 60 - len(late)
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "read_with_origin", lambda *a, **b: pytest.fail("parsed a file again"))
+        assert run(spark, bronze, out, RUN, new_only=True).rows_written == {"products": 0}
+    assert tables(spark, out) == before and read_manifest(spark, out).number == number
+    land_files(tmp_path / "bronze" / "late", late)
+    # a file that is written again with another count
+    path = next(p for p in pathlib.Path(bronze).rglob("A0_0.json"))
+    path.write_text(path.read_text().replace("990", "12345"))
+    run(spark, bronze, out, RUN, new_only=True)
+    assert not read_silver(spark, f"{out}/products").where("reviews_count = 12345").isEmpty()
+    run(spark, bronze, fresh, RUN)
+    assert dated(tables(spark, out)) == dated(tables(spark, fresh))
