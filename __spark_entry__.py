@@ -323,6 +323,21 @@ def inventory_log_roundtrip(spark, sf):
         F.col("asin").cast("bigint").alias("product_id"), "product_title", "stock_quantity", "reorder_point")
 
 
+def cdc_log_of_one_time(spark, sf):
+    """Order lines as updates of their order, all of one time: the last line of the log decides."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws(
+        ",", F.lit("U"), F.lit("2024-01-01T10:00:00.000000+00:00"), "l_orderkey", "l_partkey", F.lit("t"), F.col("l_quantity").cast("int"),
+        F.lit("1.50"), F.concat(F.lit("s"), "l_linenumber"), F.lit("c"), F.lit("st"), F.lit("m"), F.lit(""), F.lit("")).alias("value"))
+    root = fresh_path(spark, "cdc")
+    # files by order, the lines of an order one after another
+    (lines.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber", "value").select("value")
+     .write.text(f"{root}/public/seller_orders/2024/01/01"))
+    log = cdc.accepted(cdc.decode_cdc(cdc.read_cdc(spark, root, "seller_orders", multi_line=False), "seller_orders"))
+    state = changes.apply_changes(None, log, KEYS, VALUES, keep_earliest=EARLIEST)
+    return changes.current_rows(state, KEYS, VALUES, keep_earliest=EARLIEST).select(
+        F.col("order_id").cast("bigint").alias("order_id"), F.col("asin").cast("bigint").alias("product_id"), "quantity", "order_status")
+
+
 def stream_cdc_state(spark, sf):
     lines = cdc.stream_cdc(spark, _landed_orders(spark, sf), "seller_orders")
     log = cdc.accepted(cdc.decode_cdc(lines, "seller_orders"))
@@ -644,7 +659,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stock_gap_counts, market_summary, market_report, line_price_history, line_competitor_ranking,
         line_review_trend, line_stock_gap, payload_flatten, cdc_last_change, cdc_current_state,
         cdc_state_in_steps, cdc_insert_ignore, cdc_update, cdc_upsert, cdc_transitions,
-        cdc_transitions_skewsafe, cdc_log_roundtrip, stream_cdc_state, raw_landing_roundtrip,
+        cdc_transitions_skewsafe, cdc_log_roundtrip, cdc_log_of_one_time, stream_cdc_state, raw_landing_roundtrip,
         silver_write_roundtrip, stream_silver, competitor_ranking_from_date, catalog_sql_report,
         two_stage_run,
     ]
@@ -1022,6 +1037,9 @@ def oracle_sql() -> dict[str, str]:
         "cdc_state_in_steps": STATE_SQL,
         "cdc_log_roundtrip": STATE_SQL,
         "stream_cdc_state": STATE_SQL,
+        "cdc_log_of_one_time": (
+            "SELECT order_id, CAST(l.p AS BIGINT) AS product_id, CAST(l.q AS INT) AS quantity, 's' || l.n AS order_status FROM (SELECT l_orderkey AS order_id, "
+            "MAX({'n': l_linenumber, 'p': CAST(l_partkey AS VARCHAR), 'q': CAST(CAST(l_quantity AS INT) AS VARCHAR)}) AS l FROM lineitem GROUP BY l_orderkey) x"),
         "cdc_insert_ignore": _with(BASE_SQL, select=(
             f"SELECT {ORDER_COLUMNS} FROM base UNION ALL SELECT {ORDER_COLUMNS} FROM "
             "(SELECT * FROM new WHERE order_id NOT IN (SELECT order_id FROM base) "

@@ -13,6 +13,7 @@ from shelfline import fixed_values as fixed
 from shelfline.schemas import FEEDS, ChangeFeed
 
 BAD_LINE = "bad_line"
+LINE = "line"  # where a line stands: file, start of its part of the file, number within it (in a stream a hash)
 REASON = "reject_reason"
 
 
@@ -27,6 +28,8 @@ def text_schema(feed: ChangeFeed) -> T.StructType:
 
 
 def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: str, multi_line: bool) -> DataFrame:
+    # The lines of one part of a file are read in their order by one task, and this number grows along it. Streams allow none.
+    row = F.monotonically_increasing_id() if isinstance(reader, DataFrameReader) else F.xxhash64("op", "change_ts", *feed.columns.fieldNames())
     # Without pruning every line is split whole, so a wrong number of values shows
     # whichever columns the query reads.
     return (reader.schema(text_schema(feed))
@@ -34,7 +37,9 @@ def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: s
             .option("columnPruning", False)
             .option("multiLine", multi_line)
             .option("columnNameOfCorruptRecord", BAD_LINE)
-            .csv(path))
+            .csv(path)
+            .select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
+                                  row.alias("row")).alias(LINE)))
 
 
 def read_cdc(spark: SparkSession, root: str, table: str | ChangeFeed, *, multi_line: bool = True) -> DataFrame:
@@ -71,7 +76,8 @@ def decode_cdc(lines: DataFrame, table: str | ChangeFeed) -> DataFrame:
     """Typed change rows with ``seq``, which orders rows of one change time, and a
     ``reject_reason`` that is NULL for rows fit to apply.
 
-    Of one time, inserts come before updates and updates before deletes; a hash of the line decides among the rest.
+    Of one time, inserts come before updates and updates before deletes, and further ones in the order of files by name and of their lines.
+    Lines that come from no file, and those of one file in a stream, are ordered by a hash instead.
     """
     feed = feed_of(table)
     typed, unreadable = [], F.lit(False)
@@ -89,11 +95,11 @@ def decode_cdc(lines: DataFrame, table: str | ChangeFeed) -> DataFrame:
               .when(change_ts.isNull(), "no change time")
               .when(keyless, "no key")
               .when(unreadable, "value of a wrong type"))
-    # two bits for the operation, the others from the hash
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, fixed.OP_CODES.values())), F.col("op")), F.lit(0))
-    line = F.shiftrightunsigned(F.xxhash64(*[name for name in lines.columns if name != BAD_LINE]), 3)
-    return lines.select("op", change_ts.alias("change_ts"), *typed,
-                        F.shiftleft(rank.cast("long"), 61).bitwiseOR(line).alias("seq"),
+    place = F.col(LINE) if LINE in lines.columns else F.struct(
+        F.lit("").alias("file"), F.lit(0).cast("long").alias("block_start"),
+        F.xxhash64(*[name for name in lines.columns if name != BAD_LINE]).alias("row"))
+    return lines.select("op", change_ts.alias("change_ts"), *typed, F.struct(rank.cast("int").alias("rank"), place.alias("at")).alias("seq"),
                         F.col(BAD_LINE), reason.alias(REASON))
 
 

@@ -194,3 +194,17 @@ def test_titles_may_hold_line_breaks(spark, tmp_path):
     decoded = decode_cdc(read_cdc(spark, str(tmp_path), feed), feed)
     found = accepted(decoded).first().product_title
     assert quarantined(decoded).count() == 0 and found.replace("\r\n", "\n") == title.replace("\r\n", "\n")
+
+
+def test_changes_of_one_time_go_by_their_lines(spark, tmp_path):
+    feed = FEEDS["seller_orders"]
+    values = [name for name in feed.columns.fieldNames() if name not in feed.keys]
+    for load, order in enumerate((range(5), reversed(range(5, 9)))):
+        folder = tmp_path / "public" / feed.table / "2026" / f"0{load}"
+        folder.mkdir(parents=True)
+        (folder / "log.csv").write_text("\n".join(order_line(op="U", key=key, status=f"s{n}") for n in order for key in ("O1", "O2")))
+    for multi_line in (True, False):
+        log = accepted(decode_cdc(read_cdc(spark, str(tmp_path), feed, multi_line=multi_line).repartition(3), feed))
+        state = changes.apply_changes(None, log, list(feed.keys), values, keep_earliest=list(feed.keep_earliest))
+        rows = changes.current_rows(state, list(feed.keys), values, keep_earliest=list(feed.keep_earliest)).collect()
+        assert {(r.order_id, r.order_status) for r in rows} == {("O1", "s5"), ("O2", "s5")}
