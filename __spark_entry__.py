@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fixed
-from shelfline.operators import changes, gold, keyed, quality, reports, snapshots, standardize
+from shelfline.operators import changes, gold, keyed, profiles, quality, reports, snapshots, standardize
 from shelfline.functions.columns import date_folder, file_stamp, iso_text, op_code, op_name
 from shelfline.plans import medallion
 from shelfline.schemas import FEEDS, GOLD, PAYLOAD, SILVER
 from shelfline.session import fresh_path
+from shelfline.sinks import buckets as bucket_sink
 from shelfline.sinks import snapshots as snapshot_sink
 from shelfline.sinks import tables as sinks
 from shelfline.sinks.versions import Changes
@@ -559,6 +560,40 @@ def silver_new_files_only(spark, sf):
     return _as_product(silver_source.read_silver(spark, f"{out}/products")).drop(*STAMPS)
 
 
+def stream_stock_gap(spark, sf):
+    """The last valid row of each product kept by a stream over files that arrive in two parts, the later dates first."""
+    path, out, checkpoint = (fresh_path(spark, name) for name in ("raw", "last", "checkpoint"))
+    early = F.col("scraped_at") < F.lit(str(FROM))
+    for part in (~early, early):
+        sinks.land_raw(_raw_rows(spark, sf).where(part), path)
+        landed = silver_stream.stream_bronze(spark, path, multi_line=False)
+        silver_stream.stream_current(standardize.standardize(landed, RUN), out, checkpoint).awaitTermination()
+    return _as_product(gold.stock_gap(silver_stream.read_last(spark, out), RUN)).drop(*STAMPS)
+
+
+def dq_from_date_sketches(spark, sf):
+    """Counts of halves of the time from stored profiles of dates, and whether each distinct count is within three standard errors."""
+    path = fresh_path(spark, "profiles")
+    rows = silver(spark, sf)
+    profiles.date_profiles(rows, columns=PRODUCT).write.parquet(path)
+    half = (F.col("scrape_date") < F.lit(FROM)).alias("early")
+    merged = profiles.merge_profiles(spark.read.parquet(path), [half], columns=PRODUCT)
+    exact = rows.groupBy(half).agg(F.count_distinct("product_id", "scraped_at").alias("exact_records"),
+                                   F.count_distinct("product_id").alias("exact_products"))
+    near = lambda kind: F.abs(F.col(f"distinct_{kind}") - F.col(f"exact_{kind}")) <= 3 * profiles.error_of() * F.col(f"exact_{kind}")
+    return merged.join(exact, "early").select(
+        "early", "total_records", "null_price", "null_rating", "exact_records", "exact_products",
+        near("records").alias("records_within"), near("products").alias("products_within"))
+
+
+def cdc_buckets_in_loads(spark, sf):
+    """The log applied to state in buckets in three loads, one of them twice."""
+    log, path = supplied.order_changes(spark, sf), fresh_path(spark, "buckets")
+    for k in (1, 0, 0, 2):
+        bucket_sink.apply_to_buckets(log.where(F.col("seq") % 3 == k), path, KEYS, VALUES, keep_earliest=EARLIEST, buckets=16)
+    return _order_view(bucket_sink.read_rows(log, path, KEYS, VALUES, keep_earliest=EARLIEST))
+
+
 def multi_line_bronze(spark, sf):
     """One object per file, over several lines of text: a supplier as an observation."""
     path = fresh_path(spark, "raw")
@@ -650,7 +685,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
         silver_after_late_file, silver_undated_rows, silver_stream_then_batch, gold_by_successive_runs, bronze_quarantine,
-        silver_new_files_only, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
+        silver_new_files_only, stream_stock_gap, dq_from_date_sketches, cdc_buckets_in_loads, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
         published_report, cdc_snapshot_in_loads, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
@@ -1004,6 +1039,12 @@ def oracle_sql() -> dict[str, str]:
             "op AS op_again, op AS op_same, strftime(created_on, '%Y-%m-%dT00-00-00.000000+00-00') AS stamp, "
             "strftime(created_on, '%Y/%m/%d') AS folder FROM log")),
         "cdc_snapshot_in_loads": STATE_SQL,
+        "cdc_buckets_in_loads": STATE_SQL,
+        "stream_stock_gap": _with(*to_silver, GAP_SQL, select="SELECT * FROM gap"),
+        "dq_from_date_sketches": _with(*to_silver, select=(
+            f"SELECT scrape_date < DATE '{FROM}' AS early, COUNT(*) AS total_records, COUNT(*) FILTER (WHERE price IS NULL) AS null_price, "
+            "COUNT(*) FILTER (WHERE rating IS NULL) AS null_rating, COUNT(DISTINCT (product_id, scraped_at)) AS exact_records, "
+            "COUNT(DISTINCT product_id) AS exact_products, TRUE AS records_within, TRUE AS products_within FROM silver GROUP BY 1")),
         "inventory_log_roundtrip": (
             "SELECT p_partkey AS product_id, p_name || chr(10) || '2nd line, \"quoted\"' AS product_title, "
             "p_size + 1 AS stock_quantity, p_size AS reorder_point FROM part WHERE p_partkey % 7 <> 0"),

@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 from shelfline import fixed_values as fixed
 from shelfline.operators import gold
 from shelfline.operators.pieces import ROWS_PER_PIECE
+from shelfline.operators.profiles import date_profiles
 from shelfline.operators.quality import quality_report, quality_score
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
 from shelfline.sinks.tables import date_folders, ensure_table, stage
-from shelfline.sinks.versions import CARRY, NO_DATE, Changes, partition_places
+from shelfline.sinks.versions import CARRY, NO_DATE, PROFILES, Changes, partition_places
 from shelfline.sources.bronze import CORRUPT, list_files, read_with_origin
 from shelfline.sources.silver import read_silver
 
@@ -66,7 +67,7 @@ class RunMetrics:
 
 def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: dt.datetime, *,
                multi_line: bool = True, columns: Columns = DEFAULT, late: bool = False, replace: bool = False,
-               new_only: bool = False, most_rejects: float = MOST_REJECTS,
+               new_only: bool = False, most_rejects: float = MOST_REJECTS, profiles: bool = False,
                source_system: str = fixed.SOURCE_SYSTEM, metrics: RunMetrics | None = None,
                changes: Changes | None = None) -> RunMetrics:
     """Read raw observations, report on their quality, write Silver.
@@ -83,6 +84,8 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
 
     Records that are no JSON give no row; they go to ``rejects`` with their file and text. If more than a share ``most_rejects``
     of all records is such, a RejectedInputError is raised before anything is written.
+
+    With ``profiles`` the counts of each date written, with sketches of the distinct ones, are kept for reports on any range of dates.
     """
     metrics = metrics or RunMetrics()
     own = changes or Changes(spark, out, columns.date)
@@ -113,6 +116,10 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
         silver = _with_stored(silver, own.read(PRODUCTS, SILVER), columns, late=late, replace=replace, what=f"{out}/{PRODUCTS}")
     metrics.rows_written[PRODUCTS] = own.write(silver, PRODUCTS)
     own.drop_from(CARRY, own.written(PRODUCTS))
+    own.drop(PROFILES, own.written(PRODUCTS))
+    if profiles:
+        of = F.coalesce(F.col(columns.date).cast("string"), F.lit(NO_DATE)).isin(own.written(PRODUCTS))
+        own.write(date_profiles(own.read(PRODUCTS, SILVER).where(of), columns=columns), PROFILES)
     if counts["broken"]:
         rejects = records.where(broken).select("file", "block_start", F.col(CORRUPT).alias("text"), F.lit(run_ts).alias("rejected_at"),
                                                F.lit(run_ts.date()).alias(columns.date))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from shelfline.sinks.tables import NO_DATE, date_files, folder_names, ready_rows, remove_folder
 
 MANIFEST, RUN, VERSION, MARK = "manifest", "run=", "v=", "mark"
-CARRY = "carry"  # what Gold keeps of each product, made from Silver
+CARRY, PROFILES = "carry", "profiles"  # what is kept of Silver: the state of each product, the counts of each date
 IN_PLACE = -1  # dates written straight below the table's folder, by write_table
 SCHEMA = "kind string, name string, date string, version long"
 
@@ -122,6 +122,11 @@ class Changes:
         if first is not None and name in self.tables:
             self.tables[name] = {date: versions for date, versions in self.tables[name].items() if date < first}
 
+    def drop(self, name: str, dates: list[str]) -> None:
+        """Take dates of a table off the list."""
+        if name in self.tables:
+            self.tables[name] = {date: versions for date, versions in self.tables[name].items() if date not in dates}
+
     def commit(self) -> int:
         """Make all that was written appear, and remove what neither this list nor the one before names."""
         rows = [("table", name, date, version) for name, dates in self.tables.items() for date, versions in dates.items() for version in versions]

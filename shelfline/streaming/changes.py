@@ -32,12 +32,17 @@ def stream_changes(changes: DataFrame, out: str, checkpoint: str, keys: Sequence
     Deleted keys stay in the state with the time of their deletion, so a late older
     change does not bring one back.
     """
+    state = fold_changes(changes, keys, columns, keep_earliest=keep_earliest, op=op, order=order)
+    return write_states(state, out, checkpoint, keys, compact_every)
+
+
+def write_states(state: DataFrame, out: str, checkpoint: str, keys: Sequence[str], compact_every: int = 50) -> StreamingQuery:
+    """Write the states of a streaming aggregate by keys, those a batch has touched, and stop when all input is read."""
     def write(states: DataFrame, batch_id: int) -> None:
         states.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
         if batch_id % compact_every == compact_every - 1:
             compact(states.sparkSession, out, keys)
 
-    state = fold_changes(changes, keys, columns, keep_earliest=keep_earliest, op=op, order=order)
     return (state.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

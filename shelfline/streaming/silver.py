@@ -5,13 +5,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline import fixed_values as fixed
-from shelfline.operators.standardize import standardize
+from shelfline.operators.standardize import quality_gate, standardize
 from shelfline.schemas import DEFAULT, RAW, Columns
-from shelfline.sinks.versions import CARRY, Changes
+from shelfline.sinks.versions import CARRY, PROFILES, Changes
+from shelfline.streaming.changes import read_state, write_states
 
 
 def stream_bronze(spark: SparkSession, path: str, *, multi_line: bool = True,
@@ -39,9 +41,26 @@ def stream_silver(raw: DataFrame, out: str, checkpoint: str, run_ts: dt.datetime
         if changes.marks.get(mark, -1) >= batch_id:
             return
         changes.write(rows, name, append=True)
-        changes.drop_from(CARRY, changes.written(name))  # states that lack these rows
+        changes.drop_from(CARRY, changes.written(name))  # states and counts that lack these rows
+        changes.drop(PROFILES, changes.written(name))
         changes.marks[mark] = batch_id
         changes.commit()
 
     return (standardize(raw, run_ts, columns=columns, source_system=source_system).writeStream.foreachBatch(add)
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+
+
+def stream_current(silver: DataFrame, out: str, checkpoint: str, *, columns: Columns = DEFAULT, compact_every: int = 50) -> StreamingQuery:
+    """Keep the last valid row of each product as observations arrive, then stop.
+
+    The state of a product is the greatest of its rows by the order of ``current``; it lives in the aggregate, and a
+    batch writes the products it touched. Late rows that sort before change nothing.
+    """
+    others = [name for name in silver.columns if name not in (columns.key, *columns.order)]
+    newest = F.max(F.struct(*columns.order, *others)).alias("row")
+    return write_states(quality_gate(silver, columns=columns).groupBy(columns.key).agg(newest), out, checkpoint, [columns.key], compact_every)
+
+
+def read_last(spark: SparkSession, out: str, *, columns: Columns = DEFAULT) -> DataFrame:
+    """The last valid row of each product, as ``stock_gap`` takes them."""
+    return read_state(spark, out, [columns.key]).select(columns.key, "row.*")
