@@ -424,6 +424,18 @@ def catalog_schema_merge(spark, sf):
     return _without_table(_as_product(spark.table(name)).select("product_id", "rating", "seller", "scraped_at"), name)
 
 
+def catalog_widened(spark, sf):
+    """Whole numbers and then wider ones in one column of a catalog table."""
+    name = f"widened_{uuid.uuid4().hex}"
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("n"), F.trunc("l_shipdate", "year").alias("scrape_date"))
+    even = F.col("l_orderkey") % 2 == 0
+    sinks.ensure_table(spark, name, lines.schema, "scrape_date", location=fresh_path(spark, "widened"))
+    sinks.write_catalog_table(lines.where(even), name, overwrite=False)
+    sinks.write_catalog_table(lines.where(~even).withColumn("n", F.col("n") + F.lit(3_000_000_000)), name, overwrite=False)
+    return _without_table(spark.table(name).groupBy("scrape_date").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("total")), name)
+
+
 def two_stage_run(spark, sf):
     """Landed JSON to Silver to Gold; the ranking as written."""
     out = fresh_path(spark, "run")
@@ -685,7 +697,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         gold_all_tables, gold_after_corrected_day, gold_from_corrected_day, gold_first_run_from_date,
         silver_after_late_file, silver_undated_rows, silver_stream_then_batch, gold_by_successive_runs, bronze_quarantine,
-        silver_new_files_only, stream_stock_gap, dq_from_date_sketches, cdc_buckets_in_loads, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
+        silver_new_files_only, stream_stock_gap, dq_from_date_sketches, cdc_buckets_in_loads, catalog_widened, catalog_schema_merge, multi_line_bronze, whole_numbers, table_row_counts,
         published_report, cdc_snapshot_in_loads, inventory_log_roundtrip, order_key_listing, inventory_defaults, dq_displayed, run_time_stamp,
         silver_standardized, dq_status_counts, dq_status_summary, dq_overall, constraint_check,
         product_price_summary, most_scraped, price_history, price_history_skewsafe,
@@ -1022,6 +1034,9 @@ def oracle_sql() -> dict[str, str]:
         "catalog_schema_merge": _with(*to_silver, select=(
             "SELECT product_id, CASE WHEN product_id % 2 <> 0 THEN rating END AS rating, "
             "CASE WHEN product_id % 2 <> 0 THEN 's' || product_id END AS seller, scraped_at FROM silver")),
+        "catalog_widened": (
+            "SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS scrape_date, COUNT(*) AS lines, CAST(SUM(CAST(l_quantity AS BIGINT) "
+            "+ CASE WHEN l_orderkey % 2 = 0 THEN 0 ELSE 3000000000 END) AS BIGINT) AS total FROM lineitem GROUP BY ALL"),
         "multi_line_bronze": (
             "SELECT s_suppkey AS product_id, s_name || chr(10) AS title, s_acctbal AS price, "
             "'2024-01-01T00:00:00.000000+00:00' AS scraped_at FROM supplier"),

@@ -107,13 +107,49 @@ def write_table(rows: DataFrame, path: str, partition: str = "scrape_date", *,
     return seen.get.get("rows", 0)
 
 
+class NarrowColumnError(ValueError):
+    """Rows have a wider type than a column of a table whose files belong to the catalog."""
+
+
+_WIDTHS = (("tinyint", "smallint", "int", "bigint"), ("float", "double"))
+
+
+def _wider(new: T.DataType, old: T.DataType) -> bool:
+    """Whether a type holds all values of another one and more."""
+    if isinstance(new, T.DecimalType) and isinstance(old, T.DecimalType):
+        return new != old and new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return any(new.simpleString() in kinds and old.simpleString() in kinds
+               and kinds.index(new.simpleString()) > kinds.index(old.simpleString()) for kinds in _WIDTHS)
+
+
+def widen_columns(spark: SparkSession, name: str, wider: Mapping[str, T.DataType]) -> None:
+    """Give columns of a catalog table with a location of its own wider types. Its files stay as they are: Spark reads their narrower
+    numbers as the wider type. The table is defined anew, so it is missing from the catalog for a moment."""
+    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if described.get("Type") != "EXTERNAL":
+        raise NarrowColumnError(f"{name} has narrower columns than {sorted(wider)}; only a table with a location of its own can be defined anew")
+    table = spark.table(name).schema
+    partition = next(column.name for column in spark.catalog.listColumns(name) if column.isPartition)
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if not row.key.startswith("transient")}
+    schema = T.StructType([T.StructField(f.name, wider.get(f.name.lower(), f.dataType), f.nullable, f.metadata) for f in table])
+    spark.sql(f"DROP TABLE {name}")
+    ensure_table(spark, name, schema, partition, location=described["Location"], properties=properties)
+    spark.catalog.recoverPartitions(name)
+
+
 def write_catalog_table(rows: DataFrame, name: str, partition: str = "scrape_date", *,
                         overwrite: bool = True) -> int:
     """The same for a catalog table; columns are matched by name.
 
-    Columns the table lacks are added to it first, NULL in its older rows; columns the rows lack are written as NULL.
+    Columns the table lacks are added to it first, NULL in its older rows; columns the rows lack are written as NULL. Columns whose
+    numbers are wider in the rows are widened in the table first, or a NarrowColumnError is raised before anything is written.
     """
     spark = rows.sparkSession
+    held = {field.name.lower(): field.dataType for field in spark.table(name).schema}
+    wider = {field.name.lower(): field.dataType for field in rows.schema
+             if field.name.lower() in held and _wider(field.dataType, held[field.name.lower()])}
+    if wider:
+        widen_columns(spark, name, wider)
     known = {column.lower() for column in spark.table(name).columns}
     new = [field for field in rows.schema if field.name.lower() not in known]
     if new:

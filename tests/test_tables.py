@@ -4,6 +4,7 @@ import pathlib
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import RUN, at, counted
 from shelfline.operators import gold, reports
@@ -13,7 +14,7 @@ from shelfline.functions.columns import as_int
 from shelfline.plans.medallion import EmptyInputError, PartialDateError, publish, run, run_gold, run_silver
 from shelfline.schemas import GOLD, SILVER
 from shelfline.session import fresh_path, setting, shared_dir
-from shelfline.sinks.tables import ensure_table, land_raw, write_catalog_table, write_table
+from shelfline.sinks.tables import NarrowColumnError, ensure_table, land_raw, write_catalog_table, write_table
 from shelfline.sources.bronze import CORRUPT, read_bronze
 from shelfline.sources.silver import read_merged, read_silver, read_table
 
@@ -246,6 +247,29 @@ def test_catalog_appends_add_columns(spark, tmp_path):
         spark.sql("DROP TABLE merged")
 
 
+def test_wider_numbers_widen_the_table(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "it's a"}), T.StructField("b", T.FloatType()),
+                           T.StructField("c", T.DecimalType(5, 2)), T.StructField("scrape_date", T.DateType())])
+    ensure_table(spark, "wide", schema, "scrape_date", location=str(tmp_path / "wide"), properties={"layer": "gold"})
+    ensure_table(spark, "narrow", schema, "scrape_date")
+    day = "DATE'2026-04-0{}' AS scrape_date"
+    try:
+        write_catalog_table(spark.sql("SELECT 1 AS a, 0.5F AS b, 1.25BD AS c, " + day.format(1)), "wide")
+        more = spark.sql("SELECT 3000000000L AS A, 1e300D AS b, CAST(123456.789 AS DECIMAL(12,3)) AS c, " + day.format(2))
+        write_catalog_table(more, "wide")
+        write_catalog_table(spark.sql("SELECT 2 AS a, 0.25F AS b, 2.5BD AS c, " + day.format(3)), "wide")
+        assert [f.dataType.simpleString() for f in spark.table("wide").schema] == ["bigint", "double", "decimal(12,3)", "date"]
+        assert sorted((r.a, r.b, float(r.c)) for r in spark.table("wide").collect()) == [
+            (1, 0.5, 1.25), (2, 0.25, 2.5), (3000000000, 1e300, 123456.789)]
+        assert {r.col_name: r.comment for r in spark.sql("DESCRIBE wide").collect()}["a"] == "it's a"
+        with pytest.raises(NarrowColumnError):
+            write_catalog_table(more, "narrow")
+        assert spark.table("narrow").isEmpty()
+    finally:
+        spark.sql("DROP TABLE wide")
+        spark.sql("DROP TABLE narrow")
+
+
 def test_whole_numbers_of_any_shape(spark):
     texts = ["990", "990.0", "1500.9", "9.9e2", "-3.7", "x", "3e9", None, "NaN"]
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select(as_int("t")).collect()
