@@ -8,9 +8,11 @@ threshold where the two classes' scores on the URLs set aside are equally many d
 
 Counts are kept for each string itself, so the model grows with the table, and no two strings share a count. They
 are joined by string to the distinct windows of ``ORDER`` + 1 characters, and each window's ratio to the places it stands
-at: shuffles that no size outgrows. Expressions only; each distinct host and path is scored once.
+at: shuffles that no size outgrows. Expressions only; each distinct URL is scored once, from its host to its end: path, query and
+fragment. Rules see host and path alone.
 
-Null URLs and URLs without ``://`` have an empty host and path and no rule; the empty string is scored as any other.
+Null URLs and URLs without ``://`` have an empty host and path and no rule; the models read the whole text of the latter, and of null the
+empty string.
 Without URLs of both classes every score is 0 and the verdict allow. Repeated rows each get their verdict.
 """
 
@@ -42,6 +44,12 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def tail(url: Column) -> Column:
+    """All that follows the host: path, query and fragment; the whole text without ``://``."""
+    rest = F.expr("substring(url, instr(url, '://') + 3)")
+    return F.coalesce(F.when(F.instr(url, "://") > 0, F.regexp_replace(rest, r"^[^/?#]*", "")).otherwise(url), F.lit(""))
+
+
 def _fits(rule: str) -> Column:
     host, slash, path = rule.partition("/")
     own = (F.col("host") == host) | F.col("host").endswith("." + host)
@@ -133,13 +141,15 @@ def threshold(scores: DataFrame) -> float:
 def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict, score and threshold of each row of pages."""
     host, path = split_url(F.col("url"))
-    rows = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
-    distinct = apply_rules(rows.groupBy("host", "path").agg(F.count("*").alias("n")), rules)
-    aside = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS)) == 0
-    counts = staged(count_grams(distinct.where(F.col("rule_verdict").isNotNull() & ~aside)), "url-counts")
-    scores = staged(score(distinct, counts), "url-scores")
-    cut = threshold(apply_rules(scores.where(aside), rules))
-    judged = apply_rules(rows.join(scores, ["host", "path"]), rules)
+    rows = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"), tail(F.col("url")).alias("tail"))
+    whole = [F.col("host"), F.col("tail").alias("path")]  # what the models read
+    distinct = apply_rules(rows.select("host", "path", "tail").distinct(), rules)
+    aside = F.pmod(F.xxhash64("host", "tail"), F.lit(FOLDS)) == 0
+    counts = staged(count_grams(distinct.where(F.col("rule_verdict").isNotNull() & ~aside).select(*whole, "rule_verdict")), "url-counts")
+    scores = staged(score(distinct.select(*whole), counts).withColumnRenamed("path", "tail"), "url-scores")
+    known = scores.where(aside & (F.col("host") != "")).withColumn("path", F.regexp_extract("tail", r"^[^?#]*", 0))
+    cut = threshold(apply_rules(known, rules))
+    judged = apply_rules(rows.join(scores, ["host", "tail"]), rules)
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= cut, "allow").otherwise("block"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score",
                          F.lit(cut).alias("threshold"))

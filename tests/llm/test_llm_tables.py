@@ -186,6 +186,19 @@ def test_url_counts_are_those_of_each_string(spark):
     assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
 
 
+def test_urls_that_differ_behind_the_path_are_judged_apart(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(6))
+    urls = [f"http://{word()}.{'net' if k % 2 else 'org'}/fr/{word()}?{'buy=viagra' if k % 2 else 'page=two'}#{word()}" for k in range(200)]
+    urls += ["https://c.com/p?buy=viagra", "https://c.com/p?page=two", "https://c.com/p", "buy=viagra", "page=two", None, ""]
+    rows = {r.page_id: r for r in url_filter.judge_urls(
+        spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), URL_RULES).collect()}
+    bad, good, bare, bad_text, good_text, null, empty = (rows[200 + k] for k in range(7))
+    assert (bad.verdict, good.verdict, bad_text.verdict, good_text.verdict) == ("block", "allow", "block", "allow")
+    assert bad.score < bare.score < good.score and null.score == empty.score
+    assert {r.path for r in (bad, good, bare)} == {"/p"} and {r.path for r in (bad_text, good_text, null)} == {""}
+
+
 def test_urls_without_models(spark):
     pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://a.net/")], "page_id long, url string")
     assert {(r.page_id, r.verdict) for r in url_filter.judge_urls(pages, URL_RULES).collect()} == {(1, "allow"), (2, "block")}
