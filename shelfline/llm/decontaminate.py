@@ -81,6 +81,29 @@ class Pattern:
         return best, end
 
 
+    def nearest_prefix(self, text: str) -> int:
+        """Length of the prefix of text that is nearest to the item, the longest of equals: Myers' steps with a fixed beginning."""
+        m, masks = len(self.text), self.masks
+        full, top = (1 << m) - 1, 1 << (m - 1)
+        up, down, score, best, end = full, 0, m, m, 0
+        for j, c in enumerate(text, 1):
+            eq = masks.get(c, 0)
+            vertical = eq | down
+            across = (((eq & up) + up) ^ up) | eq
+            rise = down | (full & ~(across | up))
+            fall = up & across
+            if rise & top:
+                score += 1
+            elif fall & top:
+                score -= 1
+            if score <= best:
+                best, end = score, j
+            # what is before the text may not be skipped: a longer prefix costs one more in the first row
+            rise, fall = (rise << 1 | 1) & full, fall << 1 & full
+            up, down = fall | (full & ~(vertical | rise)), rise & vertical
+        return end
+
+
 class Matcher:
     """All items of a block and the automaton of their pieces."""
 
@@ -105,7 +128,7 @@ class Matcher:
         m = len(self.patterns[n].text)
         low = max(0, end - m - distance)
         # the end is fixed: what is behind it may not be skipped, so the distance of each prefix counts
-        return end - _prefix(self.backward[n], text[low:end][::-1])
+        return end - self.backward[n].nearest_prefix(text[low:end][::-1])
 
     def matches(self, raw: str | None) -> list[Match]:
         """The best place of each item that the text holds."""
@@ -136,17 +159,6 @@ class Matcher:
         return sorted(out)
 
 
-def _prefix(pattern: Pattern, text: str) -> int:
-    """Length of the prefix of text that is nearest to the pattern; the longest of equals."""
-    row = list(range(len(text) + 1))
-    for i, c in enumerate(pattern.text, 1):
-        last, row[0] = row[0], i
-        for j, d in enumerate(text, 1):
-            last, row[j] = row[j], min(last + (c != d), row[j] + 1, row[j - 1] + 1)
-    least = min(row)
-    return max(j for j, d in enumerate(row) if d == least)
-
-
 _matchers: dict[tuple[str, float], Matcher] = {}
 
 

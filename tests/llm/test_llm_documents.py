@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -380,3 +381,25 @@ def test_partial_licences_count_by_share(documents):
         texts.append(part)
     got = {r.doc_id: r.licenses for r in licenses.summarise(licenses.scan(documents(*texts))).collect()}
     assert got == expected and len(set(got.values())) == 2
+
+
+def test_the_nearest_prefix_is_that_of_a_full_table():
+    def table(pattern, text):
+        row = list(range(len(text) + 1))
+        for i, c in enumerate(pattern, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(text, 1):
+                last, row[j] = row[j], min(last + (c != d), row[j] + 1, row[j - 1] + 1)
+        return max(j for j, d in enumerate(row) if d == min(row))
+    rng = random.Random(21)
+    for _ in range(400):
+        pattern, text = ("".join(rng.choice("ab c") for _ in range(rng.randint(low, 30))) for low in (1, 0))
+        assert decontaminate.Pattern(1, pattern, 0.1).nearest_prefix(text) == table(pattern, text)
+
+
+def test_a_long_item_is_placed_in_a_moment():
+    rng = random.Random(22)
+    item = prose(rng, 1000)[:5000].strip()
+    began = time.thread_time()
+    assert decontaminate.Matcher([(1, item)]).matches("before " + item + " after")[0][1:] == (0, 7, 7 + len(decontaminate.normalise(item)))
+    assert time.thread_time() - began < 2
