@@ -181,8 +181,8 @@ def _parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
                                                "ends": [t[2] for t in tokens]}], PART_ARROW)
 
 
-PART_SCHEMA = "key long, at long, piece string, ids array<int>, starts array<long>, ends array<long>"
-PART_ARROW = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("piece", pa.string()), ("ids", pa.list_(pa.int32())),
+PART_SCHEMA = "key string, at long, piece string, ids array<int>, starts array<long>, ends array<long>"
+PART_ARROW = pa.schema([("key", pa.string()), ("at", pa.int64()), ("piece", pa.string()), ("ids", pa.list_(pa.int32())),
                         ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
 
@@ -192,7 +192,7 @@ def _joined(rows: pd.DataFrame, path: str, with_ids: bool) -> pd.DataFrame:
     text = "".join(rows["piece"])
     parts = [list(zip(*map(lambda c: [int(x) for x in r[c]], ("ids", "starts", "ends")))) for _, r in rows.iterrows()]
     ids = [t[0] for t in join_tree(tok, text, parts, [*map(int, rows["at"]), len(text)])]
-    out = pd.DataFrame([(int(rows["key"].iloc[0]), *digest(tok, ids))],
+    out = pd.DataFrame([(rows["key"].iloc[0], *digest(tok, ids))],
                        columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
     if with_ids:
         out["ids"] = [ids]
@@ -209,15 +209,18 @@ def encode_documents(docs: DataFrame, path: str, part: int = PART, with_ids: boo
     long = F.char_length("text") > part
     extra = ", ids array<int>" if with_ids else ""
     short = rows.where(~long).mapInArrow(partial(_short, path=path, with_ids=with_ids), SCHEMA + extra)
-    keyed = rows.where(long).withColumn("key", F.xxhash64("text"))
+    # two hashes tell texts apart
+    keyed = rows.where(long).withColumn("key", F.concat_ws(":", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")))
     at = F.explode(F.expr(f"sequence(0L, CAST((char_length(text) - 1) DIV {part} AS BIGINT))"))
+    # a number, as parts are few bytes and much work: by bytes alone adaptive execution would give them to one task
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = (keyed.select("key", "text").dropDuplicates(["key"]).select("key", "text", at.alias("k"))
               .select("key", (F.col("k") * part).alias("at"),
                       F.substring("text", (F.col("k") * part + 1).cast("int"), F.lit(part)).alias("piece"))
-              .repartition("key", "at").mapInArrow(partial(_parts, path=path), PART_SCHEMA))
+              .repartition(tasks, "key", "at").mapInArrow(partial(_parts, path=path), PART_SCHEMA))
     whole = pieces.groupBy("key").applyInPandas(
         lambda parts: _joined(parts, path, with_ids),
-        "key long, n_tokens long, ids_sha256 string, decoded_sha256 string" + extra)
+        "key string, n_tokens long, ids_sha256 string, decoded_sha256 string" + extra)
     joined = keyed.select("doc_id", "key").join(whole, "key").drop("key")
     return short.unionByName(joined)
 
