@@ -3,7 +3,7 @@
 Documents are read in the order of their ids. Lines end at ``\\n``; lines without a word are passed over.
 From each line on, the shortest run of lines with at least ``WORDS`` words is a window. A window's fingerprint is its
 least line hash, so equal windows choose the same line, and neighbouring windows mostly share theirs.
-Only windows whose fingerprint stands at two places or more can repeat; of these, the hash of the whole window tells which
+Only windows whose fingerprint stands at two places or more can repeat; of these, two hashes of the whole window, each of its own line hashes, tell which
 do. Every window but the first of its kind is a later copy. Copies extend both ways as long as neighbouring
 windows are copies too: their union is deleted. So a line goes if and only if it lies in a run of WORDS words or more,
 in whole lines, that stands somewhere before.
@@ -39,18 +39,19 @@ def windows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """KEY, first and last line number, window hash, fingerprint and its line of every full window."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = (docs.select(*_key(text), F.posexplode(F.split(text, "\n", -1)).alias("line", "content"))
-             .select(*KEY, "line", F.xxhash64("content").alias("hash"),
+             .select(*KEY, "line", F.xxhash64("content").alias("hash"), F.xxhash64(F.lit(1), "content").alias("other"),
                      F.size(F.split(F.trim(F.regexp_replace("content", r"\s+", " ")), " ")).alias("words"), "content")
              .where(F.col("content").rlike(r"\S")).drop("content")
              .dropDuplicates([*KEY, "line"]))
     own = Window.partitionBy(*KEY).orderBy("line")
     before = F.sum("words").over(own) - F.col("words")
     ahead = Window.partitionBy(*KEY).orderBy("before").rangeBetween(Window.currentRow, words - 1)
-    run = F.collect_list(F.struct("hash", "line")).over(ahead)
+    run = F.collect_list(F.struct("hash", "line", "other")).over(ahead)
     return (lines.withColumn("before", before)
             .withColumns({"run": run, "total": F.sum("words").over(ahead), "last": F.max("line").over(ahead)})
             .where(F.col("total") >= words)
             .select(*KEY, F.col("line").alias("first"), "last", F.xxhash64("run.hash").alias("window"),
+                    F.xxhash64(F.lit(1), "run.other").alias("window2"),
                     F.array_min("run").alias("mark")))
 
 
@@ -62,9 +63,9 @@ def repeated_windows(found: DataFrame) -> DataFrame:
     open_ = staged(found.join(staged(often, "line-marks"), F.col("mark.hash") == F.col("hash"), "left_semi").drop("mark"),
                    "line-candidates")
     place = F.struct(*KEY, "first")
-    original = staged(open_.groupBy("window").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1"),
+    original = staged(open_.groupBy("window", "window2").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1"),
                       "line-originals")
-    return open_.join(original.select("window", "at"), "window").where(place != F.col("at")).select(*KEY, "first", "last")
+    return open_.join(original.select("window", "window2", "at"), ["window", "window2"]).where(place != F.col("at")).select(*KEY, "first", "last")
 
 
 def kept_ranges(copies: DataFrame) -> DataFrame:
