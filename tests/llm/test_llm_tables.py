@@ -255,4 +255,4 @@ def test_pipeline_takes_an_empty_table(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
