@@ -151,8 +151,8 @@ def _featured(vectors: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t.as_py(), vectors.value) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))],
-                                             ["quality", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column("label_id"), batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))],
+                                             ["label_id", "quality", "features"])
     return run
 
 
@@ -217,11 +217,12 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, vectors: Broadcast) -> Network:
     usable = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id")))
-              .groupBy(F.col("doc_id").alias("label_id")).agg(F.max("quality").cast("double").alias("quality")))
+              .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max("quality").cast("double").alias("quality")))
     sample = usable.orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE)  # at most SAMPLE rows, so broadcast
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-            .select("quality", "text").mapInArrow(_featured(vectors), "quality double, features array<double>"))
-    got = rows.toPandas()
+            .select("label_id", "quality", "text").mapInArrow(_featured(vectors), "label_id long, quality double, features array<double>"))
+    # an id may have any number of rows; it counts once, so no more than SAMPLE rows come back
+    got = rows.groupBy("label_id", "quality").agg(F.min("features").alias("features")).select("quality", "features").toPandas()
     got = got.iloc[np.lexsort(np.array([list(f) for f in got["features"]]).T)] if len(got) else got  # the same in any order
     x = np.array([list(f) for f in got["features"]]) if len(got) else np.zeros((0, N_FEATURES))
     return Network(x, got["quality"].to_numpy(float))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -403,3 +404,103 @@ def test_a_long_item_is_placed_in_a_moment():
     began = time.thread_time()
     assert decontaminate.Matcher([(1, item)]).matches("before " + item + " after")[0][1:] == (0, 7, 7 + len(decontaminate.normalise(item)))
     assert time.thread_time() - began < 2
+
+
+def test_token_counts_of_whole_rows_are_greedy(documents):
+    vocabulary = set(token_counts.pieces_of(PIECE_FILE))
+    longest = max(map(len, vocabulary))
+
+    def greedy(word):
+        rest, count = token_counts.MARK + word, 0
+        while rest:
+            size = next((n for n in range(min(longest, len(rest)), 0, -1) if rest[:n] in vocabulary), 0)
+            if not size:
+                return 1, 1
+            rest, count = rest[size:], count + 1
+        return count, 0
+    rng = random.Random(31)
+    letters = "abcdeéß日本0 9.,\n\t😀ABC'-"
+    texts = [prose(rng, 80) for _ in range(20)] + ["".join(rng.choice(letters) for _ in range(300)) for _ in range(20)]
+    for (doc, n_words, n_tokens, n_unknown), text in zip(map(tuple, token_counts.count_tokens(documents(*texts), PIECE_FILE).collect()), texts):
+        split = [greedy(w) for w in text.split()]
+        assert (n_words, n_tokens, n_unknown) == (len(split), sum(n for n, _ in split), sum(u for _, u in split))
+
+
+def brute_features(texts, text):
+    """Vectors and features by dictionaries and loops."""
+    index = lambda b: dict(zip(quality.PLACES[b].tolist(), quality.SIGNS[b].tolist()))
+    vectors, count = {}, Counter()
+    for t in texts:
+        words = quality._bucket(t)[0].tolist()
+        count.update(words)
+        for i, w in enumerate(words):
+            for j in range(max(0, i - quality.REACH), min(len(words), i + quality.REACH + 1)):
+                if i != j:
+                    for place, sign in index(words[j]).items():
+                        vectors.setdefault(w, [0.0] * quality.WIDTH)[place] += sign
+    total = sum(count.values())
+
+    def vector(w):
+        v = vectors.get(w, [0.0] * quality.WIDTH)
+        norm = max(sum(x * x for x in v) ** 0.5, 1e-9)
+        return [x / norm * quality.RARE / (quality.RARE + count[w] / total) for x in v]
+    words, shapes = (x.tolist() for x in quality._bucket(text))
+    n, width = len(words), quality.WIDTH
+    out = [0.0] * quality.N_FEATURES
+    if not n:
+        return out
+    pooled = [0.0] * width
+    for w, s in zip(words, shapes):
+        for k, x in enumerate(vector(w)):
+            out[k] += x / n
+        for place, sign in index(s).items():
+            out[width + place] += sign / n
+        for place, sign in index(w).items():
+            pooled[place] += sign / n
+    out[2 * width] = sum(x * x for x in pooled) ** 0.5
+    for k in (1, 2, 3):
+        out[2 * width + k] = sum(words[i] == words[i - k] for i in range(k, n)) / (n - k) if n > k else 0.0
+    out[2 * width + 4], out[2 * width + 5] = len(set(words)) / n, np.log1p(n)
+    return out
+
+
+def test_vectors_features_and_scores_are_those_of_plain_loops(documents):
+    rng = random.Random(17)
+    texts = [prose(rng, rng.randint(0, 40)) for _ in range(30)] + [None, "", "one", "two two", "A-1 b!! " * 5]
+    vectors = quality.word_vectors(documents(*texts).repartition(5))
+    made = np.array([quality.features(t, vectors) for t in texts])
+    assert np.allclose(made, [brute_features(texts, t) for t in texts], atol=1e-9)
+    network = quality.Network(made, np.array([float(k % 2) for k in range(len(texts))]))
+    w, b, v, c = network.parts
+    for x, score in zip(made, network.score(made)):
+        scaled = [min(6.0, max(-6.0, (a - m) / d)) for a, m, d in zip(x, network.mean, network.dev)]
+        hidden = [np.tanh(sum(s * w[i][j] for i, s in enumerate(scaled)) + b[j]) for j in range(quality.HIDDEN)]
+        z = sum(h * v[j] for j, h in enumerate(hidden)) + c[0]
+        assert abs(score - 1 / (1 + np.exp(-z / network.temperature))) < 1e-9
+
+
+def test_an_id_of_many_rows_is_learnt_from_once(spark, documents):
+    rng = random.Random(18)
+    docs = documents(*[(3, prose(rng, 20)) for _ in range(500)], *[(k, prose(rng, 20)) for k in range(10, 30)])
+    labels = spark.createDataFrame([(3, 1)] + [(k, k % 2) for k in range(10, 30)], "doc_id long, quality int")
+    seen = []
+
+    class Spy(quality.Network):
+        def __init__(self, x, y, seed=7):
+            seen.append(len(x))
+            super().__init__(x, y, seed)
+    before, quality.Network = quality.Network, Spy
+    try:
+        context = spark.sparkContext
+        quality.train(docs, labels, context.broadcast(quality.word_vectors(docs)))
+    finally:
+        quality.Network = before
+    learnt = [k for k in [3, *range(10, 30)] if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert seen == [len(learnt)]
+
+
+def test_scores_at_the_threshold_are_kept(spark, documents):
+    docs = documents("a b", "c d")
+    even = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))  # every score is 0.5
+    assert {r.predicted for r in quality.score(docs, even, keep=0.5).collect()} == {1}
+    assert quality.clean(docs, even, keep=0.5).count() == 2 and quality.clean(docs, even, keep=0.5000001).count() == 0
