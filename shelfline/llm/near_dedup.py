@@ -36,7 +36,7 @@ ROWS = 5
 BANDS = COORDINATES // ROWS
 PERCENT = 85       # links have 100 * intersection >= PERCENT * union
 BLOCK = 256        # classes of a bucket compared at a time
-COLUMNS = 1 << 15  # distinct shingles counted at a time
+COLUMNS = 1 << 13  # distinct shingles counted at a time: 16 MB for a pair of blocks
 
 PRINT_SCHEMA = "doc_id long, n_shingles long, class binary, bands array<long>"
 SET_SCHEMA = "id long, set array<long>"
