@@ -1,4 +1,16 @@
-"""Wordings by which works state their licence, by SPDX name."""
+"""Wordings by which works state their licence, by SPDX name.
+
+Wordings of different licences that agree in most of their text go on to the words that tell them apart.
+"""
+
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. ")
+_BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission. ")
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
 
 LICENSE_TEXTS = [
     ("MIT", "Released under the MIT License"),
@@ -19,9 +31,7 @@ LICENSE_TEXTS = [
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                 "option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met: Redistributions of source code must retain the above "
-                     "copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_END),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
@@ -29,4 +39,43 @@ LICENSE_TEXTS = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                "option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                 "(at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+                "this work."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+                        "License"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License"),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License"),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+             "software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
 ]

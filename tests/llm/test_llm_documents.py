@@ -377,13 +377,24 @@ def test_partial_licences_count_by_share(documents):
     for k, cut in enumerate((0, 3, 6, 9, 20)):
         part = " ".join(words[cut:])
         whole, held = set(licenses.shingles_of(text)), set(licenses.shingles_of(part))
-        share = len(whole & held) / len(whole)
-        expected[k] = name if share >= licenses.SHARE else ""
+        share, marks = len(whole & held) / len(whole), licenses.marks_of(licenses.LICENSE_TEXTS)[6]
+        expected[k] = name if share >= licenses.SHARE and all(2 * len(held & set(m)) >= len(m) for m in marks) else ""
         texts.append(part)
     got = {r.doc_id: r.licenses for r in licenses.summarise(licenses.scan(documents(*texts))).collect()}
     assert got == expected and len(set(got.values())) == 2
 
 
+def test_no_licence_is_named_as_another(documents):
+    known, words = licenses.LICENSE_TEXTS, "some words of no licence stand here " * 40
+    alone = [f"{words} {text} {words}" for _, text in known]
+    changed = [f"Copyright 2020 {text} Enjoy." for _, text in known]
+    gpl_2, gpl_3 = (next(t for n, t in known if n == name and len(t) > 150) for name in ("GPL-2.0", "GPL-3.0"))
+    got = {r.doc_id: r.licenses for r in licenses.summarise(licenses.scan(documents(*alone, *changed, gpl_2 + " " + gpl_3))).collect()}
+    assert [got[k] for k in range(len(got) - 1)] == [name for name, _ in known] * 2
+    assert got[len(got) - 1] == "GPL-2.0,GPL-3.0"
+    assert all(m for rivals in licenses.marks_of(known) for m in rivals)  # every wording can be told from every other
+
+
 def test_the_nearest_prefix_is_that_of_a_full_table():
     def table(pattern, text):
         row = list(range(len(text) + 1))
