@@ -37,6 +37,7 @@ BANDS = COORDINATES // ROWS
 PERCENT = 85       # links have 100 * intersection >= PERCENT * union
 BLOCK = 256        # classes of a bucket compared at a time
 COLUMNS = 1 << 13  # distinct shingles counted at a time: 16 MB for a pair of blocks
+SLICE = 1 << 18    # shingles of a pair of blocks sorted at a time, about
 
 PRINT_SCHEMA = "doc_id long, n_shingles long, class binary, bands array<long>"
 SET_SCHEMA = "id long, set array<long>"
@@ -161,23 +162,35 @@ def link_groups(docs: DataFrame, printed: DataFrame, percent: int = PERCENT) ->
     return components(links.union(staged(found, "near-links")), "near-components")
 
 
-def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """(a, b): each class of a pair of blocks with the least one that it reaches over links within the pair."""
-    ids, sets = rows["id"].to_numpy(), list(rows["set"])
-    size = np.array([len(s) for s in sets])
-    who = np.repeat(np.arange(len(ids)), size)
+def _count_shared(sets: list[np.ndarray], both: np.ndarray) -> None:
+    """Adds the sizes of the intersections of all pairs to both."""
+    who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = np.cumsum(often > 1) - 1  # only shingles of several sets count
     keep = often[place] > 1
     who, place = who[keep], shared[place[keep]]
-    both = np.zeros((len(ids), len(ids)), np.float32)
     order = np.argsort(place, kind="stable")
     who, place = who[order], place[order]
-    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+    width = int(place[-1]) + 1 if len(place) else 0
+    for low in range(0, width, COLUMNS):
         a, b = np.searchsorted(place, (low, low + COLUMNS))
-        held = np.zeros((len(ids), min(COLUMNS, int(place[-1]) + 1 - low)), np.float32)
+        held = np.zeros((len(sets), min(COLUMNS, width - low)), np.float32)
         held[who[a:b], place[a:b] - low] = 1
         both += held @ held.T
+
+
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(a, b): each class of a pair of blocks with the least one that it reaches over links within the pair."""
+    ids, sets = rows["id"].to_numpy(), [np.asarray(s, np.int64).view(np.uint64) for s in rows["set"]]
+    size = np.array([len(s) for s in sets])
+    both = np.zeros((len(ids), len(ids)), np.float32)
+    # sets ascend, so each range of hashes is a slice of every set; one range is worked on at a time
+    parts = 1 + int(size.sum()) // SLICE
+    edges = np.array([k * (2**64 // parts) for k in range(1, parts)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]) for s in sets]
+    for k in range(parts):
+        pieces = [s[c[k]:c[k + 1]] for s, c in zip(sets, cuts)]
+        _count_shared(pieces, both)
     union = size[:, None] + size[None, :] - both
     linked = (both > 0) & (100.0 * both.astype(np.float64) >= percent * union.astype(np.float64))
     linked |= ids[:, None] == ids[None, :]  # texts of one id

@@ -140,6 +140,7 @@ def brute_groups(rows, percent=85):
 def test_near_groups_are_those_of_all_pairs(documents, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
     monkeypatch.setattr(near_dedup, "COLUMNS", 64)
+    monkeypatch.setattr(near_dedup, "SLICE", 200)
     rng = random.Random(4)
     texts = []
     for _ in range(6):
