@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import chain
 from unicodedata import is_normalized
 
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 PART = 65_536      # characters encoded by one call
-KEPT = 250_000     # words in each table of a worker
+KEPT = 100_000     # words in each table of a worker
 RUN = re.compile(r"[^ \t\n\r]+")
 #: Runs, but a full stop or comma that ends one after a letter or digit stands alone, as the tokenizer has it.
 WORD = re.compile(r"[^ \t\n\r]*[^\W_](?=[.,](?:[ \t\n\r]|\Z))|[^ \t\n\r]+")
@@ -108,14 +109,17 @@ def digest(tok: Tokenizer, ids: list[int]) -> tuple[int, str, str]:
 
 
 class Words:
-    """Encoded words, looked up or encoded in batches: (ids, ids as text, tokens as text).
+    """Ids of encoded words, looked up or encoded in batches.
 
     Two tables of at most ``KEPT`` words: when the newer is full it becomes the older one, and words still in use move
-    back, so frequent words stay.
+    back, so frequent words stay. A word costs its own text and a tuple; numbers and the texts of tokens are held once.
     """
 
     def __init__(self, tok: Tokenizer):
         self.tok, self.new, self.old = tok, {}, {}
+        self.numbers = list(range(tok.get_vocab_size(with_added_tokens=True)))
+        self.digits = [str(i) for i in self.numbers]
+        self.tokens = [tok.id_to_token(i) or "" for i in self.numbers]
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.new) > KEPT:
@@ -126,19 +130,16 @@ class Words:
         for a in range(0, len(unknown), 4096):
             some = unknown[a:a + 4096]
             for word, got in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                ids = got.ids
-                self.new[word] = tuple(ids), " ".join(map(str, ids)), " ".join(map(self.tok.id_to_token, ids))
+                self.new[word] = tuple([self.numbers[i] for i in got.ids])
 
     def ids(self, words: list[str]) -> list[int]:
-        new = self.new
-        return [i for w in words for i in new[w][0]]
+        return list(chain.from_iterable(map(self.new.__getitem__, words)))
 
-    def digest(self, words: list[str]) -> tuple[int, str, str]:
+    def digest(self, ids: list[int]) -> tuple[int, str, str]:
         if self.tok.decoder is not None:
-            return digest(self.tok, self.ids(words))
-        got = [g for w in words if (g := self.new[w])[0]]  # without a decoder, decoding joins tokens by blanks
-        return (sum([len(g[0]) for g in got]), sha(" ".join([g[1] for g in got])),
-                sha(" ".join([g[2] for g in got])))
+            return digest(self.tok, ids)
+        return (len(ids), sha(" ".join(map(self.digits.__getitem__, ids))),  # without a decoder, decoding joins tokens by blanks
+                sha(" ".join(map(self.tokens.__getitem__, ids))))
 
 
 def split_words(text: str) -> list[str]:
@@ -161,12 +162,13 @@ def _short(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool) -> Iter
             some = batch.slice(a, 256)
             split = [split_words(t) for t in some.column("text").to_pylist()]
             words.learn(split)
-            digests = [words.digest(w) for w in split]
+            ids = [words.ids(w) for w in split]
+            digests = [words.digest(i) for i in ids]
             columns = [some.column("doc_id"), pa.array([d[0] for d in digests], pa.int64()),
                        *(pa.array([d[k] for d in digests], pa.string()) for k in (1, 2))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array([words.ids(w) for w in split], pa.list_(pa.int32())))
+                columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
