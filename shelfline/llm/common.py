@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 from shelfline.session import fresh_path
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 512  # texts handed to a Python worker at a time; 10,000 of them, Spark's own number, can be all the memory it has
+
+
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers look for this package where the driver found it, beside where they look already."""
+    """Lets Python workers look for this package where the driver found it, beside where they look already.
+
+    A session that does not say how many rows a worker gets at a time gives it ``ROWS``.
+    """
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, ROWS)
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
