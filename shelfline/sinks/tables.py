@@ -18,6 +18,8 @@ from shelfline.sources.cdc import feed_of
 
 #: What Spark names the folder of rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+#: Change rows in a file: one whose texts hold line breaks is read whole by one task.
+ROWS_PER_FILE = 250_000
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str,
@@ -192,13 +194,14 @@ def land_raw(rows: DataFrame, path: str, *, time: str = "scraped_at", folder: st
 
 
 def land_cdc(changes: DataFrame, root: str, feed: str | ChangeFeed, *, folder: str = "yyyy-MM-dd",
-             mode: str = "append") -> int:
-    """Land change rows as header-less CSV, in folders by a format of the change time."""
+             rows_per_file: int = ROWS_PER_FILE, mode: str = "append") -> int:
+    """Land change rows as header-less CSV, in folders by a format of the change time. A task goes on in a further file after so many rows."""
     feed = feed_of(feed)
     ready, seen = ready_rows(changes.select(
         "op", "change_ts", *feed.columns.fieldNames(),
         F.date_format("change_ts", folder).alias("at")), "at")
     (ready.write.partitionBy("at").mode(mode)
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .option("maxRecordsPerFile", rows_per_file)
      .csv(f"{root}/public/{feed.table}"))
     return seen.get.get("rows", 0)

@@ -38,17 +38,18 @@ def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: s
             .option("multiLine", multi_line)
             .option("columnNameOfCorruptRecord", BAD_LINE)
             .csv(path)
-            .select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"),
-                                  row.alias("row")).alias(LINE)))
+            .select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), row.alias("row")).alias(LINE)))
 
 
 def read_cdc(spark: SparkSession, root: str, table: str | ChangeFeed, *, multi_line: bool = True) -> DataFrame:
     """The change lines of one table as text, found by folder and not by file name.
 
-    ``multi_line`` lets a quoted text hold line breaks; each file is then read by one task. Without it large files are split.
+    ``multi_line`` lets a quoted text hold line breaks; each file is then read by one task, which passes its lines on
+    evenly to others and keeps none, so that what follows does not hold a file in one task. Without it large files are split.
     """
     feed = feed_of(table)
-    return _lines(spark.read, feed, f"{root}/public/{feed.table}", multi_line)
+    lines = _lines(spark.read, feed, f"{root}/public/{feed.table}", multi_line)
+    return lines.repartition(F.xxhash64(LINE)) if multi_line else lines
 
 
 def read_cdc_all(spark: SparkSession, root: str,

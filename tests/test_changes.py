@@ -10,7 +10,7 @@ from shelfline.functions.columns import date_folder, file_stamp, iso_text, next_
 from shelfline.operators import changes, keyed
 from shelfline.operators.changes import apply_changes, current_rows
 from shelfline.schemas import FEEDS
-from shelfline.sinks.tables import land_cdc
+from shelfline.sinks.tables import ROWS_PER_FILE, land_cdc
 from shelfline.sources.cdc import accepted, decode_cdc, quarantined, read_cdc, read_cdc_all
 
 LOG = "op string, change_ts timestamp, seq long, id string, a int, b string, made int"
@@ -208,3 +208,23 @@ def test_changes_of_one_time_go_by_their_lines(spark, tmp_path):
         state = changes.apply_changes(None, log, list(feed.keys), values, keep_earliest=list(feed.keep_earliest))
         rows = changes.current_rows(state, list(feed.keys), values, keep_earliest=list(feed.keep_earliest)).collect()
         assert {(r.order_id, r.order_status) for r in rows} == {("O1", "s5"), ("O2", "s5")}
+
+
+def test_no_file_of_a_landed_log_holds_more_than_its_rows(spark, tmp_path):
+    feed = FEEDS["seller_orders"]
+    rows = spark.range(2 * ROWS_PER_FILE + 1).select(
+        F.lit("I").alias("op"), F.lit("2026-04-01").cast("timestamp").alias("change_ts"),
+        *[(F.col("id") if f.name == "order_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in feed.columns.fields])
+    assert land_cdc(rows, str(tmp_path), feed) == 2 * ROWS_PER_FILE + 1
+    lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path)).groupBy(F.input_file_name()).count()
+    counts = [row[1] for row in lines.collect()]
+    assert sum(counts) == 2 * ROWS_PER_FILE + 1 and max(counts) <= ROWS_PER_FILE
+
+
+def test_the_task_that_reads_a_whole_file_holds_no_rows(spark, tmp_path):
+    write_lines(tmp_path, "seller_orders", [order_line(), order_line(op="U", status="shipped")])
+    feed = FEEDS["seller_orders"]
+    log = accepted(decode_cdc(read_cdc(spark, str(tmp_path), feed), feed))
+    plan = changes.fold_changes(log, list(feed.keys), ["order_status"])._jdf.queryExecution().executedPlan().toString()
+    reads = plan[plan.rindex("Exchange"):]
+    assert "FileScan csv" in reads and "Sort" not in reads and "Aggregate" not in reads
