@@ -13,7 +13,7 @@ from shelfline import fixed_values as fixed
 from shelfline.schemas import FEEDS, ChangeFeed
 
 BAD_LINE = "bad_line"
-LINE = "line"  # where a line stands: file, start of its part of the file, number within it (in a stream a hash)
+LINE = "line"  # where a line stands: file below the feed's folder, start of its part of the file, number within it (in a stream a hash)
 REASON = "reject_reason"
 
 
@@ -30,6 +30,8 @@ def text_schema(feed: ChangeFeed) -> T.StructType:
 def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: str, multi_line: bool) -> DataFrame:
     # The lines of one part of a file are read in their order by one task, and this number grows along it. Streams allow none.
     row = F.monotonically_increasing_id() if isinstance(reader, DataFrameReader) else F.xxhash64("op", "change_ts", *feed.columns.fieldNames())
+    # A state holds the place of each value, so the file goes by its name below the feed's folder.
+    file = F.substring_index("_metadata.file_path", f"/public/{feed.table}/", -1)
     # Without pruning every line is split whole, so a wrong number of values shows
     # whichever columns the query reads.
     return (reader.schema(text_schema(feed))
@@ -38,7 +40,7 @@ def _lines(reader: DataFrameReader | DataStreamReader, feed: ChangeFeed, path: s
             .option("multiLine", multi_line)
             .option("columnNameOfCorruptRecord", BAD_LINE)
             .csv(path)
-            .select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), row.alias("row")).alias(LINE)))
+            .select("*", F.struct(file.alias("file"), F.col("_metadata.file_block_start").alias("block_start"), row.alias("row")).alias(LINE)))
 
 
 def read_cdc(spark: SparkSession, root: str, table: str | ChangeFeed, *, multi_line: bool = True) -> DataFrame:

@@ -228,3 +228,5 @@ def test_the_task_that_reads_a_whole_file_holds_no_rows(spark, tmp_path):
     plan = changes.fold_changes(log, list(feed.keys), ["order_status"])._jdf.queryExecution().executedPlan().toString()
     reads = plan[plan.rindex("Exchange"):]
     assert "FileScan csv" in reads and "Sort" not in reads and "Aggregate" not in reads
+    place = log.select("seq.at.file").first()[0]  # every value of a state has one
+    assert not place.startswith("file:") and str(tmp_path) not in place
