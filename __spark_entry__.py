@@ -613,8 +613,7 @@ def multi_line_bronze(spark, sf):
         F.col("s_suppkey").cast("string").alias("asin"), F.concat("s_name", F.lit("\n")).alias("title"),
         F.col("s_acctbal").alias("price"), F.lit("2024-01-01T00:00:00.000000+00:00").alias("scraped_at"))
     text = F.to_json(F.struct("*"), {"pretty": "true"})
-    # a column of text to a file of its own for each row
-    rows.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    sinks.land_texts(rows.select(text.alias("value")), path)
     found = bronze.read_bronze(spark, path)
     return found.select(F.col("asin").cast("bigint").alias("product_id"), "title",
                         F.col("price").cast("double").alias("price"), "scraped_at")

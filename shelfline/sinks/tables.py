@@ -20,6 +20,8 @@ from shelfline.sources.cdc import feed_of
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 #: Change rows in a file: one whose texts hold line breaks is read whole by one task.
 ROWS_PER_FILE = 250_000
+#: Folders of files with one text each.
+FOLDERS = 64
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str,
@@ -193,6 +195,16 @@ def land_raw(rows: DataFrame, path: str, *, time: str = "scraped_at", folder: st
     return seen.get.get("rows", 0)
 
 
+def land_texts(texts: DataFrame, path: str, *, folders: int = FOLDERS, mode: str = "append") -> None:
+    """Land each text of a single column as a file of its own, for records of several lines.
+
+    Opening a file is most of the work, so the rows are dealt by hash to as many tasks as folders. Each writes a folder of its own, which
+    the end of the job renames as a whole and which readers list beside others.
+    """
+    (texts.repartition(folders, *texts.columns).withColumn("part", F.spark_partition_id())
+     .write.partitionBy("part").mode(mode).option("maxRecordsPerFile", 1).text(path))
+
+
 def land_cdc(changes: DataFrame, root: str, feed: str | ChangeFeed, *, folder: str = "yyyy-MM-dd",
              rows_per_file: int = ROWS_PER_FILE, mode: str = "append") -> int:
     """Land change rows as header-less CSV, in folders by a format of the change time. A task goes on in a further file after so many rows."""

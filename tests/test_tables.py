@@ -14,7 +14,7 @@ from shelfline.functions.columns import as_int
 from shelfline.plans.medallion import EmptyInputError, PartialDateError, publish, run, run_gold, run_silver
 from shelfline.schemas import GOLD, SILVER
 from shelfline.session import fresh_path, setting, shared_dir
-from shelfline.sinks.tables import NarrowColumnError, ensure_table, land_raw, write_catalog_table, write_table
+from shelfline.sinks.tables import NarrowColumnError, ensure_table, land_raw, land_texts, write_catalog_table, write_table
 from shelfline.sources.bronze import CORRUPT, read_bronze
 from shelfline.sources.silver import read_merged, read_silver, read_table
 
@@ -274,3 +274,13 @@ def test_whole_numbers_of_any_shape(spark):
     texts = ["990", "990.0", "1500.9", "9.9e2", "-3.7", "x", "3e9", None, "NaN"]
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select(as_int("t")).collect()
     assert [r[0] for r in rows] == [990, 990, 1500, 990, -3, None, None, None, None]
+
+
+def test_texts_to_files_of_their_own_are_written_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "raw"
+    rows = spark.range(200).select(F.format_string('{"asin": "%d",\n"title": "t"}', "id").alias("value")).coalesce(1)
+    land_texts(rows, str(path), folders=8)
+    files = [len(list(folder.glob("part-*"))) for folder in path.glob("part=*")]
+    assert len(files) == 8 and sum(files) == 200 and max(files) < 60
+    found = read_bronze(spark, str(path))
+    assert {row.asin for row in found.collect()} == {str(k) for k in range(200)} and found.count() == 200
