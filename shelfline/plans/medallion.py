@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from shelfline.operators.quality import quality_report, quality_score
 from shelfline.operators.snapshots import current, daily_latest, latest_per
 from shelfline.operators.standardize import quality_gate, standardize, status_counts
 from shelfline.schemas import DEFAULT, GOLD, SILVER, Columns
+from shelfline.session import at_once
 from shelfline.sinks.tables import date_folders, ensure_table, stage
 from shelfline.sinks.versions import CARRY, NO_DATE, PROFILES, Changes, partition_places
 from shelfline.sources.bronze import CORRUPT, list_files, read_with_origin
@@ -111,16 +113,18 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     if counts["broken"]:
         metrics.rows_written[REJECTS] = counts["broken"]
     metrics.schemas["raw"] = raw.schema
-    metrics.quality = quality_score(quality_report(raw, columns=columns)).first().asDict()
     silver = standardize(raw, run_ts, columns=columns, source_system=source_system)
     if own.dates(PRODUCTS):
         silver = _with_stored(silver, own.read(PRODUCTS, SILVER), columns, late=late, replace=replace, what=f"{out}/{PRODUCTS}")
-    metrics.rows_written[PRODUCTS] = own.write(silver, PRODUCTS)
+    report, metrics.rows_written[PRODUCTS] = at_once(
+        spark, lambda: quality_score(quality_report(raw, columns=columns)).first(), lambda: own.write(silver, PRODUCTS))
+    metrics.quality = report.asDict()
     own.drop_from(CARRY, own.written(PRODUCTS))
     own.drop(PROFILES, own.written(PRODUCTS))
+    of = F.coalesce(F.col(columns.date).cast("string"), F.lit(NO_DATE)).isin(own.written(PRODUCTS))
+    written = own.read(PRODUCTS, SILVER).where(of)
     if profiles:
-        of = F.coalesce(F.col(columns.date).cast("string"), F.lit(NO_DATE)).isin(own.written(PRODUCTS))
-        own.write(date_profiles(own.read(PRODUCTS, SILVER).where(of), columns=columns), PROFILES)
+        own.write(date_profiles(written, columns=columns), PROFILES)
     if counts["broken"]:
         rejects = records.where(broken).select("file", "block_start", F.col(CORRUPT).alias("text"), F.lit(run_ts).alias("rejected_at"),
                                                F.lit(run_ts.date()).alias(columns.date))
@@ -132,7 +136,7 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
         own.write(unread, FILES, append=True)
     if changes is None:
         own.commit()
-    metrics.status = {row[0]: row[1] for row in status_counts(silver, columns=columns).collect()}
+    metrics.status = {row[0]: row[1] for row in status_counts(written, columns=columns).collect()}
     return metrics
 
 
@@ -259,11 +263,12 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
                          columns=columns, rows_per_piece=rows_per_piece)
     tables["review_trend"] = gold.review_trend(daily, run_ts, columns=columns)
     tables["stock_gap"] = gold.stock_gap(daily, run_ts, columns=columns)
-    for name, rows in tables.items():
+
+    def write(name: str, rows: DataFrame) -> int:
         present = name == "stock_gap"
-        metrics.rows_written[name] = own.write(
-            rows if present else rows.where(wanted), name,
-            replace_all=present or from_date is None, replace_from=None if present else from_date)
+        return own.write(rows if present else rows.where(wanted), name,
+                         replace_all=present or from_date is None, replace_from=None if present else from_date)
+    metrics.rows_written |= zip(tables, at_once(spark, *[partial(write, name, rows) for name, rows in tables.items()]))
     if ours:
         ranks = own.read("competitor_ranking", GOLD["competitor_ranking"]).where(wanted).select(columns.key, columns.date, "price_rank")
         if ranked_before is not None:

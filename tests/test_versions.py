@@ -2,6 +2,7 @@
 
 import datetime as dt
 import pathlib
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from conftest import RUN, at, counted
 from shelfline.operators.standardize import standardize
 from shelfline.plans import medallion
 from shelfline.plans.medallion import CARRY, publish, run, run_gold, run_silver
-from shelfline.schemas import SILVER
+from shelfline.schemas import GOLD, SILVER
 from shelfline.sinks import versions
 from shelfline.sinks.tables import write_table
 from shelfline.sinks.versions import Changes, ConflictError, read_manifest
@@ -214,3 +215,18 @@ def test_only_new_files_are_parsed(spark, tmp_path, monkeypatch):
     assert not read_silver(spark, f"{out}/products").where("reviews_count = 12345").isEmpty()
     run(spark, bronze, fresh, RUN)
     assert dated(tables(spark, out)) == dated(tables(spark, fresh))
+
+
+def test_gold_tables_are_written_at_once(spark, observations, tmp_path, monkeypatch):
+    out, real, together = str(tmp_path), Changes.write, threading.Barrier(len(GOLD), timeout=60)
+
+    def write(self, rows, name, **options):
+        if name in GOLD:
+            together.wait()  # breaks unless all of them have begun
+        return real(self, rows, name, **options)
+    monkeypatch.setattr(Changes, "write", write)
+    changes = Changes(spark, out)
+    changes.write(observations({}, {"asin": "B", "price": 20.0}), "products")
+    metrics = run_gold(spark, f"{out}/products", out, RUN, changes=changes)
+    assert {name: metrics.rows_written[name] for name in GOLD} == {
+        "price_history": 2, "competitor_ranking": 2, "review_trend": 2, "stock_gap": 2, "market_summary": 1}
