@@ -5,7 +5,8 @@ on any executor. A document's parts are then joined in pairs, pairs of pairs and
 tokens on either side is encoded again as one text. If the window's first and last tokens are those that stood there
 before, the window replaces them; if not, it doubles. A BPE encoding is right when each two neighbouring tokens
 are encoded right, so agreement at both ends proves the whole. Words of short texts repeat, so their tokens are
-kept in a table of bounded size in each task; blank space always separates words, which makes this exact.
+kept in a table of bounded size in each task; blank space always separates words, which makes this exact. Words of letters a-z
+and those of Latin-1, digits and ASCII marks are encoded by the model alone; the rest of the tokenizer would change nothing in them.
 
 Null texts count as empty: no tokens. Repeated rows are encoded each on their own.
 """
@@ -24,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 PART = 65_536      # characters encoded by one call
 KEPT = 100_000     # words in each table of a worker
 RUN = re.compile(r"[^ \t\n\r]+")
 #: Runs, but a full stop or comma that ends one after a letter or digit stands alone, as the tokenizer has it.
 WORD = re.compile(r"[^ \t\n\r]*[^\W_](?=[.,](?:[ \t\n\r]|\Z))|[^ \t\n\r]+")
+#: Words that the tokenizer's normalizer leaves as they are and that hold none of its added tokens or contractions; what its pattern cuts them into.
+PLAIN = re.compile(r"[a-zß-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]+")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 AGREE = 4          # tokens that must agree at each end of a window
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -120,13 +125,26 @@ class Words:
         self.numbers = list(range(tok.get_vocab_size(with_added_tokens=True)))
         self.digits = [str(i) for i in self.numbers]
         self.tokens = [tok.id_to_token(i) or "" for i in self.numbers]
+        self.model, as_bytes = tok.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+    def plain(self, word: str) -> tuple[int, ...]:
+        """Ids of a plain word, by the tokenizer's model alone: its other steps change nothing and are most of a call's time."""
+        return tuple([self.numbers[token.id] for piece in PIECES.findall(word)
+                      for token in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))])
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.new) > KEPT:
             self.new, self.old = {}, self.new
         wanted = {w for words in texts for w in words if w not in self.new}
         self.new.update((w, self.old[w]) for w in wanted if w in self.old)
-        unknown = [w for w in wanted if w not in self.new]
+        unknown = []
+        for word in wanted:
+            if word not in self.new:
+                if PLAIN.fullmatch(word):
+                    self.new[word] = self.plain(word)
+                else:
+                    unknown.append(word)
         for a in range(0, len(unknown), 4096):
             some = unknown[a:a + 4096]
             for word, got in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):

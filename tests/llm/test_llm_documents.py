@@ -54,6 +54,24 @@ def test_trees_and_tables_encode_as_the_whole(text, part):
     assert table.digest(table.ids(words)) == bpe.digest(tok, expected)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text([chr(c) for c in range(0x21, 0x180) if bpe.PLAIN.fullmatch(chr(c))], min_size=1, max_size=30))
+def test_plain_words_encode_as_by_the_whole_tokenizer(word):
+    assert list(bpe.known_words(BPE_FILE).plain(word)) == bpe.tokenizer(BPE_FILE).encode(word, add_special_tokens=False).ids
+
+
+def test_plain_words_are_not_handed_to_the_whole_tokenizer(monkeypatch):
+    words, asked = bpe.Words(bpe.tokenizer(BPE_FILE)), []
+
+    class Asked:
+        def encode_batch_fast(self, some, **_):
+            asked.extend(some)
+            return bpe.tokenizer(BPE_FILE).encode_batch_fast(some, add_special_tokens=False)
+    monkeypatch.setattr(words, "tok", Asked())
+    words.learn([["thanea", "été,!!", "x1", "it's", "<|endoftext|>", "Σ", "ª", "日"]])
+    assert sorted(asked) == sorted(["it's", "<|endoftext|>", "Σ", "ª", "日"])
+
+
 def test_bpe_rows(documents):
     tok = bpe.tokenizer(BPE_FILE)
     rng = random.Random(1)
