@@ -6,10 +6,11 @@ What a run writes appears in one step at its end, all tables together.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,18 +92,22 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     """
     metrics = metrics or RunMetrics()
     own = changes or Changes(spark, out, columns.date)
-    found = stage(list_files(spark, bronze).withColumn(columns.date, F.to_date("modified")), "files", out)
     known = own.read(FILES, FILE_SCHEMA) if own.dates(FILES) else None
-    unread = found if known is None else stage(found.join(known, ["file", "size", "modified"], "left_anti").select(*found.columns), "unread", out)
+
+    def list_unread() -> DataFrame:
+        found = stage(list_files(spark, bronze).withColumn(columns.date, F.to_date("modified")), "files", out)
+        return found if known is None else stage(
+            found.join(known, ["file", "size", "modified"], "left_anti").select(*found.columns), "unread", out)
     if new_only:
+        unread = list_unread()
         since = unread.agg(F.min("modified")).first()[0]
         if since is None:
             metrics.rows_written[PRODUCTS] = 0
             return metrics
-        late, source = True, read_with_origin(spark, bronze, multi_line=multi_line, only=unread, since=since)
+        late = True
+        records = stage(read_with_origin(spark, bronze, multi_line=multi_line, only=unread, since=since), "raw", out)
     else:
-        source = read_with_origin(spark, bronze, multi_line=multi_line)
-    records = stage(source, "raw", out)
+        unread, records = at_once(spark, list_unread, lambda: stage(read_with_origin(spark, bronze, multi_line=multi_line), "raw", out))
     broken = F.col(CORRUPT).isNotNull()
     counts = records.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("broken")).first()
     if not counts["n"]:
@@ -132,19 +137,19 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
             earlier = own.read(REJECTS, REJECT_SCHEMA).where(F.col(columns.date) == F.lit(run_ts.date()))
             rejects = rejects.unionByName(earlier.join(rejects.select("file").distinct(), "file", "left_anti").select(*rejects.columns))
         own.write(rejects, REJECTS)
-    if not unread.isEmpty():
-        own.write(unread, FILES, append=True)
+    statuses, _ = at_once(spark, lambda: status_counts(written, columns=columns).collect(),
+                          lambda: None if unread.isEmpty() else own.write(unread, FILES, append=True))
+    metrics.status = {row[0]: row[1] for row in statuses}
     if changes is None:
         own.commit()
-    metrics.status = {row[0]: row[1] for row in status_counts(written, columns=columns).collect()}
     return metrics
 
 
 def _with_stored(silver: DataFrame, stored: DataFrame, columns: Columns, *, late: bool, replace: bool, what: str) -> DataFrame:
     """The rows read now and the stored ones that stay beside them in the dates to be written."""
     c = columns
-    dates = silver.select(c.date).distinct()
-    same_dates = stored.join(F.broadcast(dates), c.date, "left_semi")  # as many as days
+    held = [row[0] for row in silver.select(c.date).distinct().collect()]  # as many as days
+    same_dates = stored.where(F.col(c.date).isin([date for date in held if date is not None]))
     if late:
         again = silver.select(c.key, c.time).distinct()
         silver = silver.unionByName(same_dates.join(again, [c.key, c.time], "left_anti").select(silver.columns))
@@ -152,42 +157,46 @@ def _with_stored(silver: DataFrame, stored: DataFrame, columns: Columns, *, late
         lost = same_dates.join(silver.select(c.date, c.key).distinct(), [c.date, c.key], "left_anti")
         if not lost.isEmpty():
             raise PartialDateError(f"the files lack products that {what} holds for the same dates")
-    undated = silver.where(F.col(c.date).isNull())
-    if undated.isEmpty():  # what is stored without a date is not written again
+    if None not in held:  # what is stored without a date is not written again
         return silver
     told_by = [name for name in silver.columns if name not in ("processed_at", c.date)]
-    now = undated.select(F.struct(*told_by).alias("_row")).distinct()
+    now = silver.where(F.col(c.date).isNull()).select(F.struct(*told_by).alias("_row")).distinct()
     before = stored.where(F.col(c.date).isNull()).withColumn("_row", F.struct(*told_by))
     return silver.unionByName(before.join(now, "_row", "left_anti").select(silver.columns))
 
 
-def gold_tables(valid: DataFrame, daily: DataFrame, run_ts: dt.datetime | None = None, *,
-                ranked_before: DataFrame | None = None, columns: Columns = DEFAULT,
-                rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, DataFrame]:
-    """The five Gold tables from valid rows and their daily snapshot."""
+def daily_tables(daily: DataFrame, run_ts: dt.datetime | None = None, *, wanted: Column | None = None,
+                 ranked_before: DataFrame | None = None, columns: Columns = DEFAULT,
+                 rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Callable[[], DataFrame]]:
+    """The four Gold tables of the daily snapshot, each by a call, as some count and sample rows before they are defined.
+
+    ``wanted`` are the rows that ranks and markets are made of; trends and the present state follow from all of them.
+    """
+    rows = daily if wanted is None else daily.where(wanted)
     return {
-        "price_history": gold.price_history(valid, run_ts, columns=columns, rows_per_piece=rows_per_piece),
-        "competitor_ranking": gold.competitor_ranking(
-            daily, run_ts, ranked_before=ranked_before, columns=columns, rows_per_piece=rows_per_piece),
-        "review_trend": gold.review_trend(daily, run_ts, columns=columns),
-        "stock_gap": gold.stock_gap(daily, run_ts, columns=columns),
-        "market_summary": gold.market_summary(daily, run_ts, columns=columns),
+        "competitor_ranking": lambda: gold.competitor_ranking(
+            rows, run_ts, ranked_before=ranked_before, columns=columns, rows_per_piece=rows_per_piece),
+        "review_trend": lambda: gold.review_trend(daily, run_ts, columns=columns),
+        "stock_gap": lambda: gold.stock_gap(daily, run_ts, columns=columns),
+        "market_summary": lambda: gold.market_summary(rows, run_ts, columns=columns),
     }
 
 
 def with_last_before(valid: DataFrame, from_date: dt.date, columns: Columns = DEFAULT,
-                     carried: tuple[DataFrame, dt.date] | None = None) -> DataFrame:
+                     carried: tuple[DataFrame, dt.date] | None = None,
+                     keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """The rows from a date on, and what their first rows follow: each product's last row
     before that date, and the rows whose time gives no date, which may sort anywhere.
 
     ``carried`` are the last rows at the end of an earlier date, and that date: only later ones are read then, not the history.
+    ``keep`` is applied to the last rows, for plans that read the result several times: the others are read and not worked out.
     """
     date = F.col(columns.date)
     before = valid.where(date < F.lit(from_date))
     if carried is not None:
         rows, as_of = carried
         before = valid.where((date > F.lit(as_of)) & (date < F.lit(from_date))).unionByName(rows)
-    return (valid.where(date >= F.lit(from_date)).unionByName(current(before, columns=columns))
+    return (valid.where(date >= F.lit(from_date)).unionByName(keep(current(before, columns=columns)))
             .unionByName(valid.where(date.isNull())))
 
 
@@ -203,7 +212,8 @@ def read_carry(changes: Changes, from_date: dt.date) -> tuple[DataFrame, dt.date
 def write_carry(changes: Changes, daily: DataFrame, ranks: DataFrame, from_date: dt.date | None, columns: Columns) -> None:
     """Keep the state at the end of the last dates of a run, from its daily snapshot and the ranks of its rows.
 
-    A product's row holds from its date to the day before its next one, so one pass along each product gives the state of all dates.
+    A product's row holds from its date to the day before its next one, so one pass along each product gives the state of all dates. Rows that
+    hold at the end of none are not joined with ranks.
     """
     c, date = columns, F.col(columns.date)
     dated = daily.where(date.isNotNull())
@@ -215,8 +225,9 @@ def write_carry(changes: Changes, daily: DataFrame, ranks: DataFrame, from_date:
         return
     follows = F.lead(c.date).over(Window.partitionBy(c.key).orderBy(c.date))
     holds = F.filter(F.array(*map(F.lit, kept)), lambda day: (day >= F.col("seen_on")) & (F.col("_next").isNull() | (day < F.col("_next"))))
-    rows = (dated.join(ranks.select(c.key, c.date, "price_rank"), [c.key, c.date], "left")
-            .withColumn("_next", follows).withColumnRenamed(c.date, "seen_on").withColumn(c.date, F.explode(holds)))
+    rows = (dated.withColumn("_next", follows).withColumnRenamed(c.date, "seen_on").withColumn("_holds", holds).where(F.size("_holds") > 0)
+            .join(ranks.select(c.key, F.col(c.date).alias("seen_on"), "price_rank"), [c.key, "seen_on"], "left")
+            .withColumn(c.date, F.explode("_holds")))
     changes.write(rows.select(*CARRY_SCHEMA.fieldNames()), CARRY, replace_all=from_date is None)
     changes.tables[CARRY] = dict(sorted(changes.tables[CARRY].items())[-CARRIED_DATES:])
 
@@ -228,7 +239,7 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
     without a date are then left as they were. Dates that have no valid row any more go:
     the tables end as a run on a new folder would write them.
 
-    The daily snapshot serves four tables and is staged for them. ``stock_gap`` holds
+    The daily snapshot serves four tables and is staged for them, while the history is written beside it. ``stock_gap`` holds
     the present state of each product, so it is always replaced as a whole. The state of each product at the end of the last dates is carried, so
     a run from a date on reads that date's partitions and those after it, the carried state, and no history; where nothing is
     carried (another Silver table, or a date before the carried ones) it reads the history.
@@ -250,30 +261,40 @@ def run_gold(spark: SparkSession, silver: str, out: str, run_ts: dt.datetime, *,
             state, as_of = carried
             last = state.withColumn(columns.date, F.col("seen_on"))
             carried, older = (last.select(*SILVER.fieldNames()), as_of), older & (date > F.lit(as_of))
-        valid = stage(with_last_before(valid, from_date, columns, carried), "recent", out)
-        if own.dates("competitor_ranking"):
+        ranked = bool(own.dates("competitor_ranking"))
+        if ranked:
             written = own.read("competitor_ranking", GOLD["competitor_ranking"])
             written = written.where(older | date.isNull())
             if carried is not None:
                 written = written.select(*[name for name in written.columns if name in last.columns]).unionByName(
                     last.where("price_rank IS NOT NULL").select(*[name for name in written.columns if name in last.columns]))
-            ranked_before = stage(latest_per(written, [columns.key], [columns.date]), "ranked_before", out)
-    daily = stage(daily_latest(valid, columns=columns), "daily", out)
-    tables = gold_tables(valid, daily.where(wanted), run_ts, ranked_before=ranked_before,
-                         columns=columns, rows_per_piece=rows_per_piece)
-    tables["review_trend"] = gold.review_trend(daily, run_ts, columns=columns)
-    tables["stock_gap"] = gold.stock_gap(daily, run_ts, columns=columns)
-
-    def write(name: str, rows: DataFrame) -> int:
+        valid, ranked_before = at_once(
+            spark, lambda: with_last_before(valid, from_date, columns, carried, lambda rows: stage(rows, "last", out)),
+            lambda: stage(latest_per(written, [columns.key], [columns.date]), "ranked_before", out) if ranked else None)
+
+    def write(name: str, rows: Callable[[], DataFrame]) -> None:
         present = name == "stock_gap"
-        return own.write(rows if present else rows.where(wanted), name,
-                         replace_all=present or from_date is None, replace_from=None if present else from_date)
-    metrics.rows_written |= zip(tables, at_once(spark, *[partial(write, name, rows) for name, rows in tables.items()]))
-    if ours:
-        ranks = own.read("competitor_ranking", GOLD["competitor_ranking"]).where(wanted).select(columns.key, columns.date, "price_rank")
-        if ranked_before is not None:
-            ranks = ranks.unionByName(ranked_before.select(*ranks.columns))
-        write_carry(own, daily, ranks, from_date, columns)
+        metrics.rows_written[name] = own.write(
+            rows() if present else rows().where(wanted), name,
+            replace_all=present or from_date is None, replace_from=None if present else from_date)
+
+    def write_ranking(daily: DataFrame, rows: Callable[[], DataFrame]) -> None:
+        write("competitor_ranking", rows)
+        if ours:
+            ranks = own.read("competitor_ranking", GOLD["competitor_ranking"]).where(wanted).select(columns.key, columns.date, "price_rank")
+            if ranked_before is not None:
+                ranks = ranks.unionByName(ranked_before.select(*ranks.columns))
+            write_carry(own, daily, ranks, from_date, columns)
+
+    def write_daily() -> None:
+        daily = stage(daily_latest(valid, columns=columns), "daily", out)
+        tables = daily_tables(daily, run_ts, wanted=wanted, ranked_before=ranked_before, columns=columns, rows_per_piece=rows_per_piece)
+        ranking = tables.pop("competitor_ranking")
+        at_once(spark, partial(write_ranking, daily, ranking), *[partial(write, name, rows) for name, rows in tables.items()])
+
+    # the history needs no snapshot
+    at_once(spark, write_daily, partial(write, "price_history", lambda: gold.price_history(
+        valid, run_ts, columns=columns, rows_per_piece=rows_per_piece)))
     if changes is None:
         own.commit()
     return metrics

@@ -230,3 +230,37 @@ def test_gold_tables_are_written_at_once(spark, observations, tmp_path, monkeypa
     metrics = run_gold(spark, f"{out}/products", out, RUN, changes=changes)
     assert {name: metrics.rows_written[name] for name in GOLD} == {
         "price_history": 2, "competitor_ranking": 2, "review_trend": 2, "stock_gap": 2, "market_summary": 1}
+
+
+def test_the_history_is_written_beside_the_snapshot(spark, observations, tmp_path, monkeypatch):
+    write, stage, together = Changes.write, medallion.stage, threading.Barrier(2, timeout=60)
+
+    def first_wait(real, wanted, at):
+        def call(*args, **options):
+            if args[at] == wanted:
+                together.wait()  # breaks unless both have begun
+            return real(*args, **options)
+        return call
+    monkeypatch.setattr(Changes, "write", first_wait(write, "price_history", 2))
+    monkeypatch.setattr(medallion, "stage", first_wait(stage, "daily", 1))
+    changes = Changes(spark, str(tmp_path))
+    changes.write(observations({}, {"asin": "B", "price": 20.0}), "products")
+    metrics = run_gold(spark, f"{tmp_path}/products", str(tmp_path), RUN, changes=changes)
+    assert metrics.rows_written["price_history"] == 2 and changes.dates(CARRY)
+
+
+def test_a_run_from_a_date_on_copies_the_last_rows_alone(spark, tmp_path, monkeypatch):
+    out, bronze, staged = str(tmp_path / "out"), str(tmp_path / "bronze"), {}
+    land_files(bronze, objects(20, days=(1, 2, 3, 4)))
+    run_silver(spark, bronze, out, RUN)
+    valid = read_silver(spark, f"{out}/products").where("dq_status = 'VALID'")
+    before = valid.where("scrape_date < '2026-04-03'").select("asin").distinct().count()
+    days = valid.select("asin", "scrape_date").where("scrape_date >= '2026-04-03'").distinct().count()
+
+    def stage(rows, name, owner, real=medallion.stage):
+        kept = real(rows, name, owner)
+        staged[name] = kept.count()
+        return kept
+    monkeypatch.setattr(medallion, "stage", stage)
+    run_gold(spark, f"{out}/products", out, RUN, from_date=dt.date(2026, 4, 3))
+    assert before and staged == {"last": before, "daily": before + days}
