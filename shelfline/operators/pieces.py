@@ -29,17 +29,20 @@ _STEPS = [2**k for k in range(MOST_PIECES.bit_length() - 1, -1, -1)]
 def cuts_of(rows: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame | None:
     """The splitters of each key that holds more than a piece, at most MOST_PIECES in all; None if no key does.
 
-    Counts the rows, and if they are more than a task should hold draws SAMPLED for each piece. Reads key and order columns only.
+    Counts the rows, and if they are more than a task should hold draws SAMPLED for each piece: of the keys first, and only where one may
+    have two splitters of keys and places. Reads key columns, and order columns then only.
     """
     total = rows.count()
     pieces = min(MOST_PIECES, total // rows_per_piece)
     if pieces < 2:
         return None
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "cuts")
-    sample = (rows.select(F.struct(*by).alias(KEY), F.struct(*order).alias("_place"))
-              .sample(min(1.0, SAMPLED * pieces / total), seed=17))
+    drawn, every = min(1.0, SAMPLED * pieces / total), max(1, round(min(SAMPLED, total / pieces)))
+    keys = rows.select(F.struct(*by).alias(KEY)).sample(drawn, seed=17)
+    if keys.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > every).isEmpty():
+        return None
+    sample = rows.select(F.struct(*by).alias(KEY), F.struct(*order).alias("_place")).sample(drawn, seed=17)
     # the sample has a bound, so one task may number it
-    every = max(1, round(min(SAMPLED, total / pieces)))
     (sample.withColumn("_n", F.row_number().over(Window.orderBy(KEY, "_place"))).where(F.col("_n") % every == 0)
      .groupBy(KEY).agg(F.sort_array(F.collect_list("_place")).alias(CUTS)).where(F.size(CUTS) >= 2)
      .coalesce(1).write.parquet(path))

@@ -6,7 +6,7 @@ What a run writes appears in one step at its end, all tables together.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Container
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -120,7 +120,8 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     metrics.schemas["raw"] = raw.schema
     silver = standardize(raw, run_ts, columns=columns, source_system=source_system)
     if own.dates(PRODUCTS):
-        silver = _with_stored(silver, own.read(PRODUCTS, SILVER), columns, late=late, replace=replace, what=f"{out}/{PRODUCTS}")
+        silver = _with_stored(silver, own.read(PRODUCTS, SILVER), own.dates(PRODUCTS), columns, late=late, replace=replace,
+                              what=f"{out}/{PRODUCTS}")
     report, metrics.rows_written[PRODUCTS] = at_once(
         spark, lambda: quality_score(quality_report(raw, columns=columns)).first(), lambda: own.write(silver, PRODUCTS))
     metrics.quality = report.asDict()
@@ -145,15 +146,18 @@ def run_silver(spark: SparkSession, bronze: str | list[str], out: str, run_ts: d
     return metrics
 
 
-def _with_stored(silver: DataFrame, stored: DataFrame, columns: Columns, *, late: bool, replace: bool, what: str) -> DataFrame:
-    """The rows read now and the stored ones that stay beside them in the dates to be written."""
+def _with_stored(silver: DataFrame, stored: DataFrame, dates: Container[str], columns: Columns, *, late: bool, replace: bool,
+                 what: str) -> DataFrame:
+    """The rows read now and the stored ones that stay beside them in the dates to be written. ``dates`` are those stored: rows of
+    others alone are held against nothing."""
     c = columns
     held = [row[0] for row in silver.select(c.date).distinct().collect()]  # as many as days
-    same_dates = stored.where(F.col(c.date).isin([date for date in held if date is not None]))
-    if late:
-        again = silver.select(c.key, c.time).distinct()
-        silver = silver.unionByName(same_dates.join(again, [c.key, c.time], "left_anti").select(silver.columns))
-    elif not replace:
+    again = [date for date in held if date is not None and date.isoformat() in dates]
+    same_dates = stored.where(F.col(c.date).isin(again))
+    if late and again:
+        read = silver.select(c.key, c.time).distinct()
+        silver = silver.unionByName(same_dates.join(read, [c.key, c.time], "left_anti").select(silver.columns))
+    elif again and not replace:
         lost = same_dates.join(silver.select(c.date, c.key).distinct(), [c.date, c.key], "left_anti")
         if not lost.isEmpty():
             raise PartialDateError(f"the files lack products that {what} holds for the same dates")
@@ -217,8 +221,8 @@ def write_carry(changes: Changes, daily: DataFrame, ranks: DataFrame, from_date:
     """
     c, date = columns, F.col(columns.date)
     dated = daily.where(date.isNotNull())
-    new = dated if from_date is None else dated.where(date >= F.lit(from_date))
-    kept = [row[0] for row in new.select(c.date).distinct().orderBy(F.desc(c.date)).limit(CARRIED_DATES).collect()]
+    # the ranking has a row for each row of the snapshot, so the dates it was written for are known without a read
+    kept = [dt.date.fromisoformat(day) for day in sorted(changes.written("competitor_ranking")) if day != NO_DATE][-CARRIED_DATES:]
     if from_date is not None:
         changes.drop_from(CARRY, [from_date.isoformat()])
     if not kept:

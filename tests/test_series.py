@@ -91,6 +91,13 @@ def test_few_rows_are_not_cut(spark):
     assert pieces.cuts_of(even, ["k"], ["t"], 100) is None
 
 
+def test_places_are_read_only_where_a_key_fills_pieces(spark):
+    unread = "cast(raise_error('read') as string) t"
+    assert pieces.cuts_of(spark.range(1000).selectExpr("id k", unread), ["k"], ["t"], 100) is None
+    with pytest.raises(Exception, match="read"):
+        pieces.cuts_of(spark.range(1000).selectExpr("if(id < 800, -1, id) k", unread), ["k"], ["t"], 100)
+
+
 PRICES = "c string, d string, p double, n int"
 
 

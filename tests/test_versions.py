@@ -264,3 +264,19 @@ def test_a_run_from_a_date_on_copies_the_last_rows_alone(spark, tmp_path, monkey
     monkeypatch.setattr(medallion, "stage", stage)
     run_gold(spark, f"{out}/products", out, RUN, from_date=dt.date(2026, 4, 3))
     assert before and staged == {"last": before, "daily": before + days}
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_rows_of_new_dates_alone_are_held_against_nothing(spark, tmp_path, monkeypatch, late):
+    out, joined, frame = str(tmp_path / "out"), [], type(spark.range(1))
+
+    def join(self, other, on=None, how=None, real=frame.join):
+        joined.extend([on] if "asin" in on else [])  # not the join of files with those read before
+        return real(self, other, on, how)
+    monkeypatch.setattr(frame, "join", join)
+    for days in ((1, 2), (3, 4)):
+        land_files(tmp_path / f"b{days[0]}", objects(40, days=days))
+        run_silver(spark, str(tmp_path / f"b{days[0]}"), out, RUN, late=late)
+    assert not joined and read_silver(spark, f"{out}/products").count() == 80
+    run_silver(spark, str(tmp_path / "b3"), out, RUN, late=late)
+    assert joined and read_silver(spark, f"{out}/products").count() == 80
