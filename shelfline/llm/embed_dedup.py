@@ -1,12 +1,16 @@
-"""Near-duplicate embeddings: spherical k-means cells, blocked cosine products within them, one vector of each group.
+"""Near-duplicate embeddings: spherical k-means cells, pruned cosine products of blocks, one vector of each group.
 
 Equal vectors are one class first. Centroids are fitted on at most ``SAMPLE`` classes, chosen by the hash of their id; there is one
-for every ``CELL`` classes, at most ``CENTROIDS``. Every class lives in the cell of its nearest centroid. It also visits
-cells whose border is near: two vectors at the threshold differ by an angle t, and a border lies between them only if both
-are within sin(t) of it, so cells within sin(t) make the join exact, whatever the vectors. Both of such a pair
-would visit the other's cell; of two cells one alone sends its classes to the other, in turn (``sends``), as once is enough.
-Where a class lives it is compared in double precision with all that live
-or visit there, in blocks of ``BLOCK`` by hash; a block pair returns a count for each vector and one label for each, never pairs.
+for every ``CELL`` classes, at most ``CENTROIDS``. Every class lives in the cell of its nearest centroid. Classes are packed cell by
+cell in blocks of at most about ``BLOCK`` and ``BYTES``, one row each. Pairs of blocks are a Cartesian product that reads the packed table
+again and again and shuffles nothing, so what is stored grows with the vectors alone.
+
+In a pair of blocks, leaves (up to ``LEAF`` classes of one cell, about equally far from its centroid) are compared. Two vectors at the
+threshold differ by an angle t. So a class can have a link in another leaf only if its angle to that leaf's centroid is less than t above the largest
+angle found there, and only if it is within sin(t) of the border of both cells. Those left are compared by a few leading directions: their
+product and that of the lengths of the rest bound the cosine from above. Those left then get the product in single precision and, where that is as near to the
+threshold as it can err, in double precision. Each rule drops only what can't link, whatever the vectors, so the join is exact; evenly spread vectors still take
+time that grows with the square. A block pair returns a count for each vector with links and a label for each, never pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing; so do vectors of different
 lengths, and rows without vec_id. Rows with one vec_id are one vector: it has the links of all of them.
@@ -16,22 +20,30 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from shelfline.llm.common import components, staged
+from shelfline.llm.common import BATCH, components, mix, staged
+from shelfline.session import setting
 
 COSINE = 0.95
 CELL = 512
 CENTROIDS = 4096
 SAMPLE = 20_000
 ROUNDS = 8
-BLOCK = 2048
-CELL_SCHEMA = "cell int, home boolean, id long, n long, vector array<double>"
+BLOCK = 65_536
+BYTES = 16 << 20
+LEAF = 1024
+SIDE = 4   # blocks that a task of the product holds in memory
+STRIPS = 16  # parts of the table that are read against them
+PLACED_SCHEMA = "part int, d int, cell int, near float, id long, n long, vector binary"
+BLOCK_SCHEMA = "no long, d int, ids binary, ns binary, cells binary, nears binary, vectors binary"
 
 
 def unit(rows: list) -> np.ndarray:
@@ -60,119 +72,278 @@ def reach(cosine: float, dimensions: int = 1) -> float:
 
 
 def cells_of(x: np.ndarray, centroids: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, home) of every cell a row lives in or visits."""
+    """(row, cell, home) of every cell a row lives in or has a border with that is near."""
     near = x @ centroids.T
     home = near.argmax(1)
-    apart = np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
     gap = near[np.arange(len(x)), home][:, None] - near
-    row, cell = np.nonzero(gap <= margin * apart[home] + 1e-7)
+    row, cell = np.nonzero(gap <= margin * apart(centroids, centroids)[home] + 1e-7)
     return row, cell, cell == home[row]
 
 
-def sends(home: np.ndarray, cell: np.ndarray) -> np.ndarray:
-    """Whether classes of the first cell go to the second: of two cells one does, and each does to half of the others."""
-    return (home < cell) == ((home + cell) % 2 == 1)
-
-
-def _block_pair(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """id, links found (on both sides for those that visit) and the least id that each reaches within the block pair."""
-    asks, other = rows[rows["asks"]], rows[~rows["asks"]]
-    if not len(asks) or not len(other):
-        return pd.DataFrame({"id": [], "links": [], "label": []}).astype("int64")
-    a, b = asks["id"].to_numpy(), other["id"].to_numpy()
-    linked = np.stack(asks["vector"]) @ np.stack(other["vector"]).T >= cosine
-    linked &= a[:, None] != b[None, :]
-    links = linked @ other["n"].to_numpy()
-    # those that live here ask too, elsewhere or in this block; those that visit don't
-    visits = ~other["home"].to_numpy()
-    back = linked[:, visits].T @ asks["n"].to_numpy()
-    least_a, least_b, before = a.copy(), b.copy(), None
-    far = np.iinfo(np.int64).max
-    some = linked.any(1), linked.any(0)
-    part, least_a, least_b = linked[np.ix_(*some)], least_a[some[0]], least_b[some[1]]
-    while before is None or not np.array_equal(before, least_a):
-        before = least_a.copy()
-        if part.size:
-            least_a = np.minimum(least_a, np.where(part, least_b[None, :], far).min(1))
-            least_b = np.minimum(least_b, np.where(part, least_a[:, None], far).min(0))
-    ids = np.concatenate([a[some[0]], b[some[1]]])
-    return pd.DataFrame({"id": np.concatenate([ids, a, b[visits][back > 0]]),
-                         "links": np.concatenate([0 * ids, links, back[back > 0]]),
-                         "label": np.concatenate([least_a, least_b, a, b[visits][back > 0]])})
+def apart(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * some @ others.T))
 
 
-def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id and kept of each row."""
-    spark = vectors.sparkSession
-    fine = F.expr("vec_id IS NOT NULL AND embedding IS NOT NULL AND exists(embedding, x -> x <> 0) AND "
-                  "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
-    # two hashes of the vector, 0 and -0 alike, tell classes apart
-    plain = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), plain.alias("vector"),
-                          F.coalesce(fine, F.lit(False)).alias("fine"))
-    keyed = rows.withColumns({"k1": F.xxhash64("vector"), "k2": F.xxhash64(F.lit(1), "vector")})
-    good = keyed.where("fine")
-    # staged, so that the join with many rows of one class reads two plain shuffles, which Spark can split
-    classes = staged(good.select("k1", "k2", "vec_id").distinct().groupBy("k1", "k2")
-                     .agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "embed-first")
-    distinct = staged(good.join(classes, ["k1", "k2"]).where("vec_id = id").select("k1", "k2", "id", "n", "vector")
-                      .dropDuplicates(["k1", "k2"]), "embed-classes")
-    sizes = distinct.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    single = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                          F.lit(True).alias("kept"))
-    if sizes is None:
-        return single
-    main = sizes["d"]
-    count = min(CENTROIDS, math.ceil(sizes["n"] / CELL))
-    sample = (distinct.where(F.size("vector") == main).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-              .select("vector").toPandas()["vector"])
-    centroids = spark.sparkContext.broadcast(spherical_kmeans(unit(list(sample)), count))  # <= CENTROIDS vectors
-    margin = reach(cosine)
+# ---------------------------------------------------------------- rows to blocks
+
+def _packer(kind: type):
+    """Vectors as bytes, NULL for those that link with nothing; 0 and -0 alike."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0), batch.column(1)
+            at = lists.offsets.to_numpy()
+            x = lists.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]].astype(kind) + kind(0)  # nulls are NaN
+            at = at - at[0]
+            count = lambda c: np.concatenate([[0], np.cumsum(c)])
+            bad, used = count(~np.isfinite(x))[at], count(x != 0)[at]
+            fine = (ids.is_valid().to_numpy(zero_copy_only=False) & lists.is_valid().to_numpy(zero_copy_only=False)
+                    & (bad[1:] == bad[:-1]) & (used[1:] > used[:-1]))
+            packed = pa.Array.from_buffers(pa.binary(), len(ids), [
+                pa.py_buffer(np.packbits(fine, bitorder="little").tobytes()),
+                pa.py_buffer((at * x.itemsize).astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
+            yield pa.RecordBatch.from_arrays([ids, packed], ["vec_id", "vector"])
+    return pack
+
+
+def _matrix(vectors: pa.Array, kind: type) -> np.ndarray:
+    """Packed vectors of one length."""
+    return np.frombuffer(b"".join(vectors.to_pylist()), kind).reshape(len(vectors), -1)
 
+
+def _assigner(model):
+    """The cell of each class and the part its block is packed in: cells in a row, each as wide as the sample says."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for batch in batches:
+            ids, vectors = batch.column("id"), batch.column("vector")
+            length = np.diff(np.frombuffer(vectors.buffers()[1], np.int32)[vectors.offset:][:len(vectors) + 1])
+            spot = (mix(ids.to_numpy().astype(np.uint64)) >> np.uint64(11)) / 2.0 ** 53
+            cell, near = np.full(len(ids), -1, np.int32), np.zeros(len(ids), np.float32)
+            d, place = (length // np.dtype(m.kind).itemsize).astype(np.int32), np.empty(len(ids))
+            for size in np.unique(d):
+                at = np.flatnonzero(d == size)
+                start, wide = m.places[size]
+                if size == m.main:
+                    x = unit(_matrix(vectors.take(pa.array(at)), m.kind)).astype(np.float32) @ m.centroids.T
+                    cell[at] = x.argmax(1)
+                    near[at] = x[np.arange(len(at)), cell[at]]
+                    start, wide = start + m.starts[cell[at]], m.widths[cell[at]]
+                place[at] = start + spot[at] * wide
+            part = np.minimum(place * m.parts / m.total, m.parts - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(d), pa.array(cell), pa.array(near), ids, batch.column("n"), vectors],
+                ["part", "d", "cell", "near", "id", "n", "vector"])
+    return assign
+
+
+def _blocker(rows: int, kind: type):
+    """Sorted classes as blocks of one length of vectors, half as many rows again as a part should have at most."""
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, held, count = TaskContext.get().partitionId(), 0, [], 0
+
+        def row() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            raw = lambda name, type_: t.column(name).to_numpy().astype(type_).tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part + (made << 32)], pa.int64()), pa.array([t.column("d")[0].as_py()], pa.int32()),
+                 pa.array([raw("id", np.int64)]), pa.array([raw("n", np.int64)]), pa.array([raw("cell", np.int32)]),
+                 pa.array([raw("near", np.float32)]), pa.array([b"".join(t.column("vector").to_pylist())], pa.binary())],
+                ["no", "d", "ids", "ns", "cells", "nears", "vectors"])
+        for batch in batches:
+            d = batch.column("d").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(d)) + 1), len(d)]
+            for at, end in zip(edges, edges[1:]):
+                while at < end:
+                    most = max(1, min(rows * 3 // 2, BYTES * 3 // 2 // (int(d[at]) * np.dtype(kind).itemsize)))
+                    if held and (count >= most or held[0].column("d")[0].as_py() != d[at]):
+                        yield row()
+                        made, held, count = made + 1, [], 0
+                    some = batch.slice(at, min(most - count, end - at))
+                    held.append(some)
+                    at, count = at + len(some), count + len(some)
+        if held:
+            yield row()
+    return block
+
+
+# ---------------------------------------------------------------- pairs of blocks
+
+def _opened(row: dict, m: SimpleNamespace) -> SimpleNamespace:
+    """A block with its vectors in single precision, their leading directions, and its leaves."""
+    read = lambda name, kind: np.frombuffer(row[name], kind)
+    b = SimpleNamespace(no=row["no"], d=row["d"], ids=read("ids", np.int64), n=read("ns", np.int64), cell=read("cells", np.int32),
+                        near=read("nears", np.float32), raw=read("vectors", m.kind).reshape(-1, row["d"]))
+    # what products of these may err by
+    b.eps = (b.d + 32) * 1.2e-7
+    lead = m.lead if b.d == m.main else np.eye(b.d)[:, :leading(b.d)]
+    b.x, b.bound = np.empty(b.raw.shape, np.float32), np.empty((len(b.raw), lead.shape[1] + 1), np.float32)
+    for at in range(0, len(b.raw), 4096):
+        x = unit(b.raw[at:at + 4096])
+        b.x[at:at + 4096] = x
+        z = x @ lead
+        b.bound[at:at + 4096, :-1] = z
+        b.bound[at:at + 4096, -1] = np.sqrt(np.maximum(0, 1 - (z * z).sum(1)) + b.eps)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(b.cell)) + 1, [len(b.cell)]])
+    b.starts = np.concatenate([np.linspace(a, e, -(-(e - a) // LEAF) + 1).astype(int)[:-1] for a, e in zip(edges, edges[1:])])
+    b.ends = np.append(b.starts[1:], len(b.cell))
+    b.leaf_cell = b.cell[b.starts]
+    b.cells, b.leaf_at = np.unique(b.leaf_cell, return_inverse=True)
+    least = np.minimum.reduceat(b.near, b.starts).astype(float) - b.eps
+    b.least = np.cos(np.minimum(math.pi, np.arccos(np.clip(least, -1, 1)) + math.acos(m.cosine))) - b.eps
+    b.links = np.zeros(len(b.ids), np.int64)
+    return b
+
+
+def leading(d: int) -> int:
+    """How many directions a first bound looks at."""
+    return d if d <= 16 else max(16, d // 4)
+
+
+def _cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, of=lambda x: x) -> np.ndarray:
+    step = max(1, (1 << 22) // a.shape[1])
+    return np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", of(a[i[k:k + step]]), of(b[j[k:k + step]]))
+                                          for k in range(0, len(i), step))])
+
+
+def _links(a: SimpleNamespace, b: SimpleNamespace, i: np.ndarray, j: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of both blocks that are linked, of those named."""
+    low = cosine - a.eps
+    bound = a.bound[i] @ b.bound[j].T
+    if bound.max() < low:
+        return i[:0], j[:0]
+    r, c = np.nonzero(bound >= low)
+    if len(r) > bound.size // 8:
+        whole = a.x[i] @ b.x[j].T
+        r, c = np.nonzero(whole >= low)
+        value = whole[r, c]
+    else:
+        value = _cosines(a.x, b.x, i[r], j[c])
+    sure = value >= cosine + a.eps
+    doubt = np.flatnonzero((value >= low) & ~sure)
+    sure[doubt] = _cosines(a.raw, b.raw, i[r[doubt]], j[c[doubt]], unit) >= cosine
+    return i[r[sure]], j[c[sure]]
+
+
+def _compared(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> pa.RecordBatch:
+    """id, links found and the least id that each reaches within two leaves."""
+    same, labels = a is b, []
+    cells = a.d == m.main
+    if cells:
+        to_b, to_a = m.centroids[b.cells] @ a.x.T, m.centroids[a.cells] @ b.x.T
+        most = np.maximum.reduceat(to_b, a.starts, axis=1).T[:, b.leaf_at], np.maximum.reduceat(to_a, b.starts, axis=1).T[:, a.leaf_at]
+        todo = (most[0] >= b.least[None, :]) & (most[1].T >= a.least[:, None])
+        border = reach(m.cosine) * apart(m.centroids[a.leaf_cell], m.centroids[b.leaf_cell]) + a.eps + 1e-6
+    else:
+        todo = np.ones((len(a.starts), len(b.starts)), bool)
+    for p, q in zip(*np.nonzero(np.triu(todo) if same else todo)):
+        i, j = np.arange(a.starts[p], a.ends[p]), np.arange(b.starts[q], b.ends[q])
+        if cells:
+            x, y = to_b[b.leaf_at[q], i[0]:i[-1] + 1], to_a[a.leaf_at[p], j[0]:j[-1] + 1]
+            x, y = x >= b.least[q], y >= a.least[p]
+            if a.leaf_cell[p] != b.leaf_cell[q]:
+                x &= a.near[i[0]:i[-1] + 1] - to_b[b.leaf_at[q], i[0]:i[-1] + 1] <= border[p, q]
+                y &= b.near[j[0]:j[-1] + 1] - to_a[a.leaf_at[p], j[0]:j[-1] + 1] <= border[p, q]
+            i, j = i[x], j[y]
+            if not len(i) or not len(j):
+                continue
+        i, j = _links(a, b, i, j, m.cosine)
+        other = a.ids[i] != b.ids[j]
+        i, j = i[other], j[other]
+        if not len(i):
+            continue
+        np.add.at(a.links, i, b.n[j])
+        if not (same and p == q):  # there each pair stands twice
+            np.add.at(b.links, j, a.n[i])
+        (u, r), (v, c) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+        least_a, least_b = a.ids[u], b.ids[v]
+        while not np.array_equal(x := least_a[r], y := least_b[c]):
+            np.minimum.at(least_a, r, np.minimum(x, y))
+            np.minimum.at(least_b, c, np.minimum(x, y))
+        labels += [np.stack([a.ids[u], least_a]), np.stack([b.ids[v], least_b])]
+    found = [np.stack([x.ids, x.links, x.ids])[:, x.links > 0] for x in ([a] if same else [a, b])]
+    if labels:
+        pairs = np.unique(np.concatenate(labels, axis=1), axis=1)
+        pairs = pairs[:, pairs[0] != pairs[1]]
+        found.append(np.stack([pairs[0], np.zeros_like(pairs[0]), pairs[1]]))
+    for x in (a, b):
+        x.links[:] = 0
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], ["id", "links", "label"])
+
+
+def _comparer(model):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
-                raw = some.column("vector").to_pylist()
-                alike = np.array([len(v) == main for v in raw])
-                x = [unit([v])[0] for v in raw]
-                row, cell, home = (np.empty(0, int), np.empty(0, int), np.empty(0, bool))
-                if alike.any():
-                    row, cell, home = cells_of(np.array([v for v, y in zip(x, alike) if y]), centroids.value, margin)
-                    stay = home | sends(cell[home][row], cell)  # a home for each row, in order
-                    row, cell, home = np.flatnonzero(alike)[row[stay]], cell[stay], home[stay]
-                odd = np.flatnonzero(~alike)  # other lengths have a cell each
-                row = np.concatenate([row, odd])
-                cell = np.concatenate([cell, [-len(raw[k]) for k in odd]])
-                home = np.concatenate([home, np.ones(len(odd), bool)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell, pa.int32()), pa.array(home, pa.bool_()), some.column("id").take(pa.array(row, pa.int64())),
-                     some.column("n").take(pa.array(row, pa.int64())), pa.array([x[k] for k in row], pa.list_(pa.float64()))],
-                    ["cell", "home", "id", "n", "vector"])
-
-    placed = staged(distinct.select("id", "n", "vector").mapInArrow(assign, CELL_SCHEMA), "embed-cells")
-    blocks = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
-    counts = placed.groupBy("cell").agg(blocks(F.count_if("home")).alias("ask_blocks"),
-                                        blocks(F.count("*")).alias("other_blocks")).where("ask_blocks > 0")
-    dealt = placed.join(counts, "cell")
-    spot = F.xxhash64("id")
-    asks = dealt.where("home").withColumns({"i": F.pmod(spot, "ask_blocks").cast("int"),
-                                            "j": F.explode(F.expr("sequence(0, other_blocks - 1)")), "asks": F.lit(True)})
-    other = dealt.withColumns({"i": F.explode(F.expr("sequence(0, ask_blocks - 1)")),
-                               "j": F.pmod(spot, "other_blocks").cast("int"), "asks": F.lit(False)})
-    found = staged(asks.unionByName(other).select("cell", "i", "j", "asks", "home", "id", "n", "vector")
-                   .groupBy("cell", "i", "j").applyInPandas(lambda rows: _block_pair(rows, cosine),
-                                                            "id long, links long, label long"), "embed-links")
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at] for name in batch.schema.names}
+                row = {name: x.as_buffer() if pa.types.is_binary(x.type) else x.as_py() for name, x in row.items()}
+                if left is None or left.no != row["no"]:
+                    left = None  # its memory goes first
+                    left = _opened({k: row[k] if k in ("no", "d") else bytes(row[k])
+                                    for k in row if not k.startswith("to_")}, model.value)
+                right = left if row["to_no"] == left.no else _opened({k[3:]: row[k] for k in row if k.startswith("to_")}, model.value)
+                yield _compared(left, right, model.value)
+                right = None
+    return compare
+
+
+def near_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """vec_id, n_links, component_id and kept of each row."""
+    spark = vectors.sparkSession
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    kind = np.float32 if single else np.float64
+    wide = np.dtype(kind).itemsize
+    # two hashes of the vector tell classes apart
+    hashed = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
+                             F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
+              .mapInArrow(_packer(kind), "vec_id long, vector binary")
+              .withColumns({"k1": F.when(F.col("vector").isNotNull(), F.xxhash64("vector")),
+                            "k2": F.when(F.col("vector").isNotNull(), F.xxhash64(F.lit(1), "vector")),
+                            "d": (F.length("vector") / wide).cast("int")}))
+    keys = staged(hashed.drop("vector"), "embed-keys")
+    classes = staged(keys.where("k1 IS NOT NULL").distinct().groupBy("k1", "k2", "d")
+                     .agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "embed-classes")
+    sizes = {r["d"]: r["n"] for r in classes.groupBy("d").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return keys.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    main, total = min(sizes, key=lambda d: (-sizes[d], d)), sum(sizes.values())
+    chosen = classes.where(F.col("d") == main).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("k1", "k2")
+    sample = (hashed.join(F.broadcast(chosen), ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("vector").alias("vector"))
+              .orderBy("k1", "k2").select("vector").collect())
+    x = unit(np.frombuffer(b"".join(r["vector"] for r in sample), kind).reshape(-1, main))
+    centroids = spherical_kmeans(x, min(CENTROIDS, math.ceil(sizes[main] / CELL)))
+    share = np.bincount(np.concatenate([(x[a:a + 2048] @ centroids.T).argmax(1) for a in range(0, len(x), 2048)]),
+                        minlength=len(centroids)) * (sizes[main] / len(x))
+    starts = dict(zip(order := [main, *sorted(sizes.keys() - {main})], np.cumsum([0, *(sizes[d] for d in order)]).tolist()))
+    rows = min(BLOCK, max(1, BYTES // (main * wide)), max(2048, math.ceil(total / 16)))
+    parts = math.ceil(total / rows)
+    model = spark.sparkContext.broadcast(SimpleNamespace(  # <= CENTROIDS vectors, and a quarter of the square of their length
+        cosine=cosine, kind=kind, main=main, centroids=centroids.astype(np.float32), total=total, parts=parts,
+        lead=np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :leading(main)], starts=np.cumsum(share) - share, widths=share,
+        places={d: (starts[d], sizes[d]) for d in sizes}))
+    # equal vectors are combined before they are shuffled, and shuffled by what the classes are
+    distinct = (hashed.where("vector IS NOT NULL").groupBy("k1", "k2").agg(F.first("vector").alias("vector"))
+                .join(classes, ["k1", "k2"]).select("id", "n", "vector"))
+    blocks = staged(distinct.mapInArrow(_assigner(model), PLACED_SCHEMA).repartitionById(parts, F.col("part"))
+                    .sortWithinPartitions("d", "cell", "near", "id").mapInArrow(_blocker(rows, kind), BLOCK_SCHEMA), "embed-blocks")
+    left, right = blocks.coalesce(min(parts, STRIPS)), blocks.coalesce(math.ceil(parts / SIDE))
+    right = right.select([F.col(c).alias("to_" + c) for c in blocks.columns])
+    # of two blocks one meets the other, and each meets half of the others
+    meets = "((no < to_no) = (pmod(no + to_no, 2) = 1)) AND d <= to_d AND d >= to_d"
+    with setting(spark, BATCH, "1"):
+        found = staged(left.join(right.hint("shuffle_replicate_nl"), F.expr(meets))
+                       .mapInArrow(_comparer(model), "id long, links long, label long"), "embed-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("id").alias("a"), F.col("label").alias("b")), "embed-components")
-    per_class = (distinct.select("k1", "k2", "id", "n").join(links, "id", "left").join(grouped, "id", "left")
-                 .select("k1", "k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("class_links"),
-                         F.coalesce("component", "id").alias("component")))
-    component = F.when(F.col("fine"), F.col("component")).otherwise(F.col("vec_id"))
-    return (keyed.drop("vector").join(per_class, ["k1", "k2"], "left")
-            .select("vec_id", F.when(F.col("fine"), F.col("class_links")).otherwise(0).cast("long").alias("n_links"),
-                    component.alias("component_id"),
-                    F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")))
+    # classes of one vector without links have no row here
+    per_class = staged(classes.join(links.join(grouped, "id", "left"), "id", "left").where("n > 1 OR links IS NOT NULL")
+                       .select("k1", "k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("class_links"),
+                               F.coalesce("component", "id").alias("component")), "embed-linked")
+    component = F.coalesce("component", "vec_id")
+    return (keys.join(per_class, ["k1", "k2"], "left")
+            .select("vec_id", F.coalesce("class_links", F.lit(0)).cast("long").alias("n_links"),
+                    component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")))
 
 
 #: All pairs, for tables as small as a test's.

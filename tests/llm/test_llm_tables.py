@@ -13,6 +13,7 @@ import corpus_pipeline
 from shelfline.llm import bpe, embed_dedup, url_filter
 from shelfline.llm.common import importable
 from shelfline.llm.queries import BPE_FILE, URL_RULES
+from shelfline.session import shared_dir
 
 SF_DIR = pathlib.Path("/root/testdata/sf0.001")
 
@@ -102,6 +103,43 @@ def test_no_link_of_vectors_of_low_rank_is_missed(spark, monkeypatch):
     assert got == brute_links(vectors)
 
 
+def test_vectors_are_stored_a_few_times_however_evenly_they_are_spread(spark, monkeypatch):
+    importable(spark)
+    monkeypatch.setattr(embed_dedup, "CELL", 20)
+    x = np.random.default_rng(8).normal(size=(3000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert embed_dedup.near_groups(frame).where("n_links = 0 AND kept").count() == len(x)
+    staged = sum(f.stat().st_size for new in set(folder.iterdir()) - before for f in new.rglob("part-*"))
+    assert staged < 2 * x.nbytes  # a vector was stored for each cell near it
+
+
+def test_two_vectors_that_share_a_neighbour_of_another_cell_are_one_group(spark, monkeypatch):
+    importable(spark)
+    at = lambda turn, *side: (np.append(math.cos(math.radians(turn)), math.sin(math.radians(turn)) * np.array(side))).tolist()
+    half = math.sqrt(0.5)
+    monkeypatch.setattr(embed_dedup, "spherical_kmeans", lambda x, k: np.array([at(10, -half, -half), at(20, half, half)]))
+    vectors = [(0, at(17, 1, 0)), (1, at(17, 0, 1)), (2, at(0, 0, 0))]  # 2 lives in the first cell, near the other
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_groups(frame).collect()}
+    assert got == brute_links(vectors) == {0: (1, 0), 1: (1, 0), 2: (2, 0)}
+
+
+def test_vectors_of_many_lengths_in_double_precision(spark, monkeypatch):
+    importable(spark)
+    monkeypatch.setattr(embed_dedup, "BLOCK", 40)
+    monkeypatch.setattr(embed_dedup, "LEAF", 16)
+    rng = np.random.default_rng(13)
+    vectors = []
+    for size in (3, 3, 8, 40, 40, 40, 70):
+        base = rng.normal(size=(30, size))
+        vectors += [(len(vectors) + k, v.tolist()) for k, v in enumerate(np.concatenate([base, base + rng.normal(size=base.shape) * 0.25]))]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_groups(frame).collect()}
+    assert got == brute_links(vectors)
+
+
 # ---------------------------------------------------------------- 10: URLs
 
 def brute_rule(url):
