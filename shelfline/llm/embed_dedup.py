@@ -33,13 +33,15 @@ from shelfline.llm.common import BATCH, components, mix, staged
 from shelfline.session import setting
 
 COSINE = 0.95
-CELL = 512
+CELL = 2048
 CENTROIDS = 4096
 SAMPLE = 20_000
 ROUNDS = 8
 BLOCK = 65_536
 BYTES = 16 << 20
-LEAF = 1024
+LEAF = 4096
+TOGETHER = 32  # cells of a block that are compared at a time
+PAIRS = 1 << 20  # candidates that wait to be decided together
 SIDE = 4   # blocks that a task of the product holds in memory
 STRIPS = 16  # parts of the table that are read against them
 PLACED_SCHEMA = "part int, d int, cell int, near float, id long, n long, vector binary"
@@ -174,20 +176,23 @@ def _opened(row: dict, m: SimpleNamespace) -> SimpleNamespace:
     b = SimpleNamespace(no=row["no"], d=row["d"], ids=read("ids", np.int64), n=read("ns", np.int64), cell=read("cells", np.int32),
                         near=read("nears", np.float32), raw=read("vectors", m.kind).reshape(-1, row["d"]))
     # what products of these may err by
-    b.eps = (b.d + 32) * 1.2e-7
+    b.eps = (b.d + 32) * 2.4e-7
     lead = m.lead if b.d == m.main else np.eye(b.d)[:, :leading(b.d)]
     b.x, b.bound = np.empty(b.raw.shape, np.float32), np.empty((len(b.raw), lead.shape[1] + 1), np.float32)
-    for at in range(0, len(b.raw), 4096):
-        x = unit(b.raw[at:at + 4096])
-        b.x[at:at + 4096] = x
-        z = x @ lead
-        b.bound[at:at + 4096, :-1] = z
-        b.bound[at:at + 4096, -1] = np.sqrt(np.maximum(0, 1 - (z * z).sum(1)) + b.eps)
+    for at in range(0, len(b.raw), 1024):
+        x, y = b.raw[at:at + 1024], b.x[at:at + 1024]
+        square = np.einsum("ij,ij->i", x, x)
+        if square.min() > 1e-30 and square.max() < 1e30:
+            np.multiply(x, (1 / np.sqrt(square))[:, None], out=y, casting="same_kind")
+        else:
+            y[:] = unit(x)
+        z = y @ lead
+        b.bound[at:at + 1024, :-1] = z
+        b.bound[at:at + 1024, -1] = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", z, z)) + b.eps)
     edges = np.concatenate([[0], np.flatnonzero(np.diff(b.cell)) + 1, [len(b.cell)]])
     b.starts = np.concatenate([np.linspace(a, e, -(-(e - a) // LEAF) + 1).astype(int)[:-1] for a, e in zip(edges, edges[1:])])
     b.ends = np.append(b.starts[1:], len(b.cell))
     b.leaf_cell = b.cell[b.starts]
-    b.cells, b.leaf_at = np.unique(b.leaf_cell, return_inverse=True)
     least = np.minimum.reduceat(b.near, b.starts).astype(float) - b.eps
     b.least = np.cos(np.minimum(math.pi, np.arccos(np.clip(least, -1, 1)) + math.acos(m.cosine))) - b.eps
     b.links = np.zeros(len(b.ids), np.int64)
@@ -196,71 +201,102 @@ def _opened(row: dict, m: SimpleNamespace) -> SimpleNamespace:
 
 def leading(d: int) -> int:
     """How many directions a first bound looks at."""
-    return d if d <= 16 else max(16, d // 4)
+    return d if d < 16 else max(16, d // 4) - 1  # with the length of the rest a whole number of registers
 
 
 def _cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, of=lambda x: x) -> np.ndarray:
-    step = max(1, (1 << 22) // a.shape[1])
+    step = max(1, (1 << 20) // a.shape[1])
     return np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", of(a[i[k:k + step]]), of(b[j[k:k + step]]))
                                           for k in range(0, len(i), step))])
 
 
-def _links(a: SimpleNamespace, b: SimpleNamespace, i: np.ndarray, j: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of both blocks that are linked, of those named."""
-    low = cosine - a.eps
-    bound = a.bound[i] @ b.bound[j].T
-    if bound.max() < low:
-        return i[:0], j[:0]
-    r, c = np.nonzero(bound >= low)
-    if len(r) > bound.size // 8:
-        whole = a.x[i] @ b.x[j].T
-        r, c = np.nonzero(whole >= low)
-        value = whole[r, c]
-    else:
-        value = _cosines(a.x, b.x, i[r], j[c])
-    sure = value >= cosine + a.eps
-    doubt = np.flatnonzero((value >= low) & ~sure)
-    sure[doubt] = _cosines(a.raw, b.raw, i[r[doubt]], j[c[doubt]], unit) >= cosine
-    return i[r[sure]], j[c[sure]]
+def _chunks(b: SimpleNamespace) -> list[slice]:
+    """Leaves of at most ``TOGETHER`` cells at a time: products with all centroids of a block could fill the memory."""
+    at = np.flatnonzero(np.concatenate([[True], np.diff(b.leaf_cell) != 0]))[::TOGETHER].tolist()
+    return [slice(x, y) for x, y in zip(at, [*at[1:], len(b.starts)])]
 
 
-def _compared(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> pa.RecordBatch:
-    """id, links found and the least id that each reaches within two leaves."""
-    same, labels = a is b, []
-    cells = a.d == m.main
-    if cells:
-        to_b, to_a = m.centroids[b.cells] @ a.x.T, m.centroids[a.cells] @ b.x.T
-        most = np.maximum.reduceat(to_b, a.starts, axis=1).T[:, b.leaf_at], np.maximum.reduceat(to_a, b.starts, axis=1).T[:, a.leaf_at]
-        todo = (most[0] >= b.least[None, :]) & (most[1].T >= a.least[:, None])
-        border = reach(m.cosine) * apart(m.centroids[a.leaf_cell], m.centroids[b.leaf_cell]) + a.eps + 1e-6
-    else:
-        todo = np.ones((len(a.starts), len(b.starts)), bool)
-    for p, q in zip(*np.nonzero(np.triu(todo) if same else todo)):
-        i, j = np.arange(a.starts[p], a.ends[p]), np.arange(b.starts[q], b.ends[q])
-        if cells:
-            x, y = to_b[b.leaf_at[q], i[0]:i[-1] + 1], to_a[a.leaf_at[p], j[0]:j[-1] + 1]
-            x, y = x >= b.least[q], y >= a.least[p]
-            if a.leaf_cell[p] != b.leaf_cell[q]:
-                x &= a.near[i[0]:i[-1] + 1] - to_b[b.leaf_at[q], i[0]:i[-1] + 1] <= border[p, q]
-                y &= b.near[j[0]:j[-1] + 1] - to_a[a.leaf_at[p], j[0]:j[-1] + 1] <= border[p, q]
-            i, j = i[x], j[y]
-            if not len(i) or not len(j):
+def _candidates(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows whose first bound reaches the threshold, each pair once."""
+    same, low = a is b, m.cosine - a.eps
+    for some in _chunks(a):
+        for others in _chunks(b):
+            if same and others.start < some.start:
                 continue
-        i, j = _links(a, b, i, j, m.cosine)
-        other = a.ids[i] != b.ids[j]
-        i, j = i[other], j[other]
-        if not len(i):
-            continue
-        np.add.at(a.links, i, b.n[j])
-        if not (same and p == q):  # there each pair stands twice
-            np.add.at(b.links, j, a.n[i])
-        (u, r), (v, c) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
-        least_a, least_b = a.ids[u], b.ids[v]
-        while not np.array_equal(x := least_a[r], y := least_b[c]):
-            np.minimum.at(least_a, r, np.minimum(x, y))
-            np.minimum.at(least_b, c, np.minimum(x, y))
-        labels += [np.stack([a.ids[u], least_a]), np.stack([b.ids[v], least_b])]
-    found = [np.stack([x.ids, x.links, x.ids])[:, x.links > 0] for x in ([a] if same else [a, b])]
+            rows_a, rows_b = (slice(x.starts[c.start], x.ends[c.stop - 1]) for x, c in ((a, some), (b, others)))
+            todo = np.ones((some.stop - some.start, others.stop - others.start), bool)
+            if a.d == m.main:
+                (cell_a, at_a), (cell_b, at_b) = (np.unique(x.leaf_cell[c], return_inverse=True) for x, c in ((a, some), (b, others)))
+                to_b, to_a = m.centroids[cell_b] @ a.x[rows_a].T, m.centroids[cell_a] @ b.x[rows_b].T
+                starts_a, starts_b = a.starts[some] - rows_a.start, b.starts[others] - rows_b.start
+                # how much nearer the own centroid is; of two linked vectors the sum is at most the distance they may have, along the centroids'
+                gap_a, gap_b = a.near[rows_a] - to_b, b.near[rows_b] - to_a
+                most = math.sqrt(2 - 2 * m.cosine) * apart(m.centroids[a.leaf_cell[some]], m.centroids[b.leaf_cell[others]]) + 4 * a.eps
+                least_a, least_b = (np.minimum.reduceat(x, y, axis=1) for x, y in ((gap_a, starts_a), (gap_b, starts_b)))
+                todo = ((least_a[at_b].T + least_b[at_a] <= most)
+                        & (np.maximum.reduceat(to_b, starts_a, axis=1)[at_b].T >= b.least[others][None, :])
+                        & (np.maximum.reduceat(to_a, starts_b, axis=1)[at_a] >= a.least[some][:, None]))
+            if same and some == others:
+                todo = np.triu(todo)
+            for p, q in zip(*(x.tolist() for x in np.nonzero(todo))):
+                i, j = slice(a.starts[some.start + p], a.ends[some.start + p]), slice(b.starts[others.start + q], b.ends[others.start + q])
+                if a.d == m.main:
+                    here, there = slice(i.start - rows_a.start, i.stop - rows_a.start), slice(j.start - rows_b.start, j.stop - rows_b.start)
+                    x, y, limit = gap_a[at_b[q], here], gap_b[at_a[p], there], most[p, q]
+                    r = np.flatnonzero((x <= limit - least_b[at_a[p], q]) & (to_b[at_b[q], here] >= b.least[others.start + q]))
+                    if not len(r):
+                        continue
+                    x = x[r]
+                    c = np.flatnonzero((y <= limit - x.min()) & (to_a[at_a[p], there] >= a.least[some.start + p]))
+                    if not len(c):
+                        continue
+                    y = y[c]
+                    by_x, by_y = x.argsort(), y.argsort()
+                    x, y, i, j = x[by_x], y[by_y], r[by_x] + i.start, c[by_y] + j.start
+                    step = max(64, -(-len(i) // 12))
+                    ends = np.searchsorted(y, limit - x[::step], "right").tolist()
+                else:
+                    i, j, step = np.arange(i.start, i.stop), np.arange(j.start, j.stop), 128
+                    ends = [len(j)] * -(-len(i) // step)
+                left, right = a.bound[i], b.bound[j].T
+                for at, end in zip(range(0, len(i), step), ends):
+                    if end:
+                        hits = np.flatnonzero((left[at:at + step] @ right[:, :end]).ravel() >= low)
+                        if len(hits):
+                            r, c = i[at + hits // end], j[hits % end]
+                            once = r < c if same and a.starts[some.start + p] == b.starts[others.start + q] else slice(None)
+                            yield r[once], c[once]
+
+
+def _linked(a: SimpleNamespace, b: SimpleNamespace, i: np.ndarray, j: np.ndarray, cosine: float) -> np.ndarray:
+    """Counts the links among pairs of rows; id and the least id that each reaches by them."""
+    value = _cosines(a.x, b.x, i, j)
+    sure = (value >= cosine + a.eps) & (other := a.ids[i] != b.ids[j])
+    doubt = np.flatnonzero((value >= cosine - a.eps) & ~sure & other)
+    sure[doubt] = _cosines(a.raw, b.raw, i[doubt], j[doubt], unit) >= cosine
+    i, j = i[sure], j[sure]
+    np.add.at(a.links, i, b.n[j])
+    np.add.at(b.links, j, a.n[i])
+    (u, r), (v, c) = np.unique(a.ids[i], return_inverse=True), np.unique(b.ids[j], return_inverse=True)
+    least_a, least_b = u.copy(), v.copy()
+    while not np.array_equal(x := least_a[r], y := least_b[c]):
+        np.minimum.at(least_a, r, np.minimum(x, y))
+        np.minimum.at(least_b, c, np.minimum(x, y))
+    return np.concatenate([[u, least_a], [v, least_b]], axis=1)
+
+
+def _compared(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> pa.RecordBatch:
+    """id, links found and the least id that each reaches by the pairs that were looked at together."""
+    labels, held, count = [], [], 0
+    for pairs in _candidates(a, b, m):
+        held.append(pairs)
+        count += len(pairs[0])
+        if count >= PAIRS:
+            labels.append(_linked(a, b, *map(np.concatenate, zip(*held)), m.cosine))
+            held, count = [], 0
+    if held:
+        labels.append(_linked(a, b, *map(np.concatenate, zip(*held)), m.cosine))
+    found = [np.stack([x.ids, x.links, x.ids])[:, x.links > 0] for x in ([a] if a is b else [a, b])]
     if labels:
         pairs = np.unique(np.concatenate(labels, axis=1), axis=1)
         pairs = pairs[:, pairs[0] != pairs[1]]
