@@ -37,12 +37,13 @@ CELL = 2048
 CENTROIDS = 4096
 SAMPLE = 20_000
 ROUNDS = 8
-BLOCK = 65_536
-BYTES = 16 << 20
+BLOCK = 32_768
+BYTES = 8 << 20
 LEAF = 4096
 TOGETHER = 32  # cells of a block that are compared at a time
+STEPS = 8192
 PAIRS = 1 << 20  # candidates that wait to be decided together
-SIDE = 4   # blocks that a task of the product holds in memory
+SIDE = 8   # blocks that a task of the product holds in memory
 STRIPS = 16  # parts of the table that are read against them
 PLACED_SCHEMA = "part int, d int, cell int, near float, id long, n long, vector binary"
 BLOCK_SCHEMA = "no long, d int, ids binary, ns binary, cells binary, nears binary, vectors binary"
@@ -206,10 +207,15 @@ def leading(d: int) -> int:
 
 def _cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, of=lambda x: x) -> np.ndarray:
     step = max(1, (1 << 20) // a.shape[1])
-    return np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", of(a[i[k:k + step]]), of(b[j[k:k + step]]))
+    return np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", of(a.take(i[k:k + step], axis=0)), of(b.take(j[k:k + step], axis=0)))
                                           for k in range(0, len(i), step))])
 
 
+def _steps(gaps: np.ndarray) -> np.ndarray:
+    """Gaps between the products with two centroids, at most 2, in whole steps from below."""
+    return np.floor(gaps * np.float32(STEPS)).astype(np.int16)
+
+
 def _chunks(b: SimpleNamespace) -> list[slice]:
     """Leaves of at most ``TOGETHER`` cells at a time: products with all centroids of a block could fill the memory."""
     at = np.flatnonzero(np.concatenate([[True], np.diff(b.leaf_cell) != 0]))[::TOGETHER].tolist()
@@ -230,9 +236,10 @@ def _candidates(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> I
                 to_b, to_a = m.centroids[cell_b] @ a.x[rows_a].T, m.centroids[cell_a] @ b.x[rows_b].T
                 starts_a, starts_b = a.starts[some] - rows_a.start, b.starts[others] - rows_b.start
                 # how much nearer the own centroid is; of two linked vectors the sum is at most the distance they may have, along the centroids'
-                gap_a, gap_b = a.near[rows_a] - to_b, b.near[rows_b] - to_a
-                most = math.sqrt(2 - 2 * m.cosine) * apart(m.centroids[a.leaf_cell[some]], m.centroids[b.leaf_cell[others]]) + 4 * a.eps
-                least_a, least_b = (np.minimum.reduceat(x, y, axis=1) for x, y in ((gap_a, starts_a), (gap_b, starts_b)))
+                gap_a, gap_b = _steps(a.near[rows_a] - to_b), _steps(b.near[rows_b] - to_a)
+                most = math.sqrt(2 - 2 * m.cosine) * apart(m.centroids[a.leaf_cell[some]], m.centroids[b.leaf_cell[others]])
+                most = np.floor(STEPS * (most + 4 * a.eps)).astype(int)
+                least_a, least_b = (np.minimum.reduceat(x, y, axis=1).astype(int) for x, y in ((gap_a, starts_a), (gap_b, starts_b)))
                 todo = ((least_a[at_b].T + least_b[at_a] <= most)
                         & (np.maximum.reduceat(to_b, starts_a, axis=1)[at_b].T >= b.least[others][None, :])
                         & (np.maximum.reduceat(to_a, starts_b, axis=1)[at_a] >= a.least[some][:, None]))
@@ -242,26 +249,26 @@ def _candidates(a: SimpleNamespace, b: SimpleNamespace, m: SimpleNamespace) -> I
                 i, j = slice(a.starts[some.start + p], a.ends[some.start + p]), slice(b.starts[others.start + q], b.ends[others.start + q])
                 if a.d == m.main:
                     here, there = slice(i.start - rows_a.start, i.stop - rows_a.start), slice(j.start - rows_b.start, j.stop - rows_b.start)
-                    x, y, limit = gap_a[at_b[q], here], gap_b[at_a[p], there], most[p, q]
-                    r = np.flatnonzero((x <= limit - least_b[at_a[p], q]) & (to_b[at_b[q], here] >= b.least[others.start + q]))
+                    x, y, limit = gap_a[at_b[q], here], gap_b[at_a[p], there], int(most[p, q])  # a numpy number would widen the arrays
+                    r = np.flatnonzero((x <= limit - int(least_b[at_a[p], q])) & (to_b[at_b[q], here] >= float(b.least[others.start + q])))
                     if not len(r):
                         continue
-                    x = x[r]
-                    c = np.flatnonzero((y <= limit - x.min()) & (to_a[at_a[p], there] >= a.least[some.start + p]))
+                    x = x.take(r)
+                    c = np.flatnonzero((y <= limit - int(x.min())) & (to_a[at_a[p], there] >= float(a.least[some.start + p])))
                     if not len(c):
                         continue
-                    y = y[c]
-                    by_x, by_y = x.argsort(), y.argsort()
-                    x, y, i, j = x[by_x], y[by_y], r[by_x] + i.start, c[by_y] + j.start
+                    y = y.take(c)
+                    by_x, by_y = x.argsort(kind="stable"), y.argsort(kind="stable")  # of short numbers by their digits
+                    x, y, i, j = x.take(by_x), y.take(by_y), r.take(by_x) + i.start, c.take(by_y) + j.start
                     step = max(64, -(-len(i) // 12))
-                    ends = np.searchsorted(y, limit - x[::step], "right").tolist()
+                    ends = np.searchsorted(y, np.minimum(limit - x[::step].astype(int), 32767).astype(np.int16), "right").tolist()
                 else:
                     i, j, step = np.arange(i.start, i.stop), np.arange(j.start, j.stop), 128
                     ends = [len(j)] * -(-len(i) // step)
-                left, right = a.bound[i], b.bound[j].T
+                left, right = a.bound.take(i, axis=0), b.bound.take(j, axis=0).T
                 for at, end in zip(range(0, len(i), step), ends):
                     if end:
-                        hits = np.flatnonzero((left[at:at + step] @ right[:, :end]).ravel() >= low)
+                        hits = ((left[at:at + step] @ right[:, :end]).ravel() >= low).nonzero()[0]
                         if len(hits):
                             r, c = i[at + hits // end], j[hits % end]
                             once = r < c if same and a.starts[some.start + p] == b.starts[others.start + q] else slice(None)

@@ -4,6 +4,7 @@ import math
 import pathlib
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -129,7 +130,6 @@ def test_two_vectors_that_share_a_neighbour_of_another_cell_are_one_group(spark,
 def test_vectors_of_many_lengths_in_double_precision(spark, monkeypatch):
     importable(spark)
     monkeypatch.setattr(embed_dedup, "BLOCK", 40)
-    monkeypatch.setattr(embed_dedup, "LEAF", 16)
     rng = np.random.default_rng(13)
     vectors = []
     for size in (3, 3, 8, 40, 40, 40, 70):
@@ -140,6 +140,40 @@ def test_vectors_of_many_lengths_in_double_precision(spark, monkeypatch):
     assert got == brute_links(vectors)
 
 
+@pytest.mark.parametrize("dimensions, cosine", [(3, 0.95), (24, 0.95), (24, 0.3)])
+def test_a_pair_of_blocks_finds_each_link_once(monkeypatch, dimensions, cosine):
+    for name, value in (("LEAF", 9), ("TOGETHER", 2), ("PAIRS", 50)):
+        monkeypatch.setattr(embed_dedup, name, value)
+    rng = np.random.default_rng(14)
+    base = rng.normal(size=(60, dimensions))
+    raw = np.concatenate([base, base + rng.normal(size=base.shape) * 0.2, base * 1e-20, base * 1e25]).astype(np.float32)
+    x = embed_dedup.unit(raw)
+    centroids = embed_dedup.spherical_kmeans(x, 9)
+    cell, n = (x @ centroids.T).argmax(1), rng.integers(1, 4, len(x))
+    near = (x * centroids[cell]).sum(1)
+    lead = np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0][:, :embed_dedup.leading(dimensions)]
+    model = SimpleNamespace(cosine=cosine, kind=np.float32, main=dimensions, centroids=centroids.astype(np.float32), lead=lead)
+    blocks = []
+    for no in (0, 1):
+        at = np.flatnonzero(np.arange(len(x)) % 2 == no)
+        at = at[np.lexsort((near[at], cell[at]))]
+        blocks.append(embed_dedup._opened({
+            "no": no, "d": dimensions, "ids": at.astype(np.int64).tobytes(), "ns": n[at].astype(np.int64).tobytes(),
+            "cells": cell[at].astype(np.int32).tobytes(), "nears": near[at].astype(np.float32).tobytes(), "vectors": raw[at].tobytes()}, model))
+    linked = x @ x.T >= cosine
+    np.fill_diagonal(linked, False)
+    for a, b in ((0, 0), (0, 1), (1, 1)):
+        found = embed_dedup._compared(blocks[a], blocks[b], model).to_pydict()
+        links = np.zeros(len(x), int)
+        np.add.at(links, found["id"], found["links"])
+        met = linked & (np.add.outer(np.arange(len(x)) % 2, np.arange(len(x)) % 2) == a + b)
+        assert links.tolist() == (met @ n).tolist()
+        group = list(range(len(x)))
+        for i, j in zip(found["id"], found["label"]):
+            group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+        assert all(group[i] == group[j] for i, j in zip(*np.nonzero(met)))
+
+
 # ---------------------------------------------------------------- 10: URLs
 
 def brute_rule(url):
